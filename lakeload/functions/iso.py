@@ -29,16 +29,12 @@ CALENDAR_FORM = rf"^{YEAR}(-?)\d\d\1\d\d(?:{ANY_SEPARATOR}{TIME})?\z"
 ORDINAL_FORM = rf"^{YEAR}(?:-\d{{3}}(?:{ANY_SEPARATOR}{TIME})?|\d{{3}}(?:{ORDINAL_SEPARATOR}{TIME})?)\z"
 WEEK_FORM = rf"^{YEAR}(-?)W\d\d(?:\1[1-7](?:{ANY_SEPARATOR}{TIME})?)?\z"
 SHORT_FORM = rf"^{YEAR}(?:-(?:0[1-9]|1[0-2]))?\z"
-DAY_PART = rf"{YEAR}(?:(?:-\d\d-\d\d|\d{{4}})|-?\d{{3}}|-W\d\d-[1-7]|W\d\d[1-7])"
-AFTER_SEPARATOR = rf"(?s)^{DAY_PART}{ANY_SEPARATOR}(.*)\z"
-HOUR_24_FORM = rf"^{DAY_PART}{ANY_SEPARATOR}{MIDNIGHT_24}{ZONE}\z"
 
+# The layouts of almost all real data. Spark accepts zone offsets up to 18 hours.
+NEAR_ZONE = rf"(?:Z|[+-](?:0\d|1[0-7]):{SIXTY})?"
 PLAIN_DATE = rf"^{YEAR}-\d\d-\d\d\z"
-PLAIN_TIMESTAMP = rf"^{YEAR}-\d\d-\d\d[ T]{HOUR}:{SIXTY}:{SIXTY}(?:\.\d{{1,6}})?\z"
-# Spark accepts zone offsets up to 18 hours; larger ones take the general way.
-ZONED_TIMESTAMP = (
-    rf"^{YEAR}-\d\d-\d\d[ T]{HOUR}:{SIXTY}:{SIXTY}(?:\.\d{{1,6}})?(?:Z|[+-](?:0\d|1[0-7]):{SIXTY})\z"
-)
+PLAIN_TIMESTAMP = rf"^{YEAR}-\d\d-\d\d[ T]{HOUR}:{SIXTY}:{SIXTY}(?:\.\d{{1,6}})?{NEAR_ZONE}\z"
+COMPACT_TIMESTAMP = rf"^{YEAR}\d{{4}}[ T]{HOUR}(:?){SIXTY}\1{SIXTY}(?:\.\d{{1,6}})?{NEAR_ZONE}\z"
 
 
 def _part(s: Column, start: int, length: int) -> Column:
@@ -84,32 +80,70 @@ def _day(s: Column) -> Column:
     )
 
 
+def _after_separator(s: Column) -> Column:
+    """The time and zone of a text that has one of the forms; empty for a date alone.
+
+    The length of the day part follows from the form: 10 or 8 characters, for an
+    ordinal date 8 or 7. In an ordinal date the character where a calendar date
+    has its second dash (or its eighth digit) is none.
+    """
+    dashed = _part(s, 5, 1) == "-"
+    ordinal = F.when(dashed, (_part(s, 8, 1) != "-") & (_part(s, 6, 1) != "W")).otherwise(
+        (_part(s, 5, 1) != "W") & ~_part(s, 8, 1).between("0", "9")
+    )
+    start = F.when(dashed, F.when(ordinal, F.lit(10)).otherwise(F.lit(12))).otherwise(
+        F.when(ordinal, F.lit(9)).otherwise(F.lit(10))
+    )
+    return F.substring(s, start, F.length(s))
+
+
 def _clock_micros(after: Column) -> Column:
     """Microseconds since midnight UTC of the text behind the date separator."""
-    digits = F.rpad(F.replace(F.regexp_extract(after, r"^[\d:]*", 0), F.lit(":"), F.lit("")), 6, "0")
+    digits = F.rpad(F.translate(F.regexp_extract(after, r"^[\d:]*", 0), ":", ""), 6, "0")
     fraction = F.rpad(F.regexp_extract(after, r"[.,](\d+)", 1), 6, "0")
-    shift = F.replace(F.regexp_extract(after, r"[+-][\d:]+\z", 0), F.lit(":"), F.lit(""))
-    shift_digits = F.rpad(F.substring(shift, 2, 4), 4, "0")
-    shift_minutes = _number(_part(shift_digits, 1, 2)) * 60 + _number(_part(shift_digits, 3, 2))
-    west = F.when(_part(shift, 1, 1) == "-", F.lit(1)).otherwise(F.lit(-1))
-    minutes = _number(_part(digits, 1, 2)) * 60 + _number(_part(digits, 3, 2)) + west * shift_minutes
-    seconds = minutes.cast("long") * 60 + _number(_part(digits, 5, 2))
-    return seconds * 1_000_000 + _number(fraction)
+    seconds = _number(_part(digits, 1, 2)) * 3600 + _number(_part(digits, 3, 2)) * 60 + _number(_part(digits, 5, 2))
+    return seconds.cast("long") * 1_000_000 + _number(fraction) - _shift_seconds(after).cast("long") * 1_000_000
+
+
+def _shift_seconds(after: Column) -> Column:
+    """Zone offset, positive to the east."""
+    shift = F.translate(F.regexp_extract(after, r"[+-][\d:]+\z", 0), ":", "")
+    digits = F.rpad(F.substring(shift, 2, 4), 4, "0")
+    size = _number(_part(digits, 1, 2)) * 3600 + _number(_part(digits, 3, 2)) * 60
+    return F.when(after.rlike(r"[+-][\d:]+\z"), F.when(_part(shift, 1, 1) == "-", -size).otherwise(size)).otherwise(F.lit(0))
+
+
+def _with_zone(s: Column) -> Column:
+    """Add ``Z`` to a plain or compact timestamp that has no zone."""
+    zoned = s.endswith("Z") | F.substring(s, -6, 1).isin("+", "-")
+    return F.when(zoned, s).otherwise(F.concat(s, F.lit("Z")))
+
+
+def _spread_out(s: Column) -> Column:
+    """A compact timestamp in the plain layout."""
+    day = F.concat_ws("-", _part(s, 1, 4), _part(s, 5, 2), _part(s, 7, 2))
+    rest = F.substring(s, F.lit(14), F.length(s))
+    clock = F.when(_part(s, 12, 1) == ":", F.substring(s, F.lit(10), F.length(s))).otherwise(
+        F.concat_ws(":", _part(s, 10, 2), _part(s, 12, 2), rest)
+    )
+    return F.concat(day, F.lit("T"), clock)
 
 
 def iso_date(s: Column) -> Column:
     """Calendar date as written (any zone offset is ignored), NULL when not ISO-8601."""
-    general = F.date_add(_day(s), F.when(s.rlike(HOUR_24_FORM), F.lit(1)).otherwise(F.lit(0)))
+    midnight_24 = (F.length(s) > 9) & (_part(_after_separator(s), 1, 2) == "24")
+    general = F.date_add(_day(s), F.when(midnight_24, F.lit(1)).otherwise(F.lit(0)))
     return F.when(s.rlike(PLAIN_DATE), s.try_cast("date")).otherwise(general)
 
 
 def iso_timestamp(s: Column) -> Column:
     """Instant; text without a zone is taken as UTC whatever the session zone is."""
-    after = F.regexp_extract(s, AFTER_SEPARATOR, 1)
-    general = F.timestamp_micros(F.unix_date(_day(s)).cast("long") * 86_400_000_000 + _clock_micros(after))
+    after = _after_separator(s)
+    clock = F.when(after == "", F.lit(0).cast("long")).otherwise(_clock_micros(after))
+    general = F.timestamp_micros(F.unix_date(_day(s)).cast("long") * 86_400_000_000 + clock)
     return (
-        F.when(s.rlike(PLAIN_TIMESTAMP), F.concat(s, F.lit("Z")).try_cast("timestamp"))
+        F.when(s.rlike(PLAIN_TIMESTAMP), _with_zone(s).try_cast("timestamp"))
         .when(s.rlike(PLAIN_DATE), F.concat(s, F.lit("T00:00:00Z")).try_cast("timestamp"))
-        .when(s.rlike(ZONED_TIMESTAMP), s.try_cast("timestamp"))
+        .when(s.rlike(COMPACT_TIMESTAMP), _with_zone(_spread_out(s)).try_cast("timestamp"))
         .otherwise(general)
     )

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-BLOCK_IDS = 4096
+BLOCK_IDS = 65_536
 
 
 def next_starts(sizes: np.ndarray, max_num: int, max_bytes: int) -> np.ndarray:

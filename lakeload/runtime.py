@@ -25,6 +25,9 @@ SESSION_SETTINGS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
+    # A generated method above this size is never compiled by the JVM. Casting a
+    # wide table would be interpreted; below the limit Spark splits it instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
