@@ -10,8 +10,11 @@ from pyspark.sql import functions as F
 from conformance.views import Inputs
 from lakeload import functions as fn
 from lakeload.operators import batching, casting, discover, feeds, landing, ledger, relocate, routing
+from lakeload.plans.store import LedgerStore
 from lakeload.runtime import new_run_dir, tune
 from lakeload.sources import catalog, csv_text, feed_bodies, manifest, payload
+from lakeload.sources import listing as source_listing
+from lakeload.streaming.discover_stream import start_discovery, start_watermark_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -155,6 +158,50 @@ def scan_csv_strings(t: Inputs) -> DataFrame:
     return csv_text.scan_csv_strings(t.spark, landing_zone, columns)
 
 
+def landing_zone(t: Inputs) -> str:
+    """Orders as small gzipped CSV objects below a folder per table; returns the root."""
+    root = new_run_dir(t.spark, "incoming")
+    rows = t.v_loads.select(
+        "id", "s3_key", "s3_size", F.concat(F.lit("T"), "table_id").alias("folder"), F.floor(F.col("id") / 10_000).alias("block")
+    )
+    spread = rows.repartition("folder", "block")
+    spread.write.partitionBy("folder", "block").option("compression", "gzip").csv(f"{root}/ods")
+    return f"{root}/"
+
+
+@query
+def list_objects(t: Inputs) -> DataFrame:
+    objects = discover.valid_objects(source_listing.list_objects(t.spark, landing_zone(t)))
+    table = F.regexp_extract("key", "^ods/folder=([^/]*)/block=[0-9]+/[^/]*$", 1)
+    return objects.groupBy(table.alias("folder")).agg(F.count("*").alias("objects"), (F.min("size") > 0).alias("all_filled"))
+
+
+@query
+def stream_discover(t: Inputs) -> DataFrame:
+    layout = routing.Layout(incoming=landing_zone(t))
+    store = LedgerStore(t.spark, new_run_dir(t.spark, "ledger"))
+    prefix = F.regexp_replace("s3_prefix", "^ods/", "ods/folder=")
+    store.write("tables", t.v_tables.withColumn("s3_prefix", prefix), 0)
+    store.write("table_snapshots", t.v_table_snapshots, 0)
+    checkpoint = new_run_dir(t.spark, "stream")
+    for _ in range(2):  # the second run finds nothing new
+        start_discovery(t.spark, store, layout, checkpoint, {"availableNow": True}, settle_seconds=0).awaitTermination()
+    return store.read("loads").groupBy("table_id", "status").agg(F.count("*").alias("loads"))
+
+
+@query
+def stateful_watermark(t: Inputs) -> DataFrame:
+    root = new_run_dir(t.spark, "watermark")
+    halves = [t.v_objects.where("already_loaded"), t.v_objects.where("not already_loaded")]
+    schema = listing(t).schema
+    query_args = (f"{root}/state", f"{root}/output", f"{root}/checkpoint", {"availableNow": True})
+    for half in halves:
+        listed = half.select("table_id", "event_id", F.col("object_key").alias("key"), "last_modified", F.col("object_size").alias("size"))
+        listed.write.mode("append").parquet(f"{root}/input")
+        start_watermark_filter(t.spark.readStream.schema(schema).parquet(f"{root}/input"), *query_args).awaitTermination()
+    return t.spark.read.parquet(f"{root}/output").select("table_id", "event_id", "key")
+
+
 @query
 def list_prefixes(t: Inputs) -> DataFrame:
     datasets = t.v_objects.select(F.concat(F.lit("datasets/D"), "table_id", F.lit("/"), "event_id").alias("key"))

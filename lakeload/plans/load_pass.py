@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import os
+import re
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +19,8 @@ from lakeload.runtime import lookup_join
 from lakeload.sources import catalog, csv_text
 from lakeload.sources.listing import list_objects
 
+JOB_FAILURES = (PySparkException, Py4JJavaError)
+
 # Steps of a pass, in the order in which they are written.
 FOUND, SELECTED, BATCHED, FINISHED, FAILED = range(1, 6)
 
@@ -24,7 +29,7 @@ FOUND, SELECTED, BATCHED, FINISHED, FAILED = range(1, 6)
 class Limits:
     """How much one pass takes on. They bound the file lists the driver sees."""
 
-    per_prefix: int = 500
+    per_prefix: int | None = 500
     per_table: int = 100
     batch_loads: int = 10
     batch_bytes: int = 100_000_000
@@ -40,8 +45,9 @@ def discovered(objects: DataFrame, store: LedgerStore, layout: routing.Layout, p
     foldered = discover.valid_objects(objects).withColumn("prefix", folder)
     matched = discover.match_prefixes(foldered, tables).drop("table_name")
     unseen = discover.unseen_objects(matched, store.read("loads", before))
-    taken = ledger.first_per_group(unseen, ["prefix"], ["key", "last_modified"], limits.per_prefix)
-    return discover.new_load_rows(taken.drop("prefix"), tables, snapshots)
+    if limits.per_prefix is not None:
+        unseen = ledger.first_per_group(unseen, ["prefix"], ["key", "last_modified"], limits.per_prefix)
+    return discover.new_load_rows(unseen.drop("prefix"), tables, snapshots)
 
 
 def take_in(objects: DataFrame, store: LedgerStore, layout: routing.Layout, pass_id: int, limits: Limits = Limits()) -> DataFrame:
@@ -49,10 +55,12 @@ def take_in(objects: DataFrame, store: LedgerStore, layout: routing.Layout, pass
     before = (pass_id, 0)
     rows = discovered(objects, store, layout, pass_id, limits)
     numbered = discover.with_load_ids(rows, store.last_load_id(before))
-    # Ids come from a range partitioning: write once, then use what was written.
+    # Ids are given while writing: write once, then use what was written.
     staged = f"{store.root}/staged/pass={pass_id}"
     numbered.write.mode("overwrite").parquet(staged)
     found = store.spark.read.parquet(staged)
+    if found.isEmpty():
+        return found
     now = F.current_timestamp()
     store.write("load_snapshots", discover.load_snapshot_rows(found).withColumns({"id": F.col("load_id"), "inserted_at": now}), pass_id)
     snapshots = store.read("table_snapshots", before)
@@ -119,7 +127,6 @@ def land_routed(spark: SparkSession, plan: DataFrame, registry: DataFrame, heade
 
 def land_table(spark: SparkSession, loads: list, columns: list[str], fields: list[dict], destination: str, header: bool) -> list[int]:
     """Land one table's loads; loads with a value that does not parse are left out and returned."""
-    failed: set[int] = set()
     if not columns or not fields:
         return [load["id"] for load in loads]
 
@@ -135,23 +142,29 @@ def land_table(spark: SparkSession, loads: list, columns: list[str], fields: lis
         names = [p["name"] for p in chosen[0]["partition_columns"]]
         landing.land(casting.cast_to_schema(scan(chosen), fields, keep=names), destination, names)
 
+    def landed(chosen: list) -> bool:
+        try:
+            write(chosen)
+        except JOB_FAILURES:
+            return False
+        return True
+
+    if landed(loads):
+        return []
+    # Find every load with a bad value in one go, then land the others.
     try:
-        write(loads)
-    except PySparkException:
-        # Find every load with a bad value in one go, then land the others.
-        rejects = casting.cast_rejects(scan(loads), fields, keep=["__id"])
-        failed = {row["__id"] for row in rejects.select("__id").distinct().collect()}
-        remaining = [load for load in loads if load["id"] not in failed]
-        if not failed:
-            return [load["id"] for load in loads]
-        if remaining:
-            write(remaining)
-    return sorted(failed)
+        found = casting.cast_rejects(scan(loads), fields, keep=["__id"]).select("__id").distinct().collect()
+    except JOB_FAILURES:
+        found = []
+    bad = {row["__id"] for row in found}
+    remaining = [load for load in loads if load["id"] not in bad]
+    if not remaining or (bad and landed(remaining)):
+        return sorted(bad)
+    # Something else is wrong, an unreadable file for instance: only then one by one.
+    return sorted(bad | {load["id"] for load in remaining if not landed([load])})
 
 
 def _path_key(path: str) -> str:
-    import os
-    import re
-
+    """A path without scheme and leading slashes, as it also comes back from the scan."""
     full = path if re.match(r"^[a-z0-9]+:", path) else os.path.abspath(path)
     return re.sub(r"^[a-z0-9]+:/+", "", full).lstrip("/")

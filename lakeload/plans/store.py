@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from lakeload import schemas
 from lakeload.operators.ledger import current_status
+from lakeload.sources.listing import children, open_root
 
 STATUS_LOG = "load_id bigint, status string, at timestamp, seq bigint"
 KINDS = {
@@ -36,10 +37,6 @@ class LedgerStore:
     def _path(self, kind: str) -> str:
         return f"{self.root}/{kind}"
 
-    def _exists(self, path: str) -> bool:
-        hadoop_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return hadoop_path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(hadoop_path)
-
     def write(self, kind: str, rows: DataFrame, pass_id: int, step: int = 0) -> None:
         """Write one step's rows of a pass; missing ledger columns become NULL."""
         target = self.spark.createDataFrame([], KINDS[kind]).schema
@@ -50,7 +47,7 @@ class LedgerStore:
 
     def read(self, kind: str, before: tuple[int, int] | None = None) -> DataFrame:
         """All rows of a ledger table (or its newest version), optionally as of before a pass and step."""
-        if not self._exists(self._path(kind)):
+        if not folder_numbers(self._path(kind), "pass"):
             return self.spark.createDataFrame([], KINDS[kind])
         rows = self.spark.read.schema(f"{KINDS[kind]}, pass bigint, step int").parquet(self._path(kind))
         if before is not None:
@@ -61,14 +58,8 @@ class LedgerStore:
         return rows.drop("pass", "step")
 
     def _newest_version(self, kind: str, before: tuple[int, int] | None) -> tuple[int, int]:
-        """Found from folder names alone."""
-        from lakeload.sources.listing import children, open_root
-
-        filesystem, base = open_root(self._path(kind))
-        numbered = lambda path, label: [
-            int(name.split("=")[1]) for name, folder, _, _ in children(filesystem, path) if folder and name.startswith(f"{label}=")
-        ]
-        versions = [(p, s) for p in numbered(base, "pass") for s in numbered(f"{base}/pass={p}", "step")]
+        base = self._path(kind)
+        versions = [(p, s) for p in folder_numbers(base, "pass") for s in folder_numbers(f"{base}/pass={p}", "step")]
         return max([v for v in versions if before is None or v < before], default=(-1, -1))
 
     def log(self, loads: DataFrame, status: str, pass_id: int, step: int, id_column: str = "load_id") -> None:
@@ -94,10 +85,10 @@ class LedgerStore:
 
     def next_pass(self) -> int:
         """One above the highest pass that wrote anything."""
-        from lakeload.sources.listing import children, open_root
+        return max([0, *(p for kind in KINDS for p in folder_numbers(self._path(kind), "pass"))]) + 1
+
 
-        passes = [0]
-        for kind in KINDS:
-            filesystem, base = open_root(self._path(kind))
-            passes += [int(name.split("=")[1]) for name, folder, _, _ in children(filesystem, base) if folder and name.startswith("pass=")]
-        return max(passes) + 1
+def folder_numbers(path: str, label: str) -> list[int]:
+    """The numbers of folders named ``label=number``: only names are read, no data."""
+    filesystem, base = open_root(path)
+    return [int(name[len(label) + 1 :]) for name, folder, _, _ in children(filesystem, base) if folder and name.startswith(f"{label}=")]

@@ -30,19 +30,21 @@ def scan_csv_strings(
     header: bool = False,
     dialect: Mapping[str, str] | None = None,
     file_column: str | None = None,
+    mode: str = "PERMISSIVE",
 ) -> DataFrame:
     """Read any number of objects of one table in a single scan, every column as text.
 
     One read serves all loads of a table: the files are spread over the
     executors, and ``file_column`` (the object's full path) tells which load a
-    row came from.
+    row came from. Missing trailing columns are NULL and surplus ones are dropped
+    unless ``mode`` is ``FAILFAST``.
     """
     schema = StructType([StructField(name, StringType()) for name in columns])
     df = (
         spark.read.schema(schema)
         .options(**(dialect or DEFAULT_DIALECT))
         .option("header", header)
-        .option("mode", "FAILFAST")
+        .option("mode", mode)
         .csv(paths if isinstance(paths, str) else list(paths))
     )
     if file_column:

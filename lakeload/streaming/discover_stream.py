@@ -22,7 +22,7 @@ def start_discovery(
     checkpoint: str,
     trigger: dict[str, object] | None = None,
     settle_seconds: float = 2,
-    limits: Limits = Limits(per_prefix=2**31 - 1),
+    limits: Limits = Limits(per_prefix=None),
     after_batch: Callable[[int], object] | None = None,
 ) -> StreamingQuery:
     """Record new and rewritten objects as loads, batch by batch.
