@@ -1,4 +1,7 @@
-"""ISO-8601 dates and times as Spark expressions.
+"""ISO-8601 dates and times as Spark SQL expression text.
+
+Text, because one parsed string per column costs the driver far less than the
+hundreds of single column objects it stands for, which counts for wide tables.
 
 Spark's own string casts are looser than ISO-8601 in some places (``2022001``
 becomes the year 2022001, ``2022-1-1`` is a date) and narrower in others
@@ -9,9 +12,6 @@ almost all real data are tried first and go straight to Spark's cast.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # ---- grammar (Java regular expressions) -------------------------------------
 YEAR = r"(?!0000)\d{4}"
 HOUR, SIXTY = r"(?:[01]\d|2[0-3])", r"[0-5]\d"
@@ -37,113 +37,110 @@ PLAIN_TIMESTAMP = rf"^{YEAR}-\d\d-\d\d[ T]{HOUR}:{SIXTY}:{SIXTY}(?:\.\d{{1,6}})?
 COMPACT_TIMESTAMP = rf"^{YEAR}\d{{4}}[ T]{HOUR}(:?){SIXTY}\1{SIXTY}(?:\.\d{{1,6}})?{NEAR_ZONE}\z"
 
 
-def _part(s: Column, start: int, length: int) -> Column:
-    return F.substring(s, start, length)
+def matches(s: str, pattern: str) -> str:
+    return f"({s} rlike r'{pattern}')"
+
+
+def _part(s: str, start: int, length: int) -> str:
+    return f"substring({s}, {start}, {length})"
+
+
+def _rest(s: str, start: str | int) -> str:
+    return f"substring({s}, {start}, length({s}))"
+
+
+def _number(s: str) -> str:
+    return f"try_cast({s} as int)"
+
+
+def _date(s: str) -> str:
+    return f"try_cast({s} as date)"
+
+
+def _dashed(s: str) -> str:
+    return f"{_part(s, 5, 1)} = '-'"
 
 
-def _number(s: Column) -> Column:
-    return s.try_cast("int")
+def _compact_day(s: str) -> str:
+    return f"concat_ws('-', {_part(s, 1, 4)}, {_part(s, 5, 2)}, {_part(s, 7, 2)})"
 
 
-def _calendar_day(s: Column) -> Column:
-    spelled = F.when(_part(s, 5, 1) == "-", _part(s, 1, 10)).otherwise(
-        F.concat_ws("-", _part(s, 1, 4), _part(s, 5, 2), _part(s, 7, 2))
-    )
-    return spelled.try_cast("date")
+def _calendar_day(s: str) -> str:
+    return _date(f"if({_dashed(s)}, {_part(s, 1, 10)}, {_compact_day(s)})")
 
 
-def _ordinal_day(s: Column) -> Column:
-    nth = _number(F.when(_part(s, 5, 1) == "-", _part(s, 6, 3)).otherwise(_part(s, 5, 3)))
-    year = _part(s, 1, 4)
-    last = F.dayofyear(F.concat(year, F.lit("-12-31")).try_cast("date"))
-    return F.when(nth.between(1, last), F.date_add(F.concat(year, F.lit("-01-01")).try_cast("date"), nth - 1))
+def _ordinal_day(s: str) -> str:
+    nth = _number(f"if({_dashed(s)}, {_part(s, 6, 3)}, {_part(s, 5, 3)})")
+    first, last = (_date(f"concat({_part(s, 1, 4)}, '{day}')") for day in ("-01-01", "-12-31"))
+    return f"case when {nth} between 1 and dayofyear({last}) then date_add({first}, {nth} - 1) end"
 
 
-def _week_day(s: Column) -> Column:
-    extended = _part(s, 5, 1) == "-"
-    week = _number(F.when(extended, _part(s, 7, 2)).otherwise(_part(s, 6, 2)))
+def _week_day(s: str) -> str:
+    week = _number(f"if({_dashed(s)}, {_part(s, 7, 2)}, {_part(s, 6, 2)})")
     # A week without a day means its Monday.
-    day = F.coalesce(_number(F.when(extended, _part(s, 10, 1)).otherwise(_part(s, 8, 1))), F.lit(1))
-    fourth = F.concat(_part(s, 1, 4), F.lit("-01-04")).try_cast("date")
-    return F.when(
-        week.between(1, 53),
-        F.date_add(fourth, (week - 1) * 7 + day - 1 - F.weekday(fourth)),
-    )
+    day = f"coalesce({_number(f'if({_dashed(s)}, {_part(s, 10, 1)}, {_part(s, 8, 1)})')}, 1)"
+    fourth = _date(f"concat({_part(s, 1, 4)}, '-01-04')")
+    return f"case when {week} between 1 and 53 then date_add({fourth}, ({week} - 1) * 7 + {day} - 1 - weekday({fourth})) end"
 
 
-def _day(s: Column) -> Column:
-    return (
-        F.when(s.rlike(CALENDAR_FORM), _calendar_day(s))
-        .when(s.rlike(ORDINAL_FORM), _ordinal_day(s))
-        .when(s.rlike(WEEK_FORM), _week_day(s))
-        .when(s.rlike(SHORT_FORM), s.try_cast("date"))
-    )
+def _day(s: str) -> str:
+    return f"""case when {matches(s, CALENDAR_FORM)} then {_calendar_day(s)}
+        when {matches(s, ORDINAL_FORM)} then {_ordinal_day(s)}
+        when {matches(s, WEEK_FORM)} then {_week_day(s)}
+        when {matches(s, SHORT_FORM)} then {_date(s)} end"""
 
 
-def _after_separator(s: Column) -> Column:
+def _after_separator(s: str) -> str:
     """The time and zone of a text that has one of the forms; empty for a date alone.
 
     The length of the day part follows from the form: 10 or 8 characters, for an
     ordinal date 8 or 7. In an ordinal date the character where a calendar date
     has its second dash (or its eighth digit) is none.
     """
-    dashed = _part(s, 5, 1) == "-"
-    ordinal = F.when(dashed, (_part(s, 8, 1) != "-") & (_part(s, 6, 1) != "W")).otherwise(
-        (_part(s, 5, 1) != "W") & ~_part(s, 8, 1).between("0", "9")
-    )
-    start = F.when(dashed, F.when(ordinal, F.lit(10)).otherwise(F.lit(12))).otherwise(
-        F.when(ordinal, F.lit(9)).otherwise(F.lit(10))
-    )
-    return F.substring(s, start, F.length(s))
+    dashed_start = f"if({_part(s, 8, 1)} <> '-' and {_part(s, 6, 1)} <> 'W', 10, 12)"
+    compact_start = f"if({_part(s, 5, 1)} <> 'W' and {_part(s, 8, 1)} not between '0' and '9', 9, 10)"
+    return _rest(s, f"if({_dashed(s)}, {dashed_start}, {compact_start})")
 
 
-def _clock_micros(after: Column) -> Column:
+def _clock_micros(after: str) -> str:
     """Microseconds since midnight UTC of the text behind the date separator."""
-    digits = F.rpad(F.translate(F.regexp_extract(after, r"^[\d:]*", 0), ":", ""), 6, "0")
-    fraction = F.rpad(F.regexp_extract(after, r"[.,](\d+)", 1), 6, "0")
-    seconds = _number(_part(digits, 1, 2)) * 3600 + _number(_part(digits, 3, 2)) * 60 + _number(_part(digits, 5, 2))
-    return seconds.cast("long") * 1_000_000 + _number(fraction) - _shift_seconds(after).cast("long") * 1_000_000
+    digits = f"rpad(translate(regexp_extract({after}, r'^[0-9:]*', 0), ':', ''), 6, '0')"
+    fraction = f"rpad(regexp_extract({after}, r'[.,]([0-9]+)', 1), 6, '0')"
+    hour, minute, second = (_number(_part(digits, at, 2)) for at in (1, 3, 5))
+    return f"(({hour} * 3600 + {minute} * 60 + {second} - {_shift_seconds(after)}) * 1000000L + {_number(fraction)})"
 
 
-def _shift_seconds(after: Column) -> Column:
+def _shift_seconds(after: str) -> str:
     """Zone offset, positive to the east."""
-    shift = F.translate(F.regexp_extract(after, r"[+-][\d:]+\z", 0), ":", "")
-    digits = F.rpad(F.substring(shift, 2, 4), 4, "0")
-    size = _number(_part(digits, 1, 2)) * 3600 + _number(_part(digits, 3, 2)) * 60
-    return F.when(after.rlike(r"[+-][\d:]+\z"), F.when(_part(shift, 1, 1) == "-", -size).otherwise(size)).otherwise(F.lit(0))
+    shift = rf"translate(regexp_extract({after}, r'[+-][0-9:]+\z', 0), ':', '')"
+    digits = f"rpad({_part(shift, 2, 4)}, 4, '0')"
+    size = f"({_number(_part(digits, 1, 2))} * 3600 + {_number(_part(digits, 3, 2))} * 60)"
+    return f"case {_part(shift, 1, 1)} when '-' then -{size} when '+' then {size} else 0 end"
 
 
-def _with_zone(s: Column) -> Column:
+def _with_zone(s: str) -> str:
     """Add ``Z`` to a plain or compact timestamp that has no zone."""
-    zoned = s.endswith("Z") | F.substring(s, -6, 1).isin("+", "-")
-    return F.when(zoned, s).otherwise(F.concat(s, F.lit("Z")))
+    return f"if(endswith({s}, 'Z') or substring({s}, -6, 1) in ('+', '-'), {s}, concat({s}, 'Z'))"
 
 
-def _spread_out(s: Column) -> Column:
+def _spread_out(s: str) -> str:
     """A compact timestamp in the plain layout."""
-    day = F.concat_ws("-", _part(s, 1, 4), _part(s, 5, 2), _part(s, 7, 2))
-    rest = F.substring(s, F.lit(14), F.length(s))
-    clock = F.when(_part(s, 12, 1) == ":", F.substring(s, F.lit(10), F.length(s))).otherwise(
-        F.concat_ws(":", _part(s, 10, 2), _part(s, 12, 2), rest)
-    )
-    return F.concat(day, F.lit("T"), clock)
+    clock = f"if({_part(s, 12, 1)} = ':', {_rest(s, 10)}, concat_ws(':', {_part(s, 10, 2)}, {_part(s, 12, 2)}, {_rest(s, 14)}))"
+    return f"concat({_compact_day(s)}, 'T', {clock})"
 
 
-def iso_date(s: Column) -> Column:
+def iso_date(s: str) -> str:
     """Calendar date as written (any zone offset is ignored), NULL when not ISO-8601."""
-    midnight_24 = (F.length(s) > 9) & (_part(_after_separator(s), 1, 2) == "24")
-    general = F.date_add(_day(s), F.when(midnight_24, F.lit(1)).otherwise(F.lit(0)))
-    return F.when(s.rlike(PLAIN_DATE), s.try_cast("date")).otherwise(general)
+    midnight_24 = f"length({s}) > 9 and {_part(_after_separator(s), 1, 2)} = '24'"
+    return f"""case when {matches(s, PLAIN_DATE)} then {_date(s)}
+        else date_add({_day(s)}, if({midnight_24}, 1, 0)) end"""
 
 
-def iso_timestamp(s: Column) -> Column:
+def iso_timestamp(s: str) -> str:
     """Instant; text without a zone is taken as UTC whatever the session zone is."""
     after = _after_separator(s)
-    clock = F.when(after == "", F.lit(0).cast("long")).otherwise(_clock_micros(after))
-    general = F.timestamp_micros(F.unix_date(_day(s)).cast("long") * 86_400_000_000 + clock)
-    return (
-        F.when(s.rlike(PLAIN_TIMESTAMP), _with_zone(s).try_cast("timestamp"))
-        .when(s.rlike(PLAIN_DATE), F.concat(s, F.lit("T00:00:00Z")).try_cast("timestamp"))
-        .when(s.rlike(COMPACT_TIMESTAMP), _with_zone(_spread_out(s)).try_cast("timestamp"))
-        .otherwise(general)
-    )
+    clock = f"if({after} = '', 0L, {_clock_micros(after)})"
+    return f"""case when {matches(s, PLAIN_TIMESTAMP)} then try_cast({_with_zone(s)} as timestamp)
+        when {matches(s, PLAIN_DATE)} then try_cast(concat({s}, 'T00:00:00Z') as timestamp)
+        when {matches(s, COMPACT_TIMESTAMP)} then try_cast({_with_zone(_spread_out(s))} as timestamp)
+        else timestamp_micros(unix_date({_day(s)}) * 86400000000L + {clock}) end"""

@@ -4,6 +4,8 @@ Every parser maps NULL and blank text to NULL. Text that is not a value of the
 target type fails the job in ``strict`` mode (the message starts with the quoted
 text) and becomes NULL otherwise; ``operators.casting.cast_rejects`` lists such
 values.
+
+Parsers take a column name or the text of a SQL expression.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ import unicodedata
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from lakeload.functions.iso import iso_date, iso_timestamp
+from lakeload.functions.iso import iso_date, iso_timestamp, matches
 
 # The characters Unicode calls white space.
 SPACES = (
@@ -46,68 +48,74 @@ def _digit_table() -> tuple[str, str]:
 OTHER_DIGITS, ASCII_DIGITS = _digit_table()
 
 
-def _column(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
-def _tidy(s: Column) -> Column:
+def _tidy(s: str) -> str:
     """Surrounding white space gone, digits of other scripts as ASCII."""
-    return F.translate(F.regexp_replace(s, EDGE_SPACES, ""), OTHER_DIGITS, ASCII_DIGITS)
+    return f"translate(regexp_replace({s}, r'{EDGE_SPACES}', ''), '{OTHER_DIGITS}', '{ASCII_DIGITS}')"
 
 
-def is_blank(c: Column | str) -> Column:
-    return _column(c).rlike(BLANK)
+def _blank(s: str) -> str:
+    return matches(s, BLANK)
 
 
-def blank_to_null(c: Column | str) -> Column:
-    s = _column(c)
-    return F.when(~s.rlike(BLANK), s)
+def _ungrouped(tidy: str, type_name: str) -> str:
+    return f"try_cast(replace({tidy}, '_', '') as {type_name})"
 
 
-def _long(s: Column) -> Column:
+def _long(s: str) -> str:
     tidy = _tidy(s)
-    return F.when(s.rlike(PLAIN_LONG), s.try_cast("long")).when(
-        tidy.rlike(LONG_FORM), F.replace(tidy, F.lit("_"), F.lit("")).try_cast("long")
-    )
+    return f"""case when {matches(s, PLAIN_LONG)} then try_cast({s} as bigint)
+        when {matches(tidy, LONG_FORM)} then {_ungrouped(tidy, 'bigint')} end"""
 
 
-def _double(s: Column) -> Column:
+def _double(s: str) -> str:
     tidy = _tidy(s)
-    return (
-        F.when(s.rlike(PLAIN_DOUBLE), s.try_cast("double"))
-        .when(tidy.rlike(DOUBLE_FORM), F.replace(tidy, F.lit("_"), F.lit("")).try_cast("double"))
-        .when(tidy.rlike(NAN_FORM), F.lit(float("nan")))
-        .when(tidy.rlike(INFINITY_FORM), F.when(tidy.startswith("-"), F.lit(float("-inf"))).otherwise(F.lit(float("inf"))))
-    )
+    return f"""case when {matches(s, PLAIN_DOUBLE)} then try_cast({s} as double)
+        when {matches(tidy, DOUBLE_FORM)} then {_ungrouped(tidy, 'double')}
+        when {matches(tidy, NAN_FORM)} then double('NaN')
+        when {matches(tidy, INFINITY_FORM)} then if(startswith({tidy}, '-'), double('-Infinity'), double('Infinity')) end"""
+
+
+_READERS = {"long": (_long, "bigint"), "double": (_double, "double"), "date": (iso_date, "date"), "timestamp": (iso_timestamp, "timestamp")}
 
 
-_READERS = {"long": _long, "double": _double, "date": iso_date, "timestamp": iso_timestamp}
+def is_blank(s: str) -> Column:
+    return F.expr(_blank(s))
 
 
-def parse_as(c: Column | str, type_name: str, strict: bool = True) -> Column:
+def blank_to_null(s: str) -> Column:
+    return F.expr(f"case when not {_blank(s)} then {s} end")
+
+
+def parse_as(s: str, type_name: str, strict: bool = True) -> Column:
     """Parse text as ``long``, ``double``, ``date`` or ``timestamp``; other types stay text."""
-    s = _column(c)
     if type_name not in _READERS:
-        return s
-    value = _READERS[type_name](s)
+        return F.expr(s)
+    read, sql_type = _READERS[type_name]
     if not strict:
-        return value
-    complaint = F.concat(F.lit("'"), s, F.lit(f"', is not a valid {type_name}"))
+        return F.expr(read(s))
+    complaint = f"concat(char(39), {s}, char(39), ', is not a valid {type_name}')"
     # coalesce is lazy: the blank test runs only for text that gave no value.
-    return F.coalesce(value, F.when(~s.rlike(BLANK), F.raise_error(complaint).cast(type_name)))
+    return F.expr(f"coalesce({read(s)}, case when not {_blank(s)} then cast(raise_error({complaint}) as {sql_type}) end)")
+
+
+def is_bad(s: str, type_name: str) -> Column:
+    """True for text that a strict parse would fail on."""
+    if type_name not in _READERS:
+        return F.lit(False)
+    return F.expr(f"({s} is not null and ({_READERS[type_name][0](s)}) is null and not {_blank(s)})")
 
 
-def parse_long(c: Column | str, strict: bool = True) -> Column:
-    return parse_as(c, "long", strict)
+def parse_long(s: str, strict: bool = True) -> Column:
+    return parse_as(s, "long", strict)
 
 
-def parse_double(c: Column | str, strict: bool = True) -> Column:
-    return parse_as(c, "double", strict)
+def parse_double(s: str, strict: bool = True) -> Column:
+    return parse_as(s, "double", strict)
 
 
-def parse_date(c: Column | str, strict: bool = True) -> Column:
-    return parse_as(c, "date", strict)
+def parse_date(s: str, strict: bool = True) -> Column:
+    return parse_as(s, "date", strict)
 
 
-def parse_timestamp(c: Column | str, strict: bool = True) -> Column:
-    return parse_as(c, "timestamp", strict)
+def parse_timestamp(s: str, strict: bool = True) -> Column:
+    return parse_as(s, "timestamp", strict)

@@ -8,13 +8,17 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeload.functions.parsers import is_blank, parse_as
+from lakeload.functions.parsers import is_bad, parse_as
 
 Field = Mapping[str, str]
 
 
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def _named(name: str) -> Column:
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(_quoted(name))
 
 
 def cast_to_schema(df: DataFrame, fields: Sequence[Field], mode: str = "strict", keep: Sequence[str] = ()) -> DataFrame:
@@ -27,14 +31,14 @@ def cast_to_schema(df: DataFrame, fields: Sequence[Field], mode: str = "strict",
     """
     if mode not in ("strict", "lenient"):
         raise ValueError(f"mode must be strict or lenient, not {mode!r}")
-    parsed = [parse_as(_named(f["name"]), f["type"], mode == "strict").alias(f["name"]) for f in fields]
+    parsed = [parse_as(_quoted(f["name"]), f["type"], mode == "strict").alias(f["name"]) for f in fields]
     return df.select(*parsed, *[_named(k) for k in keep])
 
 
 def cast_rejects(df: DataFrame, fields: Sequence[Field], keep: Sequence[str] = ()) -> DataFrame:
     """One row per value that does not parse: ``column, type, value`` and the ``keep`` columns."""
     typed = [f for f in fields if f["type"] != "string"]
-    bad = {f["name"]: _is_bad(f) for f in typed}
+    bad = {f["name"]: is_bad(_quoted(f["name"]), f["type"]) for f in typed}
     if not typed:
         return df.select(*[_named(k) for k in keep], *[F.lit("").alias(c) for c in ("column", "type", "value")]).where(F.lit(False))
     marked = df.where(reduce(Column.__or__, bad.values()))
@@ -50,8 +54,3 @@ def cast_rejects(df: DataFrame, fields: Sequence[Field], keep: Sequence[str] = (
         )
     )
     return marked.select(*[_named(k) for k in keep], F.inline(findings))
-
-
-def _is_bad(field: Field) -> Column:
-    text = _named(field["name"])
-    return text.isNotNull() & parse_as(text, field["type"], strict=False).isNull() & ~is_blank(text)
