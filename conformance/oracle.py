@@ -106,10 +106,10 @@ SQL = {
         concat(regexp_replace({DIR}, '__ct$', ''), '/') as table_prefix from {{v_loads}}""",
     "scan_csv_strings": """select cast(l_orderkey as varchar) as l_orderkey, cast(l_linenumber as varchar) as l_linenumber, long_s,
         nullif(double_s, '') as double_s, iso_s, dirty_s from {v_strings}""",
-    "list_objects": """select concat('T', table_id) as folder, count(distinct cast(floor(id / 10000) as bigint)) as objects, true as all_filled
+    "list_objects": """select concat('T', table_id) as folder, count(distinct cast(floor(id / 50000) as bigint)) as objects, true as all_filled
         from {v_loads} group by table_id""",
     "stream_discover": """select l.table_id, case when s.table_id is null or s.snapshot is not null then 'ready' else 'ready_for_erroring' end as status,
-        count(distinct cast(floor(l.id / 10000) as bigint)) as loads
+        count(distinct cast(floor(l.id / 50000) as bigint)) as loads
         from {v_loads} l join {v_tables} t on t.id = l.table_id and t.is_active and t.deleted_at is null
         left join {v_table_snapshots} s on s.table_id = l.table_id group by all""",
     "stateful_watermark": f"""select o.table_id, o.event_id, o.object_key as key from {{v_objects}} o

@@ -162,7 +162,7 @@ def landing_zone(t: Inputs) -> str:
     """Orders as small gzipped CSV objects below a folder per table; returns the root."""
     root = new_run_dir(t.spark, "incoming")
     rows = t.v_loads.select(
-        "id", "s3_key", "s3_size", F.concat(F.lit("T"), "table_id").alias("folder"), F.floor(F.col("id") / 10_000).alias("block")
+        "id", "s3_key", "s3_size", F.concat(F.lit("T"), "table_id").alias("folder"), F.floor(F.col("id") / 50_000).alias("block")
     )
     spread = rows.repartition("folder", "block")
     spread.write.partitionBy("folder", "block").option("compression", "gzip").csv(f"{root}/ods")

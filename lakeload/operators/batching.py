@@ -63,7 +63,7 @@ def chunk_loads(
         raise ValueError("max_num must be positive")
     group = by or "__all"
     source = loads if by else loads.withColumn(group, F.lit(0))
-    blocked = source.withColumn("__block", F.floor(F.col(id_column) / F.lit(BLOCK_IDS)).cast("long"))
+    blocked = source.withColumn("__block", F.expr(f"`{id_column}` div {BLOCK_IDS}"))
     group_type = source.schema[group].dataType.simpleString()
 
     def summarise(table: pa.Table) -> pa.Table:
