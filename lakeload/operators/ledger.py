@@ -7,7 +7,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeload.runtime import lookup_join, row_count_within
+from lakeload.runtime import lookup_join, row_count_within, row_salt
+
+# Default of spark.sql.optimizer.windowGroupLimitThreshold.
+PUSHED_LIMIT = 1000
 
 # The statuses of a load.
 STATUSES = (
@@ -156,7 +159,19 @@ def ready_loads(
 
 
 def first_per_group(df: DataFrame, by: Sequence[str], order: Sequence[str], count: int) -> DataFrame:
-    """The first ``count`` rows of each group."""
+    """The first ``count`` rows of each group, whatever the group's size.
+
+    Up to ``PUSHED_LIMIT`` Spark cuts every group on the map side by itself.
+    Above it the groups are cut in salted parts first, so that the final ranking
+    sees at most ``SALTS * count`` rows of a group.
+    """
+    if count > PUSHED_LIMIT:
+        parts = _ranked(df.withColumn("__part", row_salt(df)), [*by, "__part"], order, count)
+        return _ranked(parts.drop("__part"), by, order, count)
+    return _ranked(df, by, order, count)
+
+
+def _ranked(df: DataFrame, by: Sequence[str], order: Sequence[str], count: int) -> DataFrame:
     rank = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
     return df.withColumn("__rank", rank).where(F.col("__rank") <= count).drop("__rank")
 

@@ -85,7 +85,20 @@ def run_load_pass(
     """Take in new objects and land everything that is ready. Returns the pass number."""
     pass_id = store.next_pass() if pass_id is None else pass_id
     take_in(list_objects(spark, layout.incoming) if objects is None else objects, store, layout, pass_id, limits)
+    advance(spark, store, registry, layout, pass_id, header, limits)
+    return pass_id
+
 
+def advance(
+    spark: SparkSession,
+    store: LedgerStore,
+    registry: DataFrame,
+    layout: routing.Layout,
+    pass_id: int,
+    header: bool = False,
+    limits: Limits = Limits(),
+) -> None:
+    """The steps behind discovery: select ready loads, batch, route, cast and land them, record the outcome."""
     ready = ledger.ready_loads(
         store.loads((pass_id, SELECTED)), store.read("tables"), store.read("table_snapshots"), limits.per_table
     )
@@ -102,7 +115,6 @@ def run_load_pass(
     failed = land_routed(spark, plan, registry, header, limits)
     store.log(plan.join(failed, "id", "left_anti"), "ready_for_archiving", pass_id, FINISHED, "id")
     store.log(failed, "ready_for_erroring", pass_id, FAILED, "id")
-    return pass_id
 
 
 def land_routed(spark: SparkSession, plan: DataFrame, registry: DataFrame, header: bool, limits: Limits) -> DataFrame:

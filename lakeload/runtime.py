@@ -82,13 +82,16 @@ def lookup_join(
     if small:
         return big.join(F.broadcast(lookup), keys, how)
     salt = "__salt"
-    spread = big.withColumn(salt, _row_salt(big))
+    spread = big.withColumn(salt, row_salt(big))
     copies = lookup.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     return spread.join(copies, [*keys, salt], how).drop(salt)
 
 
-def _row_salt(df: DataFrame) -> Column:
-    # A hash of the row, not a random number: a recomputed task must send each
-    # row to the reducer it was sent to before.
+def row_salt(df: DataFrame) -> Column:
+    """A number below ``SALTS`` from a hash of the row.
+
+    Not a random number: a recomputed task must send each row to the reducer it
+    was sent to before.
+    """
     hashable = [f.name for f in df.schema.fields if f.dataType.typeName() not in ("map", "variant")]
     return F.pmod(F.xxhash64(*[F.col(f"`{name}`") for name in hashable]), F.lit(SALTS)).cast("int")

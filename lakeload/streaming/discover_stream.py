@@ -28,8 +28,9 @@ def start_discovery(
     """Record new and rewritten objects as loads, batch by batch.
 
     Batch *n* of the stream is pass *n + 1* of the ledger, so a batch that is
-    run again after a failure replaces its own rows. ``after_batch`` may run the
-    later steps. The stream delivers each object once, hence no per-prefix limit.
+    run again after a failure replaces its own rows. ``after_batch`` gets the
+    pass number and may run the later steps (``plans.load_pass.advance``). The
+    stream delivers each object once, hence no per-prefix limit.
     """
 
     def take_batch(batch: DataFrame, batch_id: int) -> None:

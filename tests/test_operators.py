@@ -80,6 +80,12 @@ def test_landing_replaces_only_the_partitions_written(spark, tmp_path):
     assert write([("c", "3")], "s1", "0012") == [("b", "2", "s2", "0013"), ("c", "3", "s1", "0012")]
 
 
+def test_rebalanced_landing_writes_the_same_rows(spark, tmp_path):
+    df = spark.range(0, 1000, 1, 8).select("id", F.when(F.col("id") % 10 < 7, "hot").otherwise("cold").alias("identifier"))
+    landing.land(df, f"{tmp_path}/t", ["identifier"], rebalance=True, max_records_per_file=300)
+    assert sorted(map(tuple, landing.read_landed(spark, f"{tmp_path}/t", ["identifier"]).collect())) == sorted(map(tuple, df.collect()))
+
+
 def test_landing_without_partitions_replaces_everything(spark, tmp_path):
     path = f"{tmp_path}/t"
     for name in ("a", "b"):
@@ -196,6 +202,14 @@ def test_ready_loads_limit_is_per_table_and_oldest_first(spark):
     assert sorted(values(ledger.ready_loads(loads, tables, none, per_table=2), "id")) == [4, 5, 6, 7]
 
 
+def test_first_per_group_beyond_the_pushed_limit(spark, monkeypatch):
+    df = spark.range(4000).select((F.col("id") % 3 == 0).cast("int").alias("g"), F.col("id").alias("v"))
+    want = sorted(map(tuple, ledger.first_per_group(df, ["g"], ["v"], 900).collect()))
+    monkeypatch.setattr(ledger, "PUSHED_LIMIT", 10)
+    assert sorted(map(tuple, ledger.first_per_group(df, ["g"], ["v"], 900).collect())) == want
+    assert len(want) == 1800
+
+
 def test_find_one_wants_exactly_one(spark):
     tables = tables_df(spark, [(1, "a", "p/", False, True), (2, "b", "q/", None, None)])
     assert values(ledger.find_one(tables, name="a"), "id") == [1]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lakeload.operators.landing import read_landed
 from lakeload.operators.routing import Layout
 from lakeload.plans.feed_sync import run_feed_sync
-from lakeload.plans.load_pass import run_load_pass
+from lakeload.plans.load_pass import advance, run_load_pass
 from lakeload.plans.relocation_pass import run_relocation_pass
 from lakeload.plans.store import LedgerStore
 from lakeload.sources.listing import list_objects, stream_objects
@@ -174,6 +174,16 @@ def test_discovery_stream_delivers_once_and_sees_rewrites(zone, tmp_path):
     assert zone.store.read("loads").select("id").distinct().count() == 4
 
 
+def test_stream_runs_the_later_steps(zone, tmp_path):
+    zone.put("datasets/set/1.csv.gz", ["5,2022-01-05,f"], START)
+    land = lambda pass_id: advance(zone.spark, zone.store, zone.registry, zone.layout, pass_id)
+    start_discovery(
+        zone.spark, zone.store, zone.layout, f"{tmp_path}/cp", {"availableNow": True}, settle_seconds=0, after_batch=land
+    ).awaitTermination()
+    assert zone.statuses() == {("datasets/set/1.csv.gz", START): "ready_for_archiving"}
+    assert zone.spark.read.parquet(f"{zone.layout.lake}datasets/set").count() == 1
+
+
 def test_stream_source_is_a_stream(zone):
     os.makedirs(zone.layout.incoming, exist_ok=True)
     assert stream_objects(zone.spark, zone.layout.incoming).isStreaming
