@@ -99,7 +99,7 @@ def loads_with_table(loads: DataFrame, tables: DataFrame, ids: DataFrame | None
     """Live loads (of the given ids) with ``table_name``; deleted tables are not left out."""
     rows = live(loads)
     if ids is not None:
-        rows = rows.join(ids.select("id"), "id", "left_semi")
+        rows = rows.join(ids.select("id").distinct(), "id", "left_semi")
     names = tables.select(F.col("id").alias("table_id"), F.col("name").alias("table_name"))
     return lookup_join(rows, names, "table_id", "inner", bounded_by=tables)
 
@@ -187,7 +187,7 @@ def update_many(loads: DataFrame, ids: DataFrame, **changes: object) -> DataFram
 
 def changed_rows(loads: DataFrame, ids: DataFrame, **changes: object) -> DataFrame:
     """Only the rows that :func:`update_many` changes, as they are afterwards."""
-    hit = live(loads).join(ids.select("id"), "id", "left_semi")
+    hit = live(loads).join(ids.select("id").distinct(), "id", "left_semi")
     return hit.withColumns({name: F.lit(value) for name, value in changes.items()})
 
 

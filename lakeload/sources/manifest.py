@@ -8,15 +8,23 @@ from pyspark.sql import functions as F
 from lakeload.functions.paths import DATA_SUFFIX, SIDECAR_SUFFIX, swap_suffix
 from lakeload.schemas import SIDECAR
 
+# What the column list needs of a sidecar; the parser skips everything else.
+COLUMN_NAMES = "dataInfo struct<columns: array<struct<name: string>>>"
+
 
 def read_sidecars(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """``path, body`` of sidecar files; each file is one document."""
     return spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("body"))
 
 
+def parsed_sidecars(sidecars: DataFrame, body: str = "body") -> DataFrame:
+    """Add ``sidecar``: the whole document as a struct."""
+    return sidecars.withColumn("sidecar", F.from_json(F.col(body), SIDECAR, {"mode": "FAILFAST"}))
+
+
 def sidecar_columns(sidecars: DataFrame, body: str = "body") -> DataFrame:
     """Add ``columns``: the lower-cased column names of each sidecar, in document order."""
-    parsed = F.from_json(F.col(body), SIDECAR, {"mode": "FAILFAST"})
+    parsed = F.from_json(F.col(body), COLUMN_NAMES, {"mode": "FAILFAST"})
     names = F.transform(parsed["dataInfo"]["columns"], lambda c: F.lower(c["name"]))
     return sidecars.withColumn("columns", names)
 

@@ -372,6 +372,8 @@ def test_sidecar_columns_from_files(spark, tmp_path):
     text = '{"dfmVersion": "1.1",\n "dataInfo": {"columns": [\n {"ordinal": 1, "name": "SAMPLE_ID", "type": "INT4"}, {"ordinal": 2, "name": "Name"}]}}'
     (tmp_path / "LOAD1.dfm").write_text(text)
     sidecars = manifest.read_sidecars(spark, f"{tmp_path}/*.dfm").withColumn("sidecar_key", F.lit("ods/S/LOAD1.dfm"))
+    whole = manifest.parsed_sidecars(sidecars).select("sidecar.dfmVersion", "sidecar.dataInfo.columns.type").first()
+    assert tuple(whole) == ("1.1", ["INT4", None])
     loads = spark.createDataFrame([(1, "ods/S/LOAD1.csv.gz"), (2, "ods/S/LOAD2.csv.gz")], "id bigint, s3_key string")
     found = manifest.load_manifest_columns(loads, sidecars)
     assert sorted(values(found, "id", "manifest_columns")) == [(1, ["sample_id", "name"]), (2, [])]
