@@ -91,6 +91,11 @@ SQL = {
         cast(nullif(double_s, '') as double) as double_s,
         case when length(iso_s) = 8 then cast(strptime(iso_s, '%Y%m%d') as date) else cast(substr(iso_s, 1, 10) as date) end as iso_s,
         dirty_s from {v_strings}""",
+    "load_pass": """select l_orderkey, l_linenumber,
+        case when regexp_full_match(long_s, '[0-9]+') then cast(long_s as bigint) end as long_s,
+        cast(nullif(double_s, '') as double) as double_s,
+        case when length(iso_s) = 8 then cast(strptime(iso_s, '%Y%m%d') as date) else cast(substr(iso_s, 1, 10) as date) end as iso_s,
+        dirty_s from {v_strings}""",
     "cast_rejects": """select l_orderkey, l_linenumber, 'dirty_s' as "column", 'long' as "type", dirty_s as "value"
         from {v_strings} where not regexp_full_match(dirty_s, '[0-9]+')""",
     "truncate_second": "select event_id, date_trunc('second', ts) as second from {events}",
@@ -132,12 +137,12 @@ SQL = {
         concat('snapshot=', o_orderstatus, '/identifier=', o_orderkey, '.csv.gz') as partitions from {orders}
         union all select o_orderkey, o_orderkey * 2 + 1, concat('datasets/b/', o_orderkey, '.csv.gz'), 'b', concat('identifier=', o_orderkey, '.csv.gz') from {orders}""",
     "ledger_live": "select * from {v_loads} where deleted_at is null",
-    "active_tables": "select * from {v_tables} where is_active and deleted_at is null",
+    "active_tables": "select * from {v_many_tables} where is_active and deleted_at is null",
     "loads_by_status": "select id, status, s3_key from {v_loads} where deleted_at is null and status in ('ready', 'archiving') order by id limit 1000",
     "loads_with_table": f"""select l.id, l.table_id, t.name as table_name, l.s3_key from {{v_loads}} l join {{v_tables}} t on t.id = l.table_id
         where l.deleted_at is null and l.id in {RETURNED}""",
-    "tables_with_snapshot": """select t.id, t.name, s.snapshot_s3_key, s.snapshot from {v_tables} t
-        left join {v_table_snapshots} s on s.table_id = t.id where t.deleted_at is null order by t.id""",
+    "tables_with_snapshot": """select t.id, t.name, s.snapshot_s3_key, s.snapshot from {v_many_tables} t
+        left join {v_many_snapshots} s on s.table_id = t.id where t.deleted_at is null order by t.id""",
     "latest_load_snapshot": LATEST_SNAPSHOT,
     "latest_snapshot_load": LAST_SNAPSHOT_LOAD,
     "ready_loads": f"""select * from ({READY}) qualify row_number() over (partition by table_id order by s3_modified, s3_key, id) <= 100""",

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from conformance.views import Inputs
 from lakeload import functions as fn
 from lakeload.operators import batching, casting, discover, feeds, landing, ledger, relocate, routing
+from lakeload.plans.load_pass import run_load_pass
 from lakeload.plans.store import LedgerStore
 from lakeload.runtime import new_run_dir, tune
 from lakeload.sources import catalog, csv_text, feed_bodies, manifest, payload
@@ -189,6 +190,29 @@ def stream_discover(t: Inputs) -> DataFrame:
     return store.read("loads").groupBy("table_id", "status").agg(F.count("*").alias("loads"))
 
 
+@query
+def load_pass(t: Inputs) -> DataFrame:
+    """Line items as CSV objects of 25 tables, half of them raw: discovered, batched, cast, landed, read back."""
+    root, columns = new_run_dir(t.spark, "pass"), t.v_strings.columns
+    layout = routing.Layout(*(f"{root}/{part}/" for part in ("incoming", "lake", "archive", "errors")))
+    texts = t.v_strings.select(
+        F.concat(F.lit("T"), F.col("l_orderkey") % 25).alias("folder"), F.floor(F.col("l_orderkey") / 50_000).alias("block"), *columns
+    )
+    writer = texts.repartition("folder", "block").write.partitionBy("folder", "block")
+    writer.options(compression="gzip", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(f"{layout.incoming}datasets")
+
+    store = LedgerStore(t.spark, f"{root}/ledger")
+    prefix = F.concat(F.lit("datasets/folder=T"), "id", F.lit("/"))
+    tables = t.v_tables.withColumns({"s3_prefix": prefix, "is_active": F.lit(True), "deleted_at": F.lit(None)})
+    store.write("tables", tables, 0)
+    kinds = {"l_orderkey": "bigint", "l_linenumber": "bigint", "long_s": "bigint", "double_s": "double", "iso_s": "date"}
+    fields = F.array(*[F.struct(F.lit(i).alias("ordinal"), F.lit(c).alias("column_name"), F.lit(kinds.get(c, "string")).alias("column_type")) for i, c in enumerate(columns)])
+    names = tables.select(F.explode(F.array("name", F.concat(F.lit("raw_"), "name"))).alias("table_name"))
+    run_load_pass(t.spark, store, names.select("table_name", F.inline(fields)), layout)
+    landed = t.spark.read.option("recursiveFileLookup", True).parquet(f"{layout.lake}datasets", f"{layout.lake}raw/datasets")
+    return landed.withColumn("l_linenumber", F.col("l_linenumber").cast("int"))
+
+
 @query
 def stateful_watermark(t: Inputs) -> DataFrame:
     root = new_run_dir(t.spark, "watermark")
@@ -262,7 +286,7 @@ def ledger_live(t: Inputs) -> DataFrame:
 
 @query
 def active_tables(t: Inputs) -> DataFrame:
-    return ledger.active_tables(t.v_tables)
+    return ledger.active_tables(t.v_many_tables)
 
 
 @query
@@ -278,7 +302,7 @@ def loads_with_table(t: Inputs) -> DataFrame:
 
 @query
 def tables_with_snapshot(t: Inputs) -> DataFrame:
-    return ledger.tables_with_snapshot(t.v_tables, t.v_table_snapshots).select("id", "name", "snapshot_s3_key", "snapshot")
+    return ledger.tables_with_snapshot(t.v_many_tables, t.v_many_snapshots).select("id", "name", "snapshot_s3_key", "snapshot")
 
 
 @query

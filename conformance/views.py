@@ -28,6 +28,18 @@ VIEWS = {
                concat('ods/T', cast(n_nationkey as varchar(10)), '/LOAD00000001.csv.gz') as snapshot_s3_key,
                case when n_nationkey % 3 = 1 then cast('1995-01-01 00:00:00' as timestamp) end as snapshot
         from {nation} where n_nationkey % 3 <> 0""",
+    # the same two, one table per customer
+    "v_many_tables": """
+        select cast(c_custkey as bigint) as id, concat('ods__t', cast(c_custkey as varchar(20))) as name,
+               concat('ods/T', cast(c_custkey as varchar(20)), '/') as s3_prefix, c_custkey % 2 = 0 as is_raw,
+               case c_custkey % 5 when 0 then false when 1 then null else true end as is_active,
+               case when c_custkey % 24 = 0 then date '2000-01-01' end as deleted_at
+        from {customer}""",
+    "v_many_snapshots": """
+        select cast(c_custkey as bigint) as table_id,
+               concat('ods/T', cast(c_custkey as varchar(20)), '/LOAD00000001.csv.gz') as snapshot_s3_key,
+               case when c_nationkey % 3 = 1 then cast('1995-01-01 00:00:00' as timestamp) end as snapshot
+        from {customer} where c_nationkey % 3 <> 0""",
     "v_loads": """
         select o_orderkey as id, o_custkey % 25 as table_id,
                case o_orderstatus when 'O' then 'ready' when 'F' then 'archiving' else 'ready_for_erroring' end as status,

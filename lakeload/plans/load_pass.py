@@ -120,20 +120,24 @@ def advance(
 def land_routed(spark: SparkSession, plan: DataFrame, registry: DataFrame, header: bool, limits: Limits) -> DataFrame:
     """Land every destination's loads, one read and one write each; returns the ids of loads that failed.
 
-    The driver holds the list of destinations (at most two per registered table)
-    and the paths of one pass, never their rows.
+    The driver holds the routes of one pass (the limits bound them) and the
+    schemas of their tables, never rows.
     """
-    destinations = plan.select("source_table_name", "destination_table_name", "destination_path").distinct().collect()
-
-    def one(destination) -> list[int]:
-        mine = plan.where(F.col("destination_path") == destination["destination_path"])
-        fields = catalog.fields_of(registry, destination["destination_table_name"])
-        columns = [f["name"] for f in catalog.fields_of(registry, destination["source_table_name"])]
-        loads = mine.select("id", "source_path", "partition_columns").collect()
-        return land_table(spark, loads, columns, fields, destination["destination_path"], header)
+    routes: dict[str, list] = {}
+    wanted = ("id", "source_table_name", "destination_table_name", "source_path", "destination_path", "partition_columns")
+    for load in plan.select(*wanted).collect():
+        routes.setdefault(load["destination_path"], []).append(load)
+    names = {load[c] for loads in routes.values() for load in loads for c in ("source_table_name", "destination_table_name")}
+    schemas = catalog.fields_of_tables(registry, sorted(names))
+
+    def one(destination: str) -> list[int]:
+        loads = routes[destination]
+        columns = [f["name"] for f in schemas.get(loads[0]["source_table_name"], [])]
+        fields = schemas.get(loads[0]["destination_table_name"], [])
+        return land_table(spark, loads, columns, fields, destination, header)
 
     with ThreadPoolExecutor(limits.concurrent_tables) as pool:
-        failed = [load_id for ids in pool.map(one, destinations) for load_id in ids]
+        failed = [load_id for ids in pool.map(one, routes) for load_id in ids]
     return spark.createDataFrame([(i,) for i in failed], "id bigint")
 
 
@@ -148,7 +152,9 @@ def land_table(spark: SparkSession, loads: list, columns: list[str], fields: lis
         # One row per file of this read; the broadcast is as long as the path list.
         keyed = [(_path_key(c["source_path"]), c["id"], *[p["value"] for p in c["partition_columns"]]) for c in chosen]
         routes = spark.createDataFrame(keyed, f"__key string, __id bigint, {', '.join(f'`{n}` string' for n in names)}")
-        return rows.withColumn("__key", F.regexp_replace(F.url_decode("__file"), r"^[a-z0-9]+:/+", "")).join(F.broadcast(routes), "__key")
+        # The scan gives paths URI-encoded, where a plus sign stands for itself.
+        decoded = F.url_decode(F.replace("__file", F.lit("+"), F.lit("%2B")))
+        return rows.withColumn("__key", F.regexp_replace(decoded, r"^[a-z0-9]+:/+", "")).join(F.broadcast(routes), "__key")
 
     def write(chosen: list) -> None:
         names = [p["name"] for p in chosen[0]["partition_columns"]]

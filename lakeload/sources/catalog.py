@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,15 +22,19 @@ def with_parsed_types(registry: DataFrame) -> DataFrame:
     return registry.withColumn("parsed_type", parsed_type(F.col("column_type")))
 
 
+def fields_of_tables(registry: DataFrame, table_names: Sequence[str]) -> dict[str, list[dict[str, str]]]:
+    """Fields for ``cast_to_schema`` by table name; a table has a few hundred columns at most."""
+    if not table_names:
+        return {}
+    rows = with_parsed_types(registry.where(F.col("table_name").isin(*table_names))).orderBy("table_name", "ordinal")
+    found: dict[str, list[dict[str, str]]] = {}
+    for row in rows.select("table_name", "column_name", "parsed_type").collect():
+        found.setdefault(row["table_name"], []).append({"name": row["column_name"], "type": row["parsed_type"]})
+    return found
+
+
 def fields_of(registry: DataFrame, table_name: str) -> list[dict[str, str]]:
-    """One table's fields for ``cast_to_schema``; a table has a few hundred columns at most."""
-    rows = (
-        with_parsed_types(registry.where(F.col("table_name") == table_name))
-        .orderBy("ordinal")
-        .select("column_name", "parsed_type")
-        .collect()
-    )
-    return [{"name": r["column_name"], "type": r["parsed_type"]} for r in rows]
+    return fields_of_tables(registry, [table_name]).get(table_name, [])
 
 
 def columns_by_table(registry: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +24,11 @@ def dialect_of(format_options: Mapping[str, str]) -> dict[str, str]:
     return {**DEFAULT_DIALECT, **found}
 
 
+def exact_path(path: str) -> str:
+    """A path that Spark takes literally, not as a pattern."""
+    return re.sub(r"([*?\[\]{}\\])", r"\\\1", path)
+
+
 def scan_csv_strings(
     spark: SparkSession,
     paths: str | Sequence[str],
@@ -34,6 +40,8 @@ def scan_csv_strings(
 ) -> DataFrame:
     """Read any number of objects of one table in a single scan, every column as text.
 
+    A single string may be a pattern or a folder; the paths of a list are literal.
+
     One read serves all loads of a table: the files are spread over the
     executors, and ``file_column`` (the object's full path) tells which load a
     row came from. Missing trailing columns are NULL and surplus ones are dropped
@@ -45,7 +53,7 @@ def scan_csv_strings(
         .options(**(dialect or DEFAULT_DIALECT))
         .option("header", header)
         .option("mode", mode)
-        .csv(paths if isinstance(paths, str) else list(paths))
+        .csv(paths if isinstance(paths, str) else [exact_path(p) for p in paths])
     )
     if file_column:
         df = df.select("*", F.col("_metadata.file_path").alias(file_column))

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import time
 from collections.abc import Iterator
 from urllib.parse import unquote, urlparse
@@ -43,7 +44,8 @@ def open_root(root: str) -> tuple[fs.FileSystem, str]:
         return fs.LocalFileSystem(), os.path.abspath(root)
     if root.startswith("file:"):
         return fs.LocalFileSystem(), unquote(urlparse(root).path).rstrip("/")
-    filesystem, path = fs.FileSystem.from_uri(root)
+    # Spark's names for S3 are not known to Arrow.
+    filesystem, path = fs.FileSystem.from_uri(re.sub(r"^s3[an]://", "s3://", root))
     return filesystem, path.rstrip("/")
 
 

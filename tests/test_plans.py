@@ -153,6 +153,16 @@ def test_an_unreadable_file_fails_alone(zone):
     assert by_key == {"datasets/set/1.csv.gz": "ready_for_archiving", "datasets/set/2.csv.gz": "ready_for_erroring"}
 
 
+def test_odd_file_names_are_landed(zone):
+    names = ["a[1].csv.gz", "a+b c.csv.gz", "50%25{x}*.csv.gz", "ä.csv.gz"]
+    for n, name in enumerate(names):
+        zone.put(f"datasets/set/{name}", [f"{n},2022-01-05,f"], START + n)
+    zone.run()
+    landed = read_landed(zone.spark, f"{zone.layout.lake}datasets/set", ["identifier"]).orderBy("n")
+    assert [r["identifier"] for r in landed.collect()] == names
+    assert set(zone.statuses().values()) == {"ready_for_archiving"}
+
+
 def test_discovery_stream_delivers_once_and_sees_rewrites(zone, tmp_path):
     def drain():
         query = start_discovery(zone.spark, zone.store, zone.layout, f"{tmp_path}/cp", {"availableNow": True}, settle_seconds=0)
