@@ -154,7 +154,8 @@ def path_parts(t: Inputs) -> DataFrame:
 def scan_csv_strings(t: Inputs) -> DataFrame:
     landing_zone = new_run_dir(t.spark, "csv")
     columns = t.v_strings.columns
-    writer = t.v_strings.write.options(escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    files = t.v_strings.repartition(t.spark.sparkContext.defaultParallelism)
+    writer = files.write.options(escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
     writer.option("compression", "gzip").csv(landing_zone)
     return csv_text.scan_csv_strings(t.spark, landing_zone, columns)
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -38,19 +37,16 @@ def cast_to_schema(df: DataFrame, fields: Sequence[Field], mode: str = "strict",
 def cast_rejects(df: DataFrame, fields: Sequence[Field], keep: Sequence[str] = ()) -> DataFrame:
     """One row per value that does not parse: ``column, type, value`` and the ``keep`` columns."""
     typed = [f for f in fields if f["type"] != "string"]
-    bad = {f["name"]: is_bad(_quoted(f["name"]), f["type"]) for f in typed}
+    carried = [_named(k) for k in keep]
     if not typed:
-        return df.select(*[_named(k) for k in keep], *[F.lit("").alias(c) for c in ("column", "type", "value")]).where(F.lit(False))
-    marked = df.where(reduce(Column.__or__, bad.values()))
-    findings = F.array_compact(
-        F.array(
-            *[
-                F.when(
-                    bad[f["name"]],
-                    F.struct(F.lit(f["name"]).alias("column"), F.lit(f["type"]).alias("type"), _named(f["name"]).alias("value")),
-                )
-                for f in typed
-            ]
+        return df.select(*carried, *[F.lit("").alias(c) for c in ("column", "type", "value")]).where(F.lit(False))
+    # No filter on the bad values: pushed below a projection it would repeat the
+    # expressions that make the texts once for every use in the parsers.
+    findings = [
+        F.when(
+            is_bad(_quoted(f["name"]), f["type"]),
+            F.struct(F.lit(f["name"]).alias("column"), F.lit(f["type"]).alias("type"), _named(f["name"]).alias("value")),
         )
-    )
-    return marked.select(*[_named(k) for k in keep], F.inline(findings))
+        for f in typed
+    ]
+    return df.select(*carried, F.inline(F.array_compact(F.array(*findings))))
