@@ -69,12 +69,13 @@ def chunk_loads(
     def summarise(table: pa.Table) -> pa.Table:
         ordered = table.sort_by(id_column)
         sizes = _sizes(ordered, size_column)
-        rows, following = len(sizes), next_starts(sizes, max_num, max_bytes)
-        batches, last = np.ones(rows, np.int64), np.arange(rows)
+        rows, following = len(sizes), next_starts(sizes, max_num, max_bytes).tolist()
+        batches, last = [1] * rows, list(range(rows))
         for row in range(rows - 1, -1, -1):
-            if following[row] < rows:
-                batches[row] += batches[following[row]]
-                last[row] = last[following[row]]
+            after = following[row]
+            if after < rows:
+                batches[row] += batches[after]
+                last[row] = last[after]
         cuts = min(max_num, rows)
         held = np.concatenate([[0], np.cumsum(sizes)])
         return pa.table(
@@ -84,9 +85,9 @@ def chunk_loads(
                 "rows": pa.array([rows], pa.int64()),
                 "total": pa.array([int(held[-1])], pa.int64()),
                 "head": pa.array([sizes[:cuts].tolist()], pa.list_(pa.int64())),
-                "batches": pa.array([batches[:cuts].tolist()], pa.list_(pa.int64())),
-                "open_count": pa.array([(rows - last[:cuts]).tolist()], pa.list_(pa.int64())),
-                "open_bytes": pa.array([(held[-1] - held[last[:cuts]]).tolist()], pa.list_(pa.int64())),
+                "batches": pa.array([batches[:cuts]], pa.list_(pa.int64())),
+                "open_count": pa.array([[rows - start for start in last[:cuts]]], pa.list_(pa.int64())),
+                "open_bytes": pa.array([[int(held[-1] - held[start]) for start in last[:cuts]]], pa.list_(pa.int64())),
             }
         )
 
@@ -116,13 +117,15 @@ def chunk_loads(
         ordered = table.sort_by(id_column)
         sizes = _sizes(ordered, size_column)
         before = entry.to_pylist()[0]
-        following = next_starts(sizes, max_num, max_bytes)
+        following = next_starts(sizes, max_num, max_bytes).tolist()
         head = sizes[: min(max_num, len(sizes))].tolist()
         row = joined_rows(head, len(sizes), before["open_count"], before["open_bytes"], max_num, max_bytes)
-        starts = np.zeros(len(sizes), np.int64)
+        first_rows = []
         while row < len(sizes):
-            starts[row] = 1
+            first_rows.append(row)
             row = following[row]
+        starts = np.zeros(len(sizes), np.int64)
+        starts[first_rows] = 1
         numbered = ordered.append_column("batch_no", pa.array(before["open_number"] + np.cumsum(starts), pa.int64()))
         return numbered.drop_columns(["__block"])
 
