@@ -116,7 +116,7 @@ def test_checks(spark):
     ]
     texts = ["2022-01-01T00:00:00.000000", "20220101 00:00:00", "2022-05-01 10:49:50.123456Z", "2022-01-01", "2022-13-01T00:00:00"]
     assert check(fn.valid_iso_datetime, texts) == [True, False, True, False, False]
-    urls = ["https://dmap/sample", "http://dmap/sample", "https://dmap", "https://dmap/", "HTTPS://h/a?b", "https://h?x=/a", ""]
+    urls = ["https://feeds/sample", "http://feeds/sample", "https://feeds", "https://feeds/", "HTTPS://h/a?b", "https://h?x=/a", ""]
     assert check(fn.valid_url, urls) == [True, False, False, False, True, False, False]
 
 
