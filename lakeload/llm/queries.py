@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeload.llm import chat_windows, decontaminate, packing
+from lakeload.llm import chat_windows, decontaminate, lsh_forest, packing
 from lakeload.llm.scratch import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,6 +91,37 @@ def op3_certified_packing(spark: SparkSession, table: Callable[[str], DataFrame]
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+# ---- 4: near-duplicates ------------------------------------------------------
+@query
+def op4_lsh_forest(spark: SparkSession, table: Callable[[str], DataFrame]) -> DataFrame:
+    """Components of documents whose sets of two-word shingles are similar."""
+    return lsh_forest.near_duplicates(table("documents"), width=2, percent=80)
+
+
+# SQL counts the common shingles of all pairs that share one.
+ORACLE_SQL["op4_lsh_forest"] = r"""
+with recursive words as (
+  select doc_id, list_filter(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') as w
+  from documents),
+sets as (
+  select doc_id, list_distinct(case when w is null or len(w) = 0 then [] when len(w) = 1 then [w[1]]
+                                    else list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) end) as s
+  from words),
+sizes as (select doc_id, len(s) as n, list_sort(s) as s from sets),
+nodes as (select min(doc_id) as node, n, s from sizes where n > 0 group by n, s),
+shingles as (select node, n, unnest(s) as shingle from nodes),
+links as (
+  select a.node as a, b.node as b
+  from shingles a join shingles b on a.shingle = b.shingle and a.node < b.node and 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+  group by a.node, b.node, a.n, b.n
+  having 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+both_ways as (select a, b from links union all select b, a from links),
+reached as (select a as node, a as other from both_ways union select r.node, e.b from reached r join both_ways e on e.a = r.other),
+parts as (select node, min(other) as part from reached group by node)
+select d.doc_id, d.n as n_shingles, coalesce(p.part, k.node, d.doc_id) as component_id, d.doc_id = coalesce(p.part, k.node, d.doc_id) as kept
+from sizes d left join nodes k on d.n > 0 and k.n = d.n and k.s = d.s left join parts p on p.node = k.node"""
+
+
 # ---- 10: decontamination -----------------------------------------------------
 @query
 def op10_prefix_decontamination(spark: SparkSession, table: Callable[[str], DataFrame]) -> DataFrame:
