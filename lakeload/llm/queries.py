@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeload.llm import chat_windows, decontaminate, lsh_forest, packing
+from lakeload.llm import chat_windows, decontaminate, lsh_forest, multiset_hash, packing
 from lakeload.llm.scratch import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -122,6 +122,13 @@ select d.doc_id, d.n as n_shingles, coalesce(p.part, k.node, d.doc_id) as compon
 from sizes d left join nodes k on d.n > 0 and k.n = d.n and k.s = d.s left join parts p on p.node = k.node"""
 
 
+# ---- 9: fingerprints ---------------------------------------------------------
+@query
+def op9_multiset_hash(spark: SparkSession, table: Callable[[str], DataFrame]) -> DataFrame:
+    """Fingerprints of every document and of its edited text, and their likenesses."""
+    return multiset_hash.edited_fingerprints(table("documents"))
+
+
 # ---- 10: decontamination -----------------------------------------------------
 @query
 def op10_prefix_decontamination(spark: SparkSession, table: Callable[[str], DataFrame]) -> DataFrame:
