@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeload.llm import chat_windows, decontaminate, lsh_forest, multiset_hash, packing
+from lakeload.llm import chat_windows, decontaminate, interpolation, lsh_forest, multiset_hash, packing
 from lakeload.llm.scratch import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -122,6 +122,14 @@ select d.doc_id, d.n as n_shingles, coalesce(p.part, k.node, d.doc_id) as compon
 from sizes d left join nodes k on d.n > 0 and k.n = d.n and k.s = d.s left join parts p on p.node = k.node"""
 
 
+# ---- 7: language-model scores ------------------------------------------------
+@query
+def op7_deleted_interpolation(spark: SparkSession, table: Callable[[str], DataFrame]) -> DataFrame:
+    """Scores of all documents by a model of those whose id does not have the remainder 2."""
+    remainder = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 7
+    return interpolation.score_texts(table("documents"), remainder == 2)
+
+
 # ---- 9: fingerprints ---------------------------------------------------------
 @query
 def op9_multiset_hash(spark: SparkSession, table: Callable[[str], DataFrame]) -> DataFrame:
