@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeload.llm.components import components
-from lakeload.llm.scratch import written
+from lakeload.llm.scratch import with_ids, written
 from lakeload.llm.words import MULTIPLIER, U64, hashed, mixed, runs, space_words
 
 HASHES = 128
@@ -49,9 +49,6 @@ NEIGHBOURS = 8
 #: Sketch agreement below which a pair is no candidate, against a similarity of 0.8.
 SKETCH_SHARE = 0.55
 
-#: Ids that are sent to every task to pick their texts (24 MB there); more are joined by a shuffle.
-SENT_IDS = 1_000_000
-
 #: Rows of an order looked at together.
 BLOCK_ROWS = 16_384
 
@@ -164,13 +161,6 @@ def setting(width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
     return run
 
 
-def with_ids(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
-    """``docs`` semi- or anti-joined with the distinct ``ids``; they are broadcast only if counted and few."""
-    few = ids.limit(SENT_IDS + 1).count() <= SENT_IDS
-    keys = ids.toDF("only_id")
-    return docs.join(F.broadcast(keys) if few else keys, docs["doc_id"].cast("long") == keys["only_id"], how)
-
-
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs whose sets are similar enough. A node has no more pairs than neighbours, so no key is hot."""
     a, b = sets.toDF("a", "set_a"), sets.toDF("b", "set_b")

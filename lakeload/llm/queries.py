@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeload.llm import chat_windows, decontaminate, interpolation, lsh_forest, multiset_hash, packing
+from lakeload.llm import chat_windows, decontaminate, importance, interpolation, lsh_forest, multiset_hash, packing
 from lakeload.llm.scratch import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,6 +83,13 @@ def op1_chat_windows(spark: SparkSession, table: Callable[[str], DataFrame]) ->
     return ordered.mapInPandas(chat_digests, CHAT_DIGEST)
 
 
+# ---- 2: quality --------------------------------------------------------------
+@query
+def op2_importance_resampling(spark: SparkSession, table: Callable[[str], DataFrame]) -> DataFrame:
+    """The documents drawn, with their log weights."""
+    return importance.resample(table("documents"), table("labels")).filter("selected").select("doc_id", "log_weight", "key")
+
+
 # ---- 3: packing --------------------------------------------------------------
 @query
 def op3_certified_packing(spark: SparkSession, table: Callable[[str], DataFrame]) -> DataFrame:
