@@ -1,11 +1,13 @@
 """Quality by importance resampling.
 
-Two generative models over hashed word n-grams (one word and two, each in buckets of
-their own): one of the target, the labelled good texts; one of the raw text, all documents.
-The log importance weight of a text is the sum, over its n-grams, of the log ratio of the
-two. Ratios are smoothed by a pseudo-count and shrunk by three standard errors of their
-counts, so that n-grams too rare to tell weigh nothing and long clean texts gather no
-noise.
+Two generative models over hashed n-grams (words, pairs of words, and words cut to
+four and five bytes, which know inflected forms; each kind in buckets of its own): one of
+the target, the labelled good texts; one of the raw text, all documents. The log importance
+weight of a text is the sum, over its n-grams, of the log ratio of the two. Ratios are
+smoothed by a pseudo-count and shrunk by four standard errors of their counts, so that
+n-grams too rare to tell weigh nothing and long clean texts gather no noise. An n-gram
+counts ``CLIP`` times per text at most, so one text that repeats a phrase does not make
+the phrase suspect; the repeats beyond, if they fill a text, are a token of their own.
 
 The sample is drawn without replacement by Gumbel top-k: the k largest of log weight plus
 ``temperature`` times Gumbel noise. Unless given, k is the number of documents whose weight
@@ -41,10 +43,18 @@ MAX_LABELS = 200_000
 #: Buckets of each order, as a power of two.
 BITS = 18
 BUCKETS = 1 << BITS
-ORDERS = 2
+PREFIXES = (4, 5)
+ORDERS = 2 + len(PREFIXES)
 
-PSEUDO_COUNT = 1.0
-SHRINK_ERRORS = 3.0
+#: Times that one text counts an n-gram at most.
+CLIP = 16
+
+#: Repeats beyond CLIP are tokens of this bucket (among the pairs) if the pair is more than 1 in AGAIN_SHARE of the text.
+AGAIN = 2 * BUCKETS - 1
+AGAIN_SHARE = 20
+
+PSEUDO_COUNT = 0.5
+SHRINK_ERRORS = 4.0
 TEMPERATURE = 0.1
 
 #: Words and runs of other signs, of lower-cased UTF-8.
@@ -53,12 +63,19 @@ TOKEN = re.compile(rb"[0-9a-z_\x80-\xff]+|[^\s0-9a-z_\x80-\xff]+")
 SCORED = "doc_id long, good boolean, log_weight double"
 
 
-def ngram_buckets(text: str | None) -> np.ndarray:
-    """Bucket of each n-gram of a whole text; the orders follow each other."""
-    hashes = hashed(TOKEN.findall(text.encode("utf-8", "surrogatepass").lower())) if text else np.empty(0, U64)
-    pairs = runs(hashes, 2) if len(hashes) > 1 else hashes[:0]
-    shift = U64(64 - BITS)
-    return np.concatenate([mixed(hashes) >> shift, (pairs >> shift) + U64(BUCKETS)]).astype(np.int64)
+def ngram_counts(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of the n-grams of a whole text, once each, and their clipped counts."""
+    words = TOKEN.findall(text.encode("utf-8", "surrogatepass").lower()) if text else []
+    if not words:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    hashes, shift = hashed(words), U64(64 - BITS)
+    kinds = [mixed(hashes), runs(hashes, 2) if len(words) > 1 else hashes[:0]]
+    kinds += [mixed(hashed([w[:size] for w in words if len(w) >= size])) for size in PREFIXES]
+    buckets = np.concatenate([(kind >> shift).astype(np.int64) + i * BUCKETS for i, kind in enumerate(kinds)])
+    found, counts = np.unique(buckets, return_counts=True)
+    filling = (found >= BUCKETS) & (found < 2 * BUCKETS) & (counts > max(CLIP, len(words) // AGAIN_SHARE))
+    again = int((counts[filling] - CLIP).sum())
+    return np.append(found, AGAIN), np.append(np.minimum(counts, CLIP), again)
 
 
 def counting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -66,10 +83,10 @@ def counting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     raw, target = (np.zeros(ORDERS * BUCKETS, np.int64) for _ in range(2))
     for batch in batches:
         for good, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            buckets = ngram_buckets(text)
-            np.add.at(raw, buckets, 1)
+            buckets, counts = ngram_counts(text)
+            np.add.at(raw, buckets, counts)
             if good:
-                np.add.at(target, buckets, 1)
+                np.add.at(target, buckets, counts)
     found = np.flatnonzero(raw)
     yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(target[found]), pa.array(raw[found])], names=["bucket", "target", "raw"])
 
@@ -91,7 +108,7 @@ def weighing(shared) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordB
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ratios = shared.value
         for batch in batches:
-            weights = [float(ratios[ngram_buckets(text)].sum()) for text in batch.column(2).to_pylist()]
+            weights = [float(counts.dot(ratios[buckets])) for buckets, counts in map(ngram_counts, batch.column(2).to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(weights, pa.float64())], names=["doc_id", "good", "log_weight"])
 
     return run
@@ -141,7 +158,7 @@ def resample(docs: DataFrame, labels: DataFrame, k: int | None = None, temperatu
     target, raw = (np.zeros(ORDERS * BUCKETS, np.int64) for _ in range(2))
     target[table["bucket"].to_numpy()], raw[table["bucket"].to_numpy()] = table["target"].to_numpy(), table["raw"].to_numpy()
 
-    shared = spark.sparkContext.broadcast(log_ratios(target, raw).astype(np.float32))
+    shared = spark.sparkContext.broadcast(log_ratios(target, raw))
     weighed = flagged.select("doc_id", "good", "text").mapInArrow(weighing(shared), SCORED)
     # fixed point with 20 binary places; noise by the row's hash
     share = (F.shiftrightunsigned(F.xxhash64("doc_id", "log_weight"), 11) + 0.5) / float(1 << 53)

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeload.llm import chat_windows, decontaminate, importance, interpolation, lsh_forest, multiset_hash, packing
+from lakeload.llm import chat_windows, decontaminate, importance, interpolation, line_spread, lsh_forest, multiset_hash, packing
 from lakeload.llm.scratch import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -137,6 +137,34 @@ def op7_deleted_interpolation(spark: SparkSession, table: Callable[[str], DataFr
     return interpolation.score_texts(table("documents"), remainder == 2)
 
 
+# ---- 8: line dedup -----------------------------------------------------------
+@query
+def op8_line_spread(spark: SparkSession, table: Callable[[str], DataFrame]) -> DataFrame:
+    """What cross-site boilerplate removal leaves of each document."""
+    left = line_spread.without_boilerplate(table("documents"))
+    text = F.coalesce("text", F.lit(""))
+    return left.select("doc_id", "n_removed_lines", F.length(text).cast("long").alias("n_chars"), F.sha2(text, 256).alias("text_sha256"))
+
+
+ORACLE_SQL["op8_line_spread"] = r"""
+with lines as (
+  select doc_id, source, text, unnest(string_split(text, chr(10))) as raw_line, unnest(range(0, len(string_split(text, chr(10))))) as place
+  from documents),
+long_lines as (
+  select doc_id, source, text, raw_line, place, trim(raw_line, ' ' || chr(9) || chr(13) || chr(12) || chr(11)) as line,
+         length(trim(raw_line, ' ' || chr(9) || chr(13) || chr(12) || chr(11))) >= 20 as counts
+  from lines),
+copies as (select text, min(doc_id) as first_id, min(coalesce(source, '')) as site from documents group by text),
+texts as (select distinct l.line, c.text, c.first_id, c.site from long_lines l join copies c using (text) where l.counts),
+spread as (select line, min(first_id) as keeper from texts group by line having count(distinct site) >= 8),
+judged as (select l.doc_id, l.place, l.raw_line, s.keeper is not null and s.keeper <> l.doc_id as lost
+           from long_lines l left join spread s on l.counts and s.line = l.line),
+left_over as (select doc_id, count(*) filter (lost) as n_removed_lines, coalesce(string_agg(raw_line, chr(10) order by place) filter (not lost), '') as text
+              from judged group by doc_id)
+select d.doc_id, coalesce(n_removed_lines, 0) as n_removed_lines, coalesce(length(l.text), 0) as n_chars, sha256(coalesce(l.text, '')) as text_sha256
+from documents d left join left_over l using (doc_id)"""
+
+
 # ---- 9: fingerprints ---------------------------------------------------------
 @query
 def op9_multiset_hash(spark: SparkSession, table: Callable[[str], DataFrame]) -> DataFrame:
