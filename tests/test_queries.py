@@ -4,8 +4,9 @@ import pytest
 
 import __spark_entry__ as entry_module
 from conformance.compare import connect, difference
+from conformance.queries import QUERIES
 
-QUERIES, ORACLES = entry_module.queries(), entry_module.oracle_sql()
+ORACLES = entry_module.oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -22,6 +23,11 @@ def test_query_agrees_with_sql(spark, sf_dir, duck, name):
     assert difference(QUERIES[name](spark, sf_dir), duck, ORACLES[name]) is None
 
 
+def test_entry_registers_every_query():
+    assert set(QUERIES) <= set(entry_module.queries())
+    assert ORACLES.items() <= entry_module.oracle_sql().items()
+
+
 def test_entry_lands_and_reads_back(spark):
     rows = entry_module.entry(spark)
     assert rows.count() == 6000
