@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeload.llm.scratch import SENT_IDS, written
+from lakeload.llm.scratch import few, written
 
 MIN_SITES = 8
 MIN_CHARS = 20
@@ -60,11 +60,6 @@ def long_lines(docs: DataFrame, min_chars: int) -> DataFrame:
     )
 
 
-def few(df: DataFrame) -> DataFrame:
-    """A written table, marked for broadcast if it was counted and is small."""
-    return F.broadcast(df) if df.limit(SENT_IDS // 4 + 1).count() <= SENT_IDS // 4 else df
-
-
 def boilerplate(lines: DataFrame, min_sites: int) -> DataFrame:
     """``line, line_check`` and the ``keeper`` (doc_id and text) of each line on at least ``min_sites`` sites."""
     texts = lines.groupBy(*LINE, *TEXT).agg(F.min("site").alias("site"), F.min("doc_id").alias("doc_id"))

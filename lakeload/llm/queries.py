@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeload.llm import chat_windows, decontaminate, importance, interpolation, line_spread, lsh_forest, multiset_hash, packing
+from lakeload.llm import chat_windows, decontaminate, fixity, importance, interpolation, line_spread, link_trust, lsh_forest, multiset_hash, packing
 from lakeload.llm.scratch import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -129,6 +129,49 @@ select d.doc_id, d.n as n_shingles, coalesce(p.part, k.node, d.doc_id) as compon
 from sizes d left join nodes k on d.n > 0 and k.n = d.n and k.s = d.s left join parts p on p.node = k.node"""
 
 
+# ---- 5: url filters ----------------------------------------------------------
+@query
+def op5_link_trust(spark: SparkSession, table: Callable[[str], DataFrame]) -> DataFrame:
+    """Verdict on every page's url."""
+    rules = spark.sql("select * from values {} as r(verdict, rule_host, rule_path)".format(", ".join(map(str, link_trust.RULES))))
+    return link_trust.judged_pages(table("pages"), rules).select("page_id", "host", "path", "rule", "verdict")
+
+
+# ---- 6: fixity ---------------------------------------------------------------
+@query
+def op6_merkle_audit(spark: SparkSession, table: Callable[[str], DataFrame]) -> DataFrame:
+    """Damage in a replica of all pages: every 97th record has another first sign, every 89th is lost."""
+    pages = table("pages")
+    flipped = F.concat(F.when(F.startswith("html", F.lit("~")), "!").otherwise("~"), F.substr("html", F.lit(2)))
+    hit = (F.col("page_id") % 97 == 5) & (F.ascii("html").between(1, 127))
+    replica = fixity.page_records(pages.withColumn("html", F.when(hit, flipped).otherwise(F.col("html"))))
+    lost = F.coalesce(F.col("record_id") % 89 == 7, F.lit(False))
+    return fixity.audit(fixity.page_records(pages), replica.filter(~lost))
+
+
+ORACLE_SQL["op6_merkle_audit"] = r"""
+with record as (
+  select page_id as record_id, coalesce(html, '') as html,
+         'WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10) || 'WARC-Record-ID: <urn:page:' || page_id || '>' || chr(13) || chr(10)
+         || 'WARC-Target-URI: ' || coalesce(url, '') || chr(13) || chr(10) || 'Content-Type: text/html' || chr(13) || chr(10) || 'Content-Length: '
+         || strlen(coalesce(html, '')) || chr(13) || chr(10) || chr(13) || chr(10) as head
+  from pages),
+both_copies as (
+  select record_id, head || html || chr(13) || chr(10) || chr(13) || chr(10) as payload,
+         case when record_id % 89 = 7 then null
+              when record_id % 97 = 5 and html <> '' and ascii(html) < 128
+                then head || case when html like '~%' then '!' else '~' end || substr(html, 2) || chr(13) || chr(10) || chr(13) || chr(10)
+              else head || html || chr(13) || chr(10) || chr(13) || chr(10) end as found
+  from record),
+placed as (
+  select record_id, record_id // 512 as file_no, strlen(payload) as length, sha256(payload) as digest, sha256(found) as found_digest,
+         coalesce(sum(strlen(payload)) over (partition by record_id // 512 order by record_id rows between unbounded preceding and 1 preceding), 0) as place
+  from both_copies)
+select record_id, file_no, cast(place as bigint) as "offset", length, digest, found_digest,
+       case when found_digest is null then 'missing' else 'corrupt' end as status
+from placed where found_digest is null or found_digest <> digest"""
+
+
 # ---- 7: language-model scores ------------------------------------------------
 @query
 def op7_deleted_interpolation(spark: SparkSession, table: Callable[[str], DataFrame]) -> DataFrame:

@@ -37,3 +37,8 @@ def with_ids(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
     few = ids.limit(SENT_IDS + 1).count() <= SENT_IDS
     keys = ids.toDF("only_id")
     return docs.join(F.broadcast(keys) if few else keys, docs["doc_id"].cast("long") == keys["only_id"], how)
+
+
+def few(df: DataFrame) -> DataFrame:
+    """``df`` (cheap to count), marked for broadcast if it was counted and has at most a quarter of SENT_IDS rows."""
+    return F.broadcast(df) if df.limit(SENT_IDS // 4 + 1).count() <= SENT_IDS // 4 else df
