@@ -44,6 +44,7 @@ HASHES = 128
 ORDERS = 16
 KEY_HASHES = 16
 SKETCH = 64
+REGION = 16
 NEIGHBOURS = 8
 
 #: Sketch agreement below which a pair is no candidate, against a similarity of 0.8.
@@ -113,10 +114,24 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
 def neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by order and key -> candidate pairs (a < b) with their sketch agreement."""
 
+    def region_depth(common: np.ndarray, n: int) -> np.ndarray:
+        """Smallest depth at which a node's region is small enough; KEY_HASHES + 1 if none is."""
+        depth = np.full(n, KEY_HASHES + 1)
+        for d in range(KEY_HASHES, 0, -1):
+            region = np.concatenate([[0], np.cumsum(common < d)])
+            depth[np.bincount(region)[region] <= REGION] = d
+        return depth
+
     def pairs(order: np.ndarray, keys: np.ndarray, node: np.ndarray, sketch: np.ndarray) -> pa.RecordBatch:
-        found = []
-        for k in range(1, min(NEIGHBOURS, len(node) - 1) + 1):
-            near = np.flatnonzero((order[k:] == order[:-k]) & (keys[k:] == keys[:-k]))
+        n = len(node)
+        # minima that neighbours have in common, from the first on
+        common = np.cumprod(keys[1:] == keys[:-1], axis=1).sum(axis=1) * (order[1:] == order[:-1])
+        depth = region_depth(common, n)
+        reach, found = common.copy(), []
+        for k in range(1, min(REGION, n)):
+            reach = np.minimum(reach[: n - k], common[k - 1 :])
+            crowded = (depth[:-k] > KEY_HASHES) & (reach == KEY_HASHES) & (k <= NEIGHBOURS)
+            near = np.flatnonzero((reach >= depth[:-k]) | crowded | ((reach > 0) & (k == 1)))
             share = (sketch[near] == sketch[near + k]).mean(axis=1) if len(near) else np.empty(0)
             near, share = near[share >= SKETCH_SHARE], share[share >= SKETCH_SHARE]
             found.append((np.minimum(node[near], node[near + k]), np.maximum(node[near], node[near + k]), share))
@@ -125,9 +140,9 @@ def neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def arrays(parts: list[pa.RecordBatch]) -> tuple[np.ndarray, ...]:
         table = pa.Table.from_batches(parts)
-        first = np.frombuffer(b"".join(key[:4] for key in table["key"].to_pylist()), ">u4").astype(np.uint32)
+        keys = np.frombuffer(b"".join(table["key"].to_pylist()), ">u4").reshape(-1, KEY_HASHES)
         sketch = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint8).reshape(-1, SKETCH)
-        return table["order"].to_numpy(), first, table["node"].to_numpy(), sketch
+        return table["order"].to_numpy(), keys, table["node"].to_numpy(), sketch
 
     held: list[pa.RecordBatch] = []
     for batch in batches:
@@ -135,7 +150,7 @@ def neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if sum(b.num_rows for b in held) >= BLOCK_ROWS:
             yield pairs(*arrays(held))
             table = pa.Table.from_batches(held)
-            held = table.slice(table.num_rows - NEIGHBOURS).combine_chunks().to_batches()
+            held = table.slice(table.num_rows - REGION).combine_chunks().to_batches()
     if held:
         yield pairs(*arrays(held))
 
