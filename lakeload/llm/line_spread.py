@@ -87,11 +87,11 @@ def removed_places(docs: DataFrame, min_sites: int = MIN_SITES, min_chars: int =
 
 def without_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, min_chars: int = MIN_CHARS) -> DataFrame:
     """The rows and columns of ``docs``, boilerplate lines cut from ``text``, and ``n_removed_lines``."""
-    removed = removed_places(docs, min_sites, min_chars).toDF("lost_id", "lost_text", "lost_check", "lost_places")
-    hashes = two_hashes(docs["text"])
-    same = docs["doc_id"].cast("long").eqNullSafe(F.col("lost_id")) & (hashes[0] == F.col("lost_text")) & (hashes[1] == F.col("lost_check"))
-    left = F.filter(F.split(docs["text"], "\n"), lambda _, i: ~F.array_contains("lost_places", i))
-    text = F.when(F.col("lost_places").isNull(), docs["text"]).otherwise(F.array_join(left, "\n"))
-    lost = F.coalesce(F.array_size("lost_places"), F.lit(0)).cast("long")
+    removed = few(removed_places(docs, min_sites, min_chars).toDF("lost_id", "lost_text", "lost_check", "lost_places"))
+    hashes, places = two_hashes(docs["text"]), removed["lost_places"]
+    same = docs["doc_id"].cast("long").eqNullSafe(removed["lost_id"]) & (hashes[0] == removed["lost_text"]) & (hashes[1] == removed["lost_check"])
+    left = F.filter(F.split(docs["text"], "\n"), lambda _, i: ~F.array_contains(places, i))
+    text = F.when(places.isNull(), docs["text"]).otherwise(F.array_join(left, "\n"))
+    lost = F.coalesce(F.array_size(places), F.lit(0)).cast("long")
     columns = [text.alias(c) if c == "text" else docs[c] for c in docs.columns if c != "n_removed_lines"]
-    return docs.join(few(removed), same, "left").select(*columns, lost.alias("n_removed_lines"))
+    return docs.join(removed, same, "left").select(*columns, lost.alias("n_removed_lines"))
