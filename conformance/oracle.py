@@ -139,6 +139,7 @@ SQL = {
     "ledger_live": "select * from {v_loads} where deleted_at is null",
     "active_tables": "select * from {v_many_tables} where is_active and deleted_at is null",
     "loads_by_status": "select id, status, s3_key from {v_loads} where deleted_at is null and status in ('ready', 'archiving') order by id limit 1000",
+    "loads_by_status_all": "select id, status, s3_key from {v_loads} where deleted_at is null and status in ('ready', 'archiving')",
     "loads_with_table": f"""select l.id, l.table_id, t.name as table_name, l.s3_key from {{v_loads}} l join {{v_tables}} t on t.id = l.table_id
         where l.deleted_at is null and l.id in {RETURNED}""",
     "tables_with_snapshot": """select t.id, t.name, s.snapshot_s3_key, s.snapshot from {v_many_tables} t
@@ -170,6 +171,10 @@ SQL = {
         where o.object_key like '%.csv.gz' and o.object_size is not null
           and (w.watermark is null or {SECOND.format('o.last_modified')} > w.watermark)
         qualify row_number() over (partition by regexp_extract(o.object_key, '^.*/') order by o.object_key) <= 500""",
+    "new_objects_all": f"""select o.table_id, o.event_id, o.object_key as key from {{v_objects}} o
+        left join (select table_id, max(s3_modified) as watermark from ({LOADED}) group by table_id) w on w.table_id = o.table_id
+        where o.object_key like '%.csv.gz' and o.object_size is not null
+          and (w.watermark is null or {SECOND.format('o.last_modified')} > w.watermark)""",
     "unseen_objects": f"""select o.table_id, o.event_id, o.object_key as key from {{v_objects}} o
         where o.object_key like '%.csv.gz' and o.object_size is not null
           and not exists (select 1 from ({LOADED}) d where d.object_key = o.object_key and d.s3_modified = {SECOND.format('o.last_modified')})""",

@@ -292,6 +292,11 @@ def active_tables(t: Inputs) -> DataFrame:
 
 @query
 def loads_by_status(t: Inputs) -> DataFrame:
+    return ledger.loads_by_status(t.v_loads, ["ready", "archiving"], limit=1000).select("id", "status", "s3_key")
+
+
+@query
+def loads_by_status_all(t: Inputs) -> DataFrame:
     return ledger.loads_by_status(t.v_loads, ["ready", "archiving"]).select("id", "status", "s3_key")
 
 
@@ -318,7 +323,8 @@ def latest_snapshot_load(t: Inputs) -> DataFrame:
 
 @query
 def ready_loads(t: Inputs) -> DataFrame:
-    return ledger.ready_loads(t.v_loads, t.v_tables, t.v_table_snapshots).select("id", "table_id", "table_name", "s3_key", "s3_modified")
+    chosen = ledger.ready_loads(t.v_loads, t.v_tables, t.v_table_snapshots, per_table=100)
+    return chosen.select("id", "table_id", "table_name", "s3_key", "s3_modified")
 
 
 @query
@@ -403,6 +409,11 @@ def table_watermark(t: Inputs) -> DataFrame:
 
 @query
 def new_objects(t: Inputs) -> DataFrame:
+    return discover.new_objects(discover.valid_objects(listing(t)), loaded(t), per_prefix=500).select("table_id", "event_id", "key")
+
+
+@query
+def new_objects_all(t: Inputs) -> DataFrame:
     return discover.new_objects(discover.valid_objects(listing(t)), loaded(t)).select("table_id", "event_id", "key")
 
 

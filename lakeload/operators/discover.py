@@ -47,13 +47,13 @@ def table_watermark(loads: DataFrame) -> DataFrame:
 
 
 def new_objects(
-    objects: DataFrame, loads: DataFrame, per_prefix: int | None = 500, tables: DataFrame | None = None
+    objects: DataFrame, loads: DataFrame, per_prefix: int | None = None, tables: DataFrame | None = None
 ) -> DataFrame:
     """Objects (``table_id, key, last_modified, …``) modified after their table's last load.
 
     The comparison is strict and in whole seconds; a table without loads takes
-    everything. At most ``per_prefix`` objects of each folder are kept, in key
-    order. ``tables`` bounds the number of watermarks.
+    everything. With ``per_prefix``, at most so many objects of each folder are
+    kept, in key order. ``tables`` bounds the number of watermarks.
     """
     seen = lookup_join(objects, table_watermark(loads), "table_id", "left", bounded_by=tables)
     later = seen.where(F.col("watermark").isNull() | (truncate_second(F.col("last_modified")) > F.col("watermark"))).drop("watermark")

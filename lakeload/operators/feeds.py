@@ -62,17 +62,12 @@ def upsert_datasets(stored: DataFrame, incoming: DataFrame, arrival: str = "arri
         F.min_by(F.struct(*others), F.col(arrival)).alias("__first"),
         F.max_by("last_updated_at", F.col(arrival)).alias("__last"),
     )
-    kept = stored.select("identifier", *others, "last_updated_at", F.lit(True).alias("__stored"))
-    merged = kept.join(batch, "identifier", "full_outer")
+    # Columns that only the ledger knows (ids, deletion, times of its rows) stay as they are.
+    merged = stored.withColumn("__stored", F.lit(True)).join(batch, "identifier", "full_outer")
     known = F.col("__stored").isNotNull()
-    return merged.select(
-        F.when(known, F.col("feed_id")).otherwise(F.col("__first.feed_id")).alias("feed_id"),
-        F.when(known, F.col("type")).otherwise(F.col("__first.type")).alias("type"),
-        "identifier",
-        F.when(known, F.col("start_date")).otherwise(F.col("__first.start_date")).alias("start_date"),
-        F.when(known, F.col("end_date")).otherwise(F.col("__first.end_date")).alias("end_date"),
-        F.coalesce("__last", "last_updated_at").alias("last_updated_at"),
-    )
+    chosen = {c: F.when(known, F.col(c)).otherwise(F.col(f"__first.{c}")) for c in others}
+    chosen["last_updated_at"] = F.coalesce("__last", "last_updated_at")
+    return merged.select(*[chosen.get(c, F.col(c)).alias(c) for c in stored.columns])
 
 
 def feed_watermark(feeds: DataFrame, datasets: DataFrame, may_go_back: bool = False) -> DataFrame:

@@ -89,7 +89,7 @@ def active_tables(tables: DataFrame) -> DataFrame:
     return live(tables).where(F.col("is_active"))
 
 
-def loads_by_status(loads: DataFrame, statuses: Sequence[str], limit: int | None = 1000) -> DataFrame:
+def loads_by_status(loads: DataFrame, statuses: Sequence[str], limit: int | None = None) -> DataFrame:
     """Live loads in one of ``statuses``, the oldest ids first when limited."""
     rows = live(loads).where(F.col("status").isin(*statuses)) if statuses else loads.where(F.lit(False))
     return rows if limit is None else rows.orderBy("id").limit(limit)
@@ -127,9 +127,9 @@ def latest_snapshot_load(loads: DataFrame, table_snapshots: DataFrame, few: bool
 
 
 def ready_loads(
-    loads: DataFrame, tables: DataFrame, table_snapshots: DataFrame, per_table: int | None = 100
+    loads: DataFrame, tables: DataFrame, table_snapshots: DataFrame, per_table: int | None = None
 ) -> DataFrame:
-    """Ready loads of live tables, ``per_table`` at most, oldest first.
+    """Ready loads of live tables; with ``per_table``, so many of each at most, oldest first.
 
     A table with a snapshot row contributes loads at or after the last load of
     its snapshot file, and nothing while that file was never loaded. The limit
@@ -220,9 +220,12 @@ def current_status(status_log: DataFrame) -> DataFrame:
     return status_log.groupBy("load_id").agg(F.max_by("status", F.struct("at", "seq")).alias("status"))
 
 
-def dispatch_actions(loads: DataFrame, limit: int | None = 1000) -> DataFrame:
+DISPATCHED = ("ready_for_archiving", "ready_for_erroring", "ready_for_ingesting")
+
+
+def dispatch_actions(loads: DataFrame, limit: int | None = None, statuses: Sequence[str] = DISPATCHED) -> DataFrame:
     """What to do next with each load that waits for dispatch."""
-    waiting = loads_by_status(loads, ["ready_for_archiving", "ready_for_erroring", "ready_for_ingesting"], limit)
+    waiting = loads_by_status(loads, statuses, limit)
     action = (
         F.when(F.col("status") == "ready_for_ingesting", "ingest")
         .when(F.col("status") == "ready_for_archiving", "archive")
@@ -231,7 +234,7 @@ def dispatch_actions(loads: DataFrame, limit: int | None = 1000) -> DataFrame:
     return waiting.withColumn("action", action)
 
 
-def stuck_loads(loads: DataFrame, limit: int | None = 1000) -> DataFrame:
+def stuck_loads(loads: DataFrame, limit: int | None = None) -> DataFrame:
     """Loads whose move did not finish, with the move to run again."""
     stuck = loads_by_status(loads, ["archiving", "archived_unknown", "erroring", "errored_unknown"], limit)
     action = F.when(F.col("status").isin("archiving", "archived_unknown"), "archive").otherwise("error")

@@ -64,6 +64,12 @@ def required_snapshot(snapshot: Column, load_id: Column) -> Column:
     return F.coalesce(format_snapshot(snapshot), F.raise_error(complaint).cast("string"))
 
 
+def lacking_snapshot(routed: DataFrame, latest_snapshots: DataFrame, layout: Layout = Layout()) -> DataFrame:
+    """Replicated loads that :func:`routed_partitions` would fail for."""
+    known = latest_snapshots.where(F.col("snapshot").isNotNull()).select(F.col("load_id").alias("id"))
+    return routed.where(is_replicated(F.col("s3_key"), layout)).join(known, "id", "left_anti")
+
+
 def routed_partitions(routed: DataFrame, latest_snapshots: DataFrame, layout: Layout = Layout()) -> DataFrame:
     """Add ``partition_columns``: the snapshot (replicated loads only), then the identifier.
 

@@ -20,8 +20,9 @@ def run_feed_sync(store: LedgerStore, bodies: DataFrame, layout: routing.Layout
     announced = feeds.dataset_rows(feeds.valid_datasets(feed_results(bodies)))
     incoming = announced.withColumn("last_updated_at", F.col("last_updated_at").cast("timestamp"))
     store.write("datasets", feeds.upsert_datasets(store.read("datasets", (pass_id, 0)), incoming), pass_id)
-    known = ledger.live(store.read("feeds", (pass_id, 0)))
-    store.write("feeds", feeds.feed_watermark(known, incoming), pass_id)
+    known = store.read("feeds", (pass_id, 0))
+    moved = feeds.feed_watermark(ledger.live(known), incoming)
+    store.write("feeds", moved.unionByName(known.where(F.col("deleted_at").isNotNull())), pass_id)
     return incoming.select(
         "feed_id", "url", feeds.dataset_landing_key(F.col("type"), F.col("identifier"), layout).alias("landing_key")
     )

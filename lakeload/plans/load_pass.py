@@ -6,6 +6,7 @@ import os
 import re
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from itertools import islice
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
@@ -27,13 +28,14 @@ FOUND, SELECTED, BATCHED, FINISHED, FAILED = range(1, 6)
 
 @dataclass(frozen=True)
 class Limits:
-    """How much one pass takes on. They bound the file lists the driver sees."""
+    """How much one pass takes on; all that is there unless a cap is given. ``read_files`` are read and written at once."""
 
-    per_prefix: int | None = 500
-    per_table: int = 100
+    per_prefix: int | None = None
+    per_table: int | None = None
     batch_loads: int = 10
     batch_bytes: int = 100_000_000
     concurrent_tables: int = 5
+    read_files: int = 2000
 
 
 def discovered(objects: DataFrame, store: LedgerStore, layout: routing.Layout, pass_id: int, limits: Limits) -> DataFrame:
@@ -107,35 +109,44 @@ def advance(
     batches = batching.chunk_loads(waiting, limits.batch_loads, limits.batch_bytes)
     plan_path = f"{store.root}/batches/pass={pass_id}"
     latest = ledger.latest_load_snapshot(store.read("load_snapshots"))
-    named = ledger.loads_with_table(batches, store.read("tables"))
-    routing.routed_partitions(routing.route_loads(named, layout), latest, layout).write.mode("overwrite").parquet(plan_path)
+    named = routing.route_loads(ledger.loads_with_table(batches, store.read("tables")), layout)
+    # A replicated load that no snapshot is known for fails alone.
+    lost = routing.lacking_snapshot(named, latest, layout).select("id")
+    lost.write.mode("overwrite").parquet(f"{store.root}/batches-lost/pass={pass_id}")
+    lost = spark.read.parquet(f"{store.root}/batches-lost/pass={pass_id}")
+    routable = named.join(lost, "id", "left_anti")
+    routing.routed_partitions(routable, latest, layout).write.mode("overwrite").parquet(plan_path)
     plan = spark.read.parquet(plan_path)
-    store.log(plan, "ingesting", pass_id, BATCHED, "id")
+    store.log(plan.select("id").unionByName(lost), "ingesting", pass_id, BATCHED, "id")
 
     failed = land_routed(spark, plan, registry, header, limits)
     store.log(plan.join(failed, "id", "left_anti"), "ready_for_archiving", pass_id, FINISHED, "id")
-    store.log(failed, "ready_for_erroring", pass_id, FAILED, "id")
+    store.log(failed.select("id").unionByName(lost), "ready_for_erroring", pass_id, FAILED, "id")
 
 
 def land_routed(spark: SparkSession, plan: DataFrame, registry: DataFrame, header: bool, limits: Limits) -> DataFrame:
-    """Land every destination's loads, one read and one write each; returns the ids of loads that failed.
+    """Land every destination's loads, ``read_files`` at a time; returns the ids of loads that failed.
 
-    The driver holds the routes of one pass (the limits bound them) and the
-    schemas of their tables, never rows.
+    The driver holds the destinations with their schemas, and the routes of the
+    reads that run at the moment, never rows or all files of a pass.
     """
-    routes: dict[str, list] = {}
-    wanted = ("id", "source_table_name", "destination_table_name", "source_path", "destination_path", "partition_columns")
-    for load in plan.select(*wanted).collect():
-        routes.setdefault(load["destination_path"], []).append(load)
-    names = {load[c] for loads in routes.values() for load in loads for c in ("source_table_name", "destination_table_name")}
+    destinations = plan.select("destination_path", "source_table_name", "destination_table_name").distinct().collect()
+    names = {row[c] for row in destinations for c in ("source_table_name", "destination_table_name")}
     schemas = catalog.fields_of_tables(registry, sorted(names))
+    tables = {row["destination_path"]: row for row in destinations}
 
     def one(destination: str) -> list[int]:
-        loads = routes[destination]
-        columns = [f["name"] for f in schemas.get(loads[0]["source_table_name"], [])]
-        fields = schemas.get(loads[0]["destination_table_name"], [])
-        return land_table(spark, loads, columns, fields, destination, header)
+        table = tables[destination]
+        columns = [f["name"] for f in schemas.get(table["source_table_name"], [])]
+        fields = schemas.get(table["destination_table_name"], [])
+        own = plan.where(F.col("destination_path") == destination).select("id", "source_path", "partition_columns")
+        found: list[int] = []
+        loads = own.toLocalIterator()
+        while some := list(islice(loads, limits.read_files)):
+            found += land_table(spark, some, columns, fields, destination, header)
+        return found
 
+    routes = tables
     with ThreadPoolExecutor(limits.concurrent_tables) as pool:
         failed = [load_id for ids in pool.map(one, routes) for load_id in ids]
     return spark.createDataFrame([(i,) for i in failed], "id bigint")
@@ -147,6 +158,8 @@ def land_table(spark: SparkSession, loads: list, columns: list[str], fields: lis
         return [load["id"] for load in loads]
 
     def scan(chosen: list) -> DataFrame:
+        # A rewritten object can have several loads: its file is read once, for the first of them.
+        chosen = list({_path_key(c["source_path"]): c for c in reversed(chosen)}.values())
         rows = csv_text.scan_csv_strings(spark, [c["source_path"] for c in chosen], columns, header, file_column="__file")
         names = [p["name"] for p in chosen[0]["partition_columns"]]
         # One row per file of this read; the broadcast is as long as the path list.
@@ -154,7 +167,10 @@ def land_table(spark: SparkSession, loads: list, columns: list[str], fields: lis
         routes = spark.createDataFrame(keyed, f"__key string, __id bigint, {', '.join(f'`{n}` string' for n in names)}")
         # The scan gives paths URI-encoded, where a plus sign stands for itself.
         decoded = F.url_decode(F.replace("__file", F.lit("+"), F.lit("%2B")))
-        return rows.withColumn("__key", F.regexp_replace(decoded, r"^[a-z0-9]+:/+", "")).join(F.broadcast(routes), "__key")
+        key = F.ltrim(F.regexp_replace(F.regexp_replace(decoded, SCHEME, ""), "/+", "/"), F.lit("/"))
+        joined = rows.withColumn("__key", key).join(F.broadcast(routes), "__key", "left")
+        unknown = F.raise_error(F.concat(F.lit("no load for the file "), "__file")).cast("string")
+        return joined.withColumns({n: F.coalesce(F.col(f"`{n}`"), unknown) for n in names})
 
     def write(chosen: list) -> None:
         names = [p["name"] for p in chosen[0]["partition_columns"]]
@@ -182,7 +198,11 @@ def land_table(spark: SparkSession, loads: list, columns: list[str], fields: lis
     return sorted(bad | {load["id"] for load in remaining if not landed([load])})
 
 
+# Filesystems give paths back with another number of slashes, or with an authority that was left out.
+SCHEME = r"^[a-zA-Z][a-zA-Z0-9+.-]*:(//[^/]*)?"
+
+
 def _path_key(path: str) -> str:
-    """A path without scheme and leading slashes, as it also comes back from the scan."""
-    full = path if re.match(r"^[a-z0-9]+:", path) else os.path.abspath(path)
-    return re.sub(r"^[a-z0-9]+:/+", "", full).lstrip("/")
+    """A path without scheme, authority and repeated slashes, as it also comes back from the scan."""
+    full = path if re.match(SCHEME, path) else os.path.abspath(path)
+    return re.sub("/+", "/", re.sub(SCHEME, "", full)).lstrip("/")

@@ -8,16 +8,19 @@ from pyspark.sql import functions as F
 from lakeload.operators import ledger, relocate, routing
 from lakeload.plans.store import LedgerStore
 
+#: Waiting loads whose files are moved; a limit counts these alone.
+MOVED_STATUSES = ("ready_for_archiving", "ready_for_erroring")
+
 DISPATCHED_ARCHIVE, DISPATCHED_ERROR, MOVED, NOT_MOVED = range(11, 15)
 
 
 def run_relocation_pass(
-    spark: SparkSession, store: LedgerStore, layout: routing.Layout, retry: bool = False, limit: int | None = 1000
+    spark: SparkSession, store: LedgerStore, layout: routing.Layout, retry: bool = False, limit: int | None = None
 ) -> int:
     """Dispatch waiting loads (or, with ``retry``, those whose move got stuck) and move their files."""
     pass_id = store.next_pass()
     loads = store.loads()
-    chosen = ledger.stuck_loads(loads, limit) if retry else ledger.dispatch_actions(loads, limit).where("action <> 'ingest'")
+    chosen = ledger.stuck_loads(loads, limit) if retry else ledger.dispatch_actions(loads, limit, MOVED_STATUSES)
     chosen_path = f"{store.root}/moves/pass={pass_id}"
     chosen.write.mode("overwrite").parquet(chosen_path)
     work = spark.read.parquet(chosen_path)

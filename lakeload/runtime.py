@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -46,6 +47,9 @@ def shared_dir(spark: SparkSession) -> str:
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("lakeload.shared.dir", None)
     if not named:
+        master = spark.conf.get("spark.master", "local")
+        if not re.match(r"local($|\[)", master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         named = tempfile.mkdtemp(prefix="lakeload-")
         spark.conf.set("lakeload.shared.dir", named)
     return named.rstrip("/")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lakeload.operators.landing import read_landed
 from lakeload.operators.routing import Layout
 from lakeload.plans.feed_sync import run_feed_sync
-from lakeload.plans.load_pass import advance, run_load_pass
+from lakeload.plans.load_pass import Limits, advance, run_load_pass
 from lakeload.plans.relocation_pass import run_relocation_pass
 from lakeload.plans.store import LedgerStore
 from lakeload.sources.listing import list_objects, stream_objects
@@ -212,3 +212,47 @@ def test_feed_sync(spark, zone):
     run_feed_sync(zone.store, spark.createDataFrame(later, "feed_id bigint, arrival int, body string"))
     stored = zone.store.read("datasets").selectExpr("identifier", "cast(start_date as string)", "cast(last_updated_at as string)").collect()
     assert [tuple(r) for r in stored] == [("sample_1", "2022-05-17", "2022-06-18 00:00:00")]
+
+
+def test_rewritten_object_is_landed_once(zone):
+    zone.put("datasets/set/1.csv.gz", ["5,2022-01-05,f"], START)
+    zone.store.write("loads", zone.spark.sql(f"select 1L id, 2L table_id, 'ready_for_ingesting' status, 'datasets/set/1.csv.gz' s3_key, timestamp_seconds({START - 5}) s3_modified, 9L s3_size, false is_raw"), 0)
+    zone.run()
+    rows = read_landed(zone.spark, f"{zone.layout.lake}datasets/set", ["identifier"]).collect()
+    assert [r["n"] for r in rows] == [5]
+    assert set(zone.statuses().values()) == {"ready_for_archiving"}
+
+
+def test_double_slashes_in_the_root(zone):
+    zone.put("datasets/set/1.csv.gz", ["5,2022-01-05,f"], START)
+    zone.layout = Layout(f"file:{zone.root}//incoming/", *(f"{zone.root}/{n}/" for n in ("lake", "archive", "errors")))
+    zone.run()
+    assert read_landed(zone.spark, f"{zone.layout.lake}datasets/set", ["identifier"]).count() == 1
+
+
+def test_one_pass_takes_every_file(zone, monkeypatch):
+    for i in range(130):
+        zone.put(f"datasets/set/{i}.csv.gz", [f"{i},2022-01-05,f"], START + i)
+    run_load_pass(zone.spark, zone.store, zone.registry, zone.layout, limits=Limits(read_files=50))
+    assert read_landed(zone.spark, f"{zone.layout.lake}datasets/set", ["identifier"]).count() == 130
+    assert set(zone.statuses().values()) == {"ready_for_archiving"}
+
+
+def test_load_without_snapshot_fails_alone(zone):
+    zone.put("datasets/set/1.csv.gz", ["5,2022-01-05,f"], START)
+    zone.put("ods/S/LOAD7.csv.gz", ["1,2022-01-01,a"], START)
+    zone.store.write("loads", zone.spark.sql(f"select 1L id, 1L table_id, 'ready_for_ingesting' status, 'ods/S/LOAD7.csv.gz' s3_key, timestamp_seconds({START}) s3_modified, 9L s3_size, true is_raw"), 0)
+    zone.run()
+    assert zone.statuses() == {("datasets/set/1.csv.gz", START): "ready_for_archiving", ("ods/S/LOAD7.csv.gz", START): "ready_for_erroring"}
+
+
+def test_feed_sync_keeps_what_only_the_ledger_knows(zone):
+    spark, store = zone.spark, zone.store
+    stored = "select 7L id, 1L feed_id, 'sample' type, 'sample_1' identifier, timestamp'2022-01-01' last_updated_at, timestamp'2022-02-02' deleted_at"
+    store.write("datasets", spark.sql(stored), 0)
+    store.write("feeds", spark.sql("select 1L id, '/a' relative_url, null deleted_at union all select 2L, '/b', timestamp'2022-01-01'"), 0)
+    body = '{"success":true,"results":[{"id":"sample","dataset_id":"sample_1","url":"https://x/y","start_date":"2022-05-17","end_date":"2022-05-17","last_updated":"2022-05-18T12:12:24.000001"}]}'
+    run_feed_sync(store, spark.createDataFrame([(1, START, body)], "feed_id bigint, arrival bigint, body string"))
+    row = store.read("datasets").first()
+    assert row["id"] == 7 and row["deleted_at"] is not None and row["last_updated_at"].month == 5
+    assert sorted(r["id"] for r in store.read("feeds").collect()) == [1, 2]
