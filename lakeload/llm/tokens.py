@@ -15,8 +15,8 @@ from functools import lru_cache
 
 import numpy as np
 
-#: Distinct pre-tokens a Python worker remembers before it starts anew.
-REMEMBERED = 400_000
+#: Distinct pre-tokens of one generation. A Python worker remembers two: words met again move on to the next one.
+REMEMBERED = 300_000
 
 #: Texts with characters from here on go to the tokenizer whole.
 LATIN_END = 0x250
@@ -57,6 +57,7 @@ class TextTokens:
         self.pattern = pre_token_pattern() if by_pre_token else None
         self.beyond = re.compile(f"[^\x00-{chr(LATIN_END - 1)}]")
         self.known: dict[str, bytes] = {}
+        self.earlier: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         return [np.asarray(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -65,12 +66,15 @@ class TextTokens:
         if self.pattern is None or self.beyond.search(text):
             return self.encode([text])[0]
         parts = self.pattern.findall(text)
-        missing = list(set(parts).difference(self.known))
+        missing = set(parts).difference(self.known)
         if missing:
             if len(self.known) + len(missing) > REMEMBERED:
-                self.known.clear()
-                missing = list(set(parts))
-            self.known.update(zip(missing, self.encode(missing), strict=True))
+                self.earlier, self.known = self.known, {}
+                missing = set(parts)
+            again = {part: self.earlier[part] for part in missing if part in self.earlier}
+            self.known.update(again)
+            new = [part for part in missing if part not in again]
+            self.known.update(zip(new, self.encode(new), strict=True))
         return b"".join(map(self.known.__getitem__, parts))
 
 
