@@ -35,9 +35,12 @@ def move_plan(pairs: DataFrame, source_listing: DataFrame, destination_listing:
     return found.withColumn("action", move_action(here, there)).drop("__s", "__d")
 
 
-def relocate(pairs: DataFrame, source_root: str, destination_root: str) -> DataFrame:
+def relocate(pairs: DataFrame, source_root: str, destination_root: str, tasks: int | None = None) -> DataFrame:
     """Move every pair's file: ``id, source_key, destination_key, outcome, ok``.
 
+    The moves are dealt over ``tasks`` (twice the cores, unless given), whatever
+    partitions the pairs are in.
+
     Runs in the tasks. Each file is looked up again right before it is moved, so
     a task that is run twice finds its own work done. Write the result once and
     derive the statuses from what was written.
@@ -56,7 +59,9 @@ def relocate(pairs: DataFrame, source_root: str, destination_root: str) -> DataF
                 names=["id", "source_key", "destination_key", "outcome", "ok"],
             )
 
-    return pairs.select("id", "source_key", "destination_key").mapInArrow(
+    # an explicit number, which adaptive execution keeps
+    dealt = pairs.select("id", "source_key", "destination_key").repartition(tasks or 2 * pairs.sparkSession.sparkContext.defaultParallelism, "id", "source_key")
+    return dealt.mapInArrow(
         run, "id bigint, source_key string, destination_key string, outcome string, ok boolean"
     )
 

@@ -4,15 +4,19 @@ from __future__ import annotations
 
 import os
 import re
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 from itertools import islice
+from operator import or_
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakeload.functions.parsers import is_bad
 from lakeload.functions.paths import first_folder_below
 from lakeload.operators import batching, casting, discover, landing, ledger, routing
 from lakeload.plans.store import LedgerStore
@@ -22,13 +26,19 @@ from lakeload.sources.listing import list_objects
 
 JOB_FAILURES = (PySparkException, Py4JJavaError)
 
+#: Ids of loads at fault, and of loads that wait for the next attempt.
+Outcome = tuple[list[int], list[int]]
+
 # Steps of a pass, in the order in which they are written.
 FOUND, SELECTED, BATCHED, FINISHED, FAILED = range(1, 6)
 
 
 @dataclass(frozen=True)
 class Limits:
-    """How much one pass takes on; all that is there unless a cap is given. ``read_files`` are read and written at once."""
+    """How much one pass takes on; all that is there unless a cap is given. ``read_files`` are read and written at once.
+
+    A load that could not be landed ``attempts`` times, through no fault of its own that was found, goes to the error path.
+    """
 
     per_prefix: int | None = None
     per_table: int | None = None
@@ -36,6 +46,7 @@ class Limits:
     batch_bytes: int = 100_000_000
     concurrent_tables: int = 5
     read_files: int = 2000
+    attempts: int = 3
 
 
 def discovered(objects: DataFrame, store: LedgerStore, layout: routing.Layout, pass_id: int, limits: Limits) -> DataFrame:
@@ -105,8 +116,14 @@ def advance(
         store.loads((pass_id, SELECTED)), store.read("tables"), store.read("table_snapshots"), limits.per_table
     )
     store.log(ready, "ready_for_ingesting", pass_id, SELECTED, "id")
-    waiting = store.loads((pass_id, BATCHED), ["ready_for_ingesting"])
-    batches = batching.chunk_loads(waiting, limits.batch_loads, limits.batch_bytes)
+    # Loads that a pass left half-way are taken up again, until their attempts are used up.
+    chosen = store.loads((pass_id, BATCHED), ["ready_for_ingesting", "ingesting"])
+    tries = store.read("status_log", (pass_id, BATCHED)).where("status = 'ingesting'").groupBy(F.col("load_id").alias("id")).count()
+    tired = tries.where(F.col("count") >= limits.attempts).select("id")
+    worn_path = f"{store.root}/batches-worn/pass={pass_id}"
+    chosen.where("status = 'ingesting'").join(tired, "id", "left_semi").select("id").write.mode("overwrite").parquet(worn_path)
+    worn = spark.read.parquet(worn_path)
+    batches = batching.chunk_loads(chosen.join(worn, "id", "left_anti"), limits.batch_loads, limits.batch_bytes)
     plan_path = f"{store.root}/batches/pass={pass_id}"
     latest = ledger.latest_load_snapshot(store.read("load_snapshots"))
     named = routing.route_loads(ledger.loads_with_table(batches, store.read("tables")), layout)
@@ -119,13 +136,14 @@ def advance(
     plan = spark.read.parquet(plan_path)
     store.log(plan.select("id").unionByName(lost), "ingesting", pass_id, BATCHED, "id")
 
-    failed = land_routed(spark, plan, registry, header, limits)
-    store.log(plan.join(failed, "id", "left_anti"), "ready_for_archiving", pass_id, FINISHED, "id")
-    store.log(failed.select("id").unionByName(lost), "ready_for_erroring", pass_id, FAILED, "id")
+    failed, waiting = land_routed(spark, plan, registry, header, limits)
+    done = plan.join(failed.unionByName(waiting), "id", "left_anti")
+    store.log(done, "ready_for_archiving", pass_id, FINISHED, "id")
+    store.log(failed.select("id").unionByName(lost).unionByName(worn.select("id")), "ready_for_erroring", pass_id, FAILED, "id")
 
 
-def land_routed(spark: SparkSession, plan: DataFrame, registry: DataFrame, header: bool, limits: Limits) -> DataFrame:
-    """Land every destination's loads, ``read_files`` at a time; returns the ids of loads that failed.
+def land_routed(spark: SparkSession, plan: DataFrame, registry: DataFrame, header: bool, limits: Limits) -> tuple[DataFrame, DataFrame]:
+    """Land every destination's loads, ``read_files`` at a time; returns the ids of loads at fault, and of loads that could not be landed now.
 
     The driver holds the destinations with their schemas, and the routes of the
     reads that run at the moment, never rows or all files of a pass.
@@ -135,32 +153,37 @@ def land_routed(spark: SparkSession, plan: DataFrame, registry: DataFrame, heade
     schemas = catalog.fields_of_tables(registry, sorted(names))
     tables = {row["destination_path"]: row for row in destinations}
 
-    def one(destination: str) -> list[int]:
+    def one(destination: str) -> list[Outcome]:
         table = tables[destination]
         columns = [f["name"] for f in schemas.get(table["source_table_name"], [])]
         fields = schemas.get(table["destination_table_name"], [])
         own = plan.where(F.col("destination_path") == destination).select("id", "source_path", "partition_columns")
-        found: list[int] = []
+        outcomes = []
         loads = own.toLocalIterator()
         while some := list(islice(loads, limits.read_files)):
-            found += land_table(spark, some, columns, fields, destination, header)
-        return found
+            outcomes.append(land_table(spark, some, columns, fields, destination, header))
+        return outcomes
 
-    routes = tables
     with ThreadPoolExecutor(limits.concurrent_tables) as pool:
-        failed = [load_id for ids in pool.map(one, routes) for load_id in ids]
-    return spark.createDataFrame([(i,) for i in failed], "id bigint")
+        outcomes = [outcome for found in pool.map(one, tables) for outcome in found]
+    failed, waiting = ([(i,) for outcome in outcomes for i in outcome[kind]] for kind in (0, 1))
+    return spark.createDataFrame(failed, "id bigint"), spark.createDataFrame(waiting, "id bigint")
+
 
+def land_table(spark: SparkSession, loads: list, columns: list[str], fields: list[dict], destination: str, header: bool) -> Outcome:
+    """Land one table's loads. Returns the ids of those at fault, which are left out, and of those that wait.
 
-def land_table(spark: SparkSession, loads: list, columns: list[str], fields: list[dict], destination: str, header: bool) -> list[int]:
-    """Land one table's loads; loads with a value that does not parse are left out and returned."""
+    A load is at fault if its file cannot be read, has a row with too few or too many
+    fields, or a value that does not parse. Any other failure is none of the load's.
+    """
     if not columns or not fields:
-        return [load["id"] for load in loads]
+        return [load["id"] for load in loads], []
 
     def scan(chosen: list) -> DataFrame:
         # A rewritten object can have several loads: its file is read once, for the first of them.
         chosen = list({_path_key(c["source_path"]): c for c in reversed(chosen)}.values())
-        rows = csv_text.scan_csv_strings(spark, [c["source_path"] for c in chosen], columns, header, file_column="__file")
+        paths = [c["source_path"] for c in chosen]
+        rows = csv_text.scan_csv_strings(spark, paths, columns, header, file_column="__file", corrupt_column="__corrupt")
         names = [p["name"] for p in chosen[0]["partition_columns"]]
         # One row per file of this read; the broadcast is as long as the path list.
         keyed = [(_path_key(c["source_path"]), c["id"], *[p["value"] for p in c["partition_columns"]]) for c in chosen]
@@ -174,28 +197,41 @@ def land_table(spark: SparkSession, loads: list, columns: list[str], fields: lis
 
     def write(chosen: list) -> None:
         names = [p["name"] for p in chosen[0]["partition_columns"]]
-        landing.land(casting.cast_to_schema(scan(chosen), fields, keep=names), destination, names)
+        uneven = F.raise_error(F.concat(F.lit("wrong number of fields: "), "__corrupt")).cast("string")
+        rows = scan(chosen).withColumn(names[0], F.when(F.col("__corrupt").isNotNull(), uneven).otherwise(F.col(f"`{names[0]}`")))
+        landing.land(casting.cast_to_schema(rows, fields, keep=names), destination, names)
 
-    def landed(chosen: list) -> bool:
+    def works(action: Callable[[list], object], chosen: list) -> bool:
         try:
-            write(chosen)
+            action(chosen)
         except JOB_FAILURES:
             return False
         return True
 
-    if landed(loads):
-        return []
-    # Find every load with a bad value in one go, then land the others.
+    def read(chosen: list) -> None:
+        scan(chosen).write.format("noop").mode("overwrite").save()
+
+    def rejected(chosen: list) -> set[str]:
+        """Keys of the files with a bad row; a row per file comes to the driver, of one read."""
+        bad = reduce(or_, [is_bad(f"`{f['name']}`", f["type"]) for f in fields if f["type"] != "string"], F.col("__corrupt").isNotNull())
+        # the texts are read as well: Spark refuses a scan of the corrupt column alone
+        found = scan(chosen).groupBy("__key").agg(F.bool_or(F.coalesce(bad, F.lit(False))).alias("bad"), F.max(F.length(f"`{columns[0]}`"))).collect()
+        return {row["__key"] for row in found if row["bad"]}
+
+    if works(write, loads):
+        return [], []
+    unread = [] if works(read, loads) else [load for load in loads if not works(read, [load])]
+    keys = {_path_key(load["source_path"]) for load in unread}
+    rest = [load for load in loads if _path_key(load["source_path"]) not in keys]
     try:
-        found = casting.cast_rejects(scan(loads), fields, keep=["__id"]).select("__id").distinct().collect()
+        keys |= rejected(rest) if rest else set()
     except JOB_FAILURES:
-        found = []
-    bad = {row["__id"] for row in found}
-    remaining = [load for load in loads if load["id"] not in bad]
-    if not remaining or (bad and landed(remaining)):
-        return sorted(bad)
-    # Something else is wrong, an unreadable file for instance: only then one by one.
-    return sorted(bad | {load["id"] for load in remaining if not landed([load])})
+        pass  # the next attempt looks again
+    at_fault = sorted(load["id"] for load in loads if _path_key(load["source_path"]) in keys)
+    rest = [load for load in loads if _path_key(load["source_path"]) not in keys]
+    if not rest or (keys and works(write, rest)):
+        return at_fault, []
+    return at_fault, sorted(load["id"] for load in rest)
 
 
 # Filesystems give paths back with another number of slashes, or with an authority that was left out.

@@ -37,6 +37,7 @@ def scan_csv_strings(
     dialect: Mapping[str, str] | None = None,
     file_column: str | None = None,
     mode: str = "PERMISSIVE",
+    corrupt_column: str | None = None,
 ) -> DataFrame:
     """Read any number of objects of one table in a single scan, every column as text.
 
@@ -45,12 +46,15 @@ def scan_csv_strings(
     One read serves all loads of a table: the files are spread over the
     executors, and ``file_column`` (the object's full path) tells which load a
     row came from. Missing trailing columns are NULL and surplus ones are dropped
-    unless ``mode`` is ``FAILFAST``.
+    unless ``mode`` is ``FAILFAST``; ``corrupt_column`` then holds the raw text of
+    such a row, and is NULL for rows with as many fields as ``columns``.
     """
-    schema = StructType([StructField(name, StringType()) for name in columns])
+    marks = [corrupt_column] if corrupt_column else []
+    schema = StructType([StructField(name, StringType()) for name in [*columns, *marks]])
     df = (
         spark.read.schema(schema)
         .options(**(dialect or DEFAULT_DIALECT))
+        .options(**({"columnNameOfCorruptRecord": corrupt_column} if corrupt_column else {}))
         .option("header", header)
         .option("mode", mode)
         .csv(paths if isinstance(paths, str) else [exact_path(p) for p in paths])
