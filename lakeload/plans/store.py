@@ -87,6 +87,18 @@ class LedgerStore:
         """One above the highest pass that wrote anything."""
         return max([0, *(p for kind in KINDS for p in folder_numbers(self._path(kind), "pass"))]) + 1
 
+    def pass_of_batch(self, stream: str, batch_id: int) -> int:
+        """The pass of a stream's batch: given once, and the same whenever the batch is run again."""
+        path = f"{self.root}/stream_passes/{stream}/batch={batch_id}"
+        given = folder_numbers(path, "pass")
+        if given:
+            return max(given)
+        pass_id = self.next_pass()
+        nothing = self.spark.createDataFrame([], STATUS_LOG)
+        self.write("status_log", nothing, pass_id)  # the number is taken from here on
+        nothing.write.mode("overwrite").parquet(f"{path}/pass={pass_id}")
+        return pass_id
+
 
 def folder_numbers(path: str, label: str) -> list[int]:
     """The numbers of folders named ``label=number``: only names are read, no data."""

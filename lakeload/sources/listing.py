@@ -8,6 +8,9 @@ task, so the listing runs on the executors and never passes the driver.
 The streaming reader's offset is a moment in time: a batch holds the objects
 modified after its start and up to its end. A path that is written again has a
 newer time and is delivered again, which the built-in file stream does not do.
+With ``everything`` each batch holds all objects up to its end, for readers that
+know what they have seen: an object that shows up late, with an older time, is
+then not missed.
 """
 
 from __future__ import annotations
@@ -103,6 +106,7 @@ class ListingOptions:
         self.prefixes = json.loads(options["prefixes"]) if options.get("prefixes") else None
         self.depth = int(options.get("depth", 2))
         self.settle = float(options.get("settleSeconds", 2))
+        self.everything = options.get("everything", "false") == "true"
 
     def folders(self, after: int = -1, upto: int = FOREVER) -> list[Folder]:
         """The given prefixes, or the folders ``depth`` levels below the root (the table folders)."""
@@ -146,7 +150,7 @@ class ListingStreamReader(DataSourceStreamReader):
         return {"upto": int((time.time() - self.listing.settle) * 1_000_000)}
 
     def partitions(self, start, end):
-        return self.listing.folders(start["upto"], end["upto"])
+        return self.listing.folders(-1 if self.listing.everything else start["upto"], end["upto"])
 
     def read(self, partition):
         return batches(walk(self.listing.root, partition))
@@ -184,9 +188,10 @@ def list_objects(spark: SparkSession, root: str, prefixes: list[str] | None = No
 
 
 def stream_objects(
-    spark: SparkSession, root: str, prefixes: list[str] | None = None, depth: int = 2, settle_seconds: float = 2
+    spark: SparkSession, root: str, prefixes: list[str] | None = None, depth: int = 2, settle_seconds: float = 2, everything: bool = False
 ) -> DataFrame:
     spark.dataSource.register(ObjectListing)
-    return spark.readStream.format(FORMAT).options(**_options(root, prefixes, depth, settle_seconds)).load()
+    options = _options(root, prefixes, depth, settle_seconds) | {"everything": str(everything).lower()}
+    return spark.readStream.format(FORMAT).options(**options).load()
 
 

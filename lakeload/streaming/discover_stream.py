@@ -27,19 +27,23 @@ def start_discovery(
 ) -> StreamingQuery:
     """Record new and rewritten objects as loads, batch by batch.
 
-    Batch *n* of the stream is pass *n + 1* of the ledger, so a batch that is
-    run again after a failure replaces its own rows. ``after_batch`` gets the
-    pass number and may run the later steps (``plans.load_pass.advance``). The
-    stream delivers each object once, hence no per-prefix limit.
+    Every batch lists all objects and keeps those that the ledger does not know, so
+    none is missed, whatever its time. Each batch of a stream has a pass of its own in
+    the ledger, which also other streams and batch passes may use before and after it;
+    a batch that is run again after a failure replaces its own rows. ``after_batch``
+    gets the pass number and may run the later steps (``plans.load_pass.advance``).
     """
 
     def take_batch(batch: DataFrame, batch_id: int) -> None:
-        take_in(batch, store, layout, batch_id + 1, limits)
+        # Spark gives each checkpoint an id, also when it is made anew at an old place.
+        stream = spark.read.json(f"{checkpoint}/metadata").first()["id"]
+        pass_id = store.pass_of_batch(stream, batch_id)
+        take_in(batch, store, layout, pass_id, limits)
         if after_batch:
-            after_batch(batch_id + 1)
+            after_batch(pass_id)
 
     return (
-        stream_objects(spark, layout.incoming, settle_seconds=settle_seconds)
+        stream_objects(spark, layout.incoming, settle_seconds=settle_seconds, everything=True)
         .writeStream.foreachBatch(take_batch)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": "5 seconds"}))

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakeload.operators.landing import read_landed
+from lakeload.operators.relocate import relocate
 from lakeload.operators.routing import Layout
 from lakeload.plans.feed_sync import run_feed_sync
 from lakeload.plans.load_pass import Limits, advance, run_load_pass
@@ -256,3 +257,65 @@ def test_feed_sync_keeps_what_only_the_ledger_knows(zone):
     row = store.read("datasets").first()
     assert row["id"] == 7 and row["deleted_at"] is not None and row["last_updated_at"].month == 5
     assert sorted(r["id"] for r in store.read("feeds").collect()) == [1, 2]
+
+
+def test_rows_with_too_few_or_too_many_fields_are_rejected(zone):
+    zone.put("datasets/set/1.csv.gz", ["5,2022-01-05,f"], START)
+    zone.put("datasets/set/2.csv.gz", ["5,2022-01-05,f,EXTRA"], START)
+    zone.put("datasets/set/3.csv.gz", ["1,2022-01-05,f", "6"], START)
+    zone.run()
+    landed = read_landed(zone.spark, f"{zone.layout.lake}datasets/set", ["identifier"]).collect()
+    assert [(r["n"], r["identifier"]) for r in landed] == [(5, "1.csv.gz")]
+    by_key = {key[-8]: status for (key, _), status in zone.statuses().items()}
+    assert by_key == {"1": "ready_for_archiving", "2": "ready_for_erroring", "3": "ready_for_erroring"}
+
+
+def test_a_lake_that_cannot_be_written_condemns_no_load(zone):
+    zone.put("datasets/set/1.csv.gz", ["5,2022-01-05,f"], START)
+    zone.put("datasets/set/2.csv.gz", ["x,2022-01-05,f"], START)
+    os.makedirs(zone.layout.lake)
+    in_the_way = f"{zone.layout.lake}datasets"
+    open(in_the_way, "w").close()
+    zone.run()
+    assert {key[-8]: status for (key, _), status in zone.statuses().items()} == {"1": "ingesting", "2": "ready_for_erroring"}
+    os.remove(in_the_way)
+    zone.run()
+    assert {key[-8]: status for (key, _), status in zone.statuses().items()} == {"1": "ready_for_archiving", "2": "ready_for_erroring"}
+    assert read_landed(zone.spark, f"{zone.layout.lake}datasets/set", ["identifier"]).count() == 1
+
+
+def test_attempts_are_used_up(zone):
+    zone.put("datasets/set/1.csv.gz", ["5,2022-01-05,f"], START)
+    os.makedirs(zone.layout.lake)
+    open(f"{zone.layout.lake}datasets", "w").close()
+    for status in ("ingesting", "ingesting", "ingesting", "ready_for_erroring"):
+        zone.run()
+        assert set(zone.statuses().values()) == {status}
+
+
+def discover_now(zone, checkpoint):
+    start_discovery(zone.spark, zone.store, zone.layout, str(checkpoint), {"availableNow": True}, settle_seconds=0).awaitTermination()
+    return sorted(r["s3_key"][-8] for r in zone.store.read("loads").collect())
+
+
+def test_stream_on_a_used_store_and_with_a_new_checkpoint(zone, tmp_path):
+    zone.put("datasets/set/1.csv.gz", ["5,2022-01-05,f"], START)
+    zone.run()
+    zone.put("datasets/set/2.csv.gz", ["6,2022-01-05,f"], START)
+    assert discover_now(zone, tmp_path / "one") == ["1", "2"]
+    zone.put("datasets/set/3.csv.gz", ["7,2022-01-05,f"], START)
+    assert discover_now(zone, tmp_path / "two") == ["1", "2", "3"]
+    assert zone.statuses()[("datasets/set/1.csv.gz", START)] == "ready_for_archiving"
+
+
+def test_stream_takes_late_objects_with_an_older_time(zone, tmp_path):
+    zone.put("datasets/set/2.csv.gz", ["6,2022-01-05,f"], START)
+    assert discover_now(zone, tmp_path / "cp") == ["2"]
+    zone.put("datasets/set/1.csv.gz", ["5,2022-01-05,f"], START - 1000)
+    assert discover_now(zone, tmp_path / "cp") == ["1", "2"]
+    assert discover_now(zone, tmp_path / "cp") == ["1", "2"]
+
+
+def test_moves_are_dealt_over_tasks(spark, tmp_path):
+    pairs = spark.range(40).selectExpr("id", "concat('a', id) source_key", "concat('b', id) destination_key").coalesce(1)
+    assert relocate(pairs, str(tmp_path), str(tmp_path)).rdd.getNumPartitions() > 1
