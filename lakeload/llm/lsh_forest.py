@@ -14,11 +14,17 @@ Candidates are confirmed on full shingle sets, in two rounds: first the likelies
 candidate of each node; then, of all others, those between nodes that are not yet
 in one component. What is left unconfirmed could not change a component.
 
-What is missed. Two similar texts are missed only if they stand apart in every
-order, which are independent draws: at similarity 0.8, with two common minima
-needed to stand together, 0.36 to the power of 16, about 1e-7; with three 2e-5. In
-regions that agree in all minima of a key (copies of one text with small changes)
-a node needs one confirmed link to any member to be joined with all of them.
+Crowds. In a crowded region the nearest nodes are not all: a text with many copies
+may be the only link between them. Nodes that agree in the first ``CROWD_HASHES``
+minima of an order are a crowd, and all its pairs are looked at that are not yet in
+one component, however large it is: first the node with most links of each component
+against all others, as such a node joins most of them; then every pair that is still
+in two components. A crowd is cut into chunks and each pair of chunks is a cell of its
+own, so no task holds a crowd.
+
+What is missed. Two similar texts are missed only if no order has them in one crowd.
+Orders begin with different hash functions: at similarity 0.8 that is 0.36 to the power
+of 16, about 1e-7 a pair, whatever else the corpus holds; and the sketch as above.
 
 Edge cases: null and empty texts, and texts without words, have no shingles and
 are linked with nothing; fewer words than a shingle are one shingle; rows that share
@@ -37,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeload.llm.components import components
-from lakeload.llm.scratch import with_ids, written
+from lakeload.llm.scratch import few, with_ids, written
 from lakeload.llm.words import MULTIPLIER, U64, hashed, mixed, runs, space_words
 
 HASHES = 128
@@ -46,6 +52,10 @@ KEY_HASHES = 16
 SKETCH = 64
 REGION = 16
 NEIGHBOURS = 8
+CROWD_HASHES = 2
+
+#: Nodes of a crowd that are compared at once with as many others.
+CHUNK = 1024
 
 #: Sketch agreement below which a pair is no candidate, against a similarity of 0.8.
 SKETCH_SHARE = 0.55
@@ -177,7 +187,7 @@ def setting(width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose sets are similar enough. A node has no more pairs than neighbours, so no key is hot."""
+    """The pairs whose sets are similar enough. Only a node that links a crowd has many pairs; adaptive execution splits those."""
     a, b = sets.toDF("a", "set_a"), sets.toDF("b", "set_b")
     common = F.size(F.array_intersect("set_a", "set_b"))
     union = F.size("set_a") + F.size("set_b") - F.col("common")
@@ -199,6 +209,86 @@ def labelled(pairs: DataFrame, parts: DataFrame) -> DataFrame:
     return joined.select("a", "b", F.coalesce("part_a", "a").alias("part_a"), F.coalesce("part_b", "b").alias("part_b"))
 
 
+def crowds(nodes: DataFrame, parts: DataFrame, links: DataFrame) -> DataFrame:
+    """``crowd, size, node, part, hub``: nodes of crowds that hold several components; ``hub`` has most links of its component there."""
+    step = HASHES // ORDERS * 4
+    order = F.explode(F.sequence(F.lit(0), F.lit(ORDERS - 1))).alias("order")
+    key = F.expr(f"substring(signature, order * {step} + 1, {CROWD_HASHES * 4})")
+    degrees = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("degree"))
+    placed = nodes.select("node", "signature").join(parts, "node", "left").join(degrees, "node", "left")
+    placed = placed.select("node", F.coalesce("component", "node").alias("part"), F.coalesce("degree", F.lit(0)).alias("degree"), "signature", order)
+    keyed = written(placed.select(F.xxhash64("order", key).alias("crowd"), "node", "part", "degree"), "crowds")
+    several = keyed.groupBy("crowd").agg(F.count("*").alias("size"), F.min("part").alias("low"), F.max("part").alias("high")).filter("low <> high")
+    several = few(written(several.select("crowd", "size"), "crowds-apart"))
+    members = written(keyed.join(several, "crowd"), "crowd-members")
+    most = F.max(F.struct("degree", "node")).alias("most")
+    hubs = members.filter("degree > 0").groupBy("crowd", "part").agg(most).select("crowd", F.col("most.node").alias("node"), F.lit(True).alias("hub"))
+    return members.join(hubs, ["crowd", "node"], "left").select("crowd", "size", "node", "part", F.coalesce("hub", F.lit(False)).alias("hub"))
+
+
+def meeting(only_hubs: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows sorted by cell -> pairs (a < b) of different components, with a hub if asked, whose sketches agree."""
+
+    def pairs(cell: pa.Table) -> Iterator[pa.RecordBatch]:
+        node, part, chunk = (cell[c].to_numpy() for c in ("node", "part", "chunk"))
+        sketch = np.frombuffer(b"".join(cell["sketch"].to_pylist()), np.uint8).reshape(-1, SKETCH)
+        across = cell["i"][0].as_py() != cell["j"][0].as_py()
+        rows = np.flatnonzero(cell["hub"].to_numpy(zero_copy_only=False)) if only_hubs else np.arange(len(node))
+        for some in np.array_split(rows, max(1, len(rows) // 32)):
+            apart = part[some, None] != part
+            if across:
+                apart &= chunk[some, None] != chunk
+            if not only_hubs:
+                apart &= node[some, None] < node
+            at, other = np.nonzero(apart)
+            for k in range(0, len(at), 65_536):
+                x, y = some[at[k : k + 65_536]], other[k : k + 65_536]
+                share = (sketch[x] == sketch[y]).mean(axis=1)
+                x, y, share = (v[share >= SKETCH_SHARE] for v in (x, y, share))
+                a, b = np.minimum(node[x], node[y]), np.maximum(node[x], node[y])
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(share.astype(np.float32))], names=["a", "b", "share"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            cell = np.stack([batch.column(c).to_numpy() for c in ("crowd", "i", "j")], axis=1)
+            cuts = [0, *(np.flatnonzero((cell[1:] != cell[:-1]).any(axis=1)) + 1), batch.num_rows]
+            for start, end in zip(cuts[:-1], cuts[1:], strict=True):
+                piece = batch.slice(start, end - start)
+                if held and any(held[0][c][0] != piece[c][0] for c in ("crowd", "i", "j")):
+                    yield from pairs(pa.Table.from_batches(held))
+                    held = []
+                held.append(piece)
+        if held:
+            yield from pairs(pa.Table.from_batches(held))
+
+    return run
+
+
+def met(members: DataFrame, nodes: DataFrame, only_hubs: bool) -> DataFrame:
+    """Distinct pairs of ``crowds`` between components whose sketches agree; with ``only_hubs`` those that hold a hub."""
+    chunks = F.ceil(F.col("size") / CHUNK)
+    dealt = members.select("*", F.pmod(F.xxhash64("node"), chunks).alias("chunk"), F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1)).alias("other"))
+    celled = dealt.select("crowd", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "chunk", "node", "part", "hub")
+    cells = celled.join(nodes.select("node", "sketch"), "node").repartition("crowd", "i", "j").sortWithinPartitions("crowd", "i", "j")
+    return cells.mapInArrow(meeting(only_hubs), "a long, b long, share float").groupBy("a", "b").agg(F.max("share").alias("share"))
+
+
+def shingle_sets(docs: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
+    """``node, shingles`` of the ends of ``pairs``."""
+    involved = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    texts = with_ids(docs.select("doc_id", "text"), written(involved, "involved"), "left_semi")
+    return written(texts.select(F.col("doc_id").cast("long"), "text").mapInArrow(setting(width), "node long, shingles array<long>"), "shingle-sets")
+
+
+def merged(parts: DataFrame, links: DataFrame) -> DataFrame:
+    """Components of ``parts`` joined by ``links`` between their nodes."""
+    known = parts.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    return components(known.unionByName(links.select("a", "b")))
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for each row of ``docs``.
 
@@ -214,16 +304,22 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     spark = docs.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     pairs = written(candidates(nodes, partitions), "candidates")
-    involved = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    texts = with_ids(docs.select("doc_id", "text"), written(involved, "involved"), "left_semi")
-    sets = written(texts.select(F.col("doc_id").cast("long"), "text").mapInArrow(setting(width), "node long, shingles array<long>"), "shingle-sets")
+    sets = shingle_sets(docs, pairs, width)
 
-    first = likeliest(pairs)
-    parts = components(confirmed(first, sets, percent))
-    apart = labelled(pairs, parts).filter(F.col("part_a") != F.col("part_b"))
+    links = written(confirmed(likeliest(pairs), sets, percent), "first-links")
+    joined = components(links)
+    apart = labelled(pairs, joined).filter(F.col("part_a") != F.col("part_b")).select("a", "b")
     others = written(confirmed(apart, sets, percent), "other-links")
-    known = parts.select(F.col("node").alias("a"), F.col("component").alias("b"))
-    joined = components(known.unionByName(others.select(F.col("part_a").alias("a"), F.col("part_b").alias("b"))))
+    links, seen = links.unionByName(others), pairs.select("a", "b")
+    joined = written(merged(joined, others), "forest-parts")
+    for only_hubs in (True, False):
+        members = crowds(nodes, joined, links)
+        new = written(met(members, nodes, only_hubs).join(seen, ["a", "b"], "left_anti").select("a", "b"), "crowd-pairs")
+        if new.isEmpty():
+            continue
+        found = written(confirmed(new, shingle_sets(docs, new, width), percent), "crowd-links")
+        links, seen = links.unionByName(found), seen.unionByName(new)
+        joined = written(merged(joined, found), "crowd-parts")
 
     named = nodes.select("set_hash", "n_shingles", "node").join(joined, "node", "left")
     named = named.select("set_hash", "n_shingles", F.coalesce("component", "node").alias("found"))
