@@ -10,7 +10,8 @@ its trust the allowed share of what leads to it. A host is blocked if its distru
 ``threshold`` and exceeds its trust. A host without links keeps its mass.
 
 Everything is built-in functions. Links are counted per pair of hosts before anything
-else, so the loop runs over host edges only; every few rounds scores are written.
+else, so the loop runs over host edges only; every few rounds scores are written. It ends when a
+round moves less than ``TOLERANCE`` of the mass, and not before, however long chains are.
 
 Edge cases: a url that is null or has no ``://`` has empty host and path, which link to
 nothing and are allowed; a null html has no links; links of a host to itself do not count;
@@ -20,6 +21,8 @@ rows that repeat count each; an empty table gives no rows. Of the input only ``p
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,7 +32,6 @@ from lakeload.llm.scratch import few, written
 RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/"))
 
 DAMPING = 0.85
-ROUNDS = 24
 ROUNDS_WRITTEN = 4
 TOLERANCE = 1e-6
 THRESHOLD = 0.5
@@ -80,7 +82,8 @@ def flowed(start: DataFrame, edges: DataFrame, source: str, target: str, values:
     ends = written(start.join(out.select(F.col(source).alias("host")), "host", "left_anti").select("host", F.lit(True).alias("ends")), "host-ends")
     base = written(start.select("host", *[F.col(v).cast("double").alias(v) for v in values]), "host-start")
     scores = base
-    for round_no in range(1, ROUNDS + 1):
+    # a round moves at most DAMPING of what the one before moved, so the loop ends
+    for round_no in count(1):
         moved = steps.join(scores.withColumnRenamed("host", "from_host"), "from_host").select("host", *[(F.col("part") * F.col(v)).alias(v) for v in values])
         kept = scores.join(ends, "host", "left_semi").select("host", *values)
         inflow = moved.unionByName(kept).groupBy("host").agg(*[F.sum(v).alias(f"in_{v}") for v in values])
