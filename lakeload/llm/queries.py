@@ -9,8 +9,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeload.llm import chat_windows, decontaminate, fixity, importance, interpolation, line_spread, link_trust, lsh_forest, multiset_hash, packing
-from lakeload.llm.scratch import prepare
+from lakeload.llm import chat_windows, decontaminate, fixity, importance, interpolation, line_spread, link_trust, lsh_forest, multiset_hash, packing, piece_agenda, spelling_variants, token_alignment
+from lakeload.llm.scratch import prepare, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -255,3 +255,66 @@ held as (select doc_id, count(*) as n_items, string_agg(item, ',' order by item)
 select d.doc_id, coalesce(len(w), 0) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
        sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
 from doc_words d left join hit using (doc_id) left join held using (doc_id)"""
+
+
+# ---- 11: spelling variants ---------------------------------------------------
+@query
+def op11_trie_frontier(spark: SparkSession, table: Callable[[str], DataFrame]) -> DataFrame:
+    """Words of the corpus, the more frequent spelling one edit away, and where such spellings end."""
+    return spelling_variants.spelling_variants(table("documents"))
+
+
+# SQL has no crc32: it is folded over the bytes with a table made by its rule. Words one edit apart agree
+# without one character, or one of them is the other without one.
+ORACLE_SQL["op11_trie_frontier"] = r"""
+with recursive crc_table as (
+  select list(entry order by b) as entries
+  from (select b, list_reduce(list_transform(range(9), lambda i: case when i = 0 then b else 0 end),
+                              lambda c, i: case when c % 2 = 1 then xor(c // 2, 3988292384) else c // 2 end) as entry
+        from (select unnest(range(256)) as b))),
+runs as (
+  select doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as run, count(*) as n
+  from (select doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]+')) as run from documents)
+  group by all),
+said as (select run, n, coalesce(doc_id::varchar, '') || ':' || run as said, hex(encode(coalesce(doc_id::varchar, '') || ':' || run)) as digits from runs where length(run) >= 5),
+hashed as (
+  select run, n,
+         xor(list_reduce([4294967295::bigint] || list_transform(range(1, len(digits) + 1, 2), lambda i: ('0x' || substr(digits, i, 2))::bigint),
+                         lambda c, byte: xor(c // 256, entries[xor(c % 256, byte) + 1])), 4294967295::bigint) as h
+  from said, crc_table),
+words as (
+  select word, sum(n)::bigint as n
+  from (select n, case when h % 97 = 0 then substr(run, 1, (h % length(run))::bigint) || substr(run, (h % length(run))::bigint + 2) else run end as word from hashed)
+  where length(word) >= 5 group by word having sum(n) >= 3),
+cuts as (select word, n, place, substr(word, 1, place - 1) || substr(word, place + 1) as rest from (select word, n, unnest(range(1, length(word) + 1)) as place from words)),
+pairs as (
+  select a.word, b.word as near, b.n as near_n from cuts a join cuts b on a.rest = b.rest and a.place = b.place and a.word <> b.word
+  union select a.word, b.word, b.n from cuts a join words b on a.rest = b.word
+  union select b.word, a.word, a.n from cuts a join words b on a.rest = b.word),
+best as (select word, count(*) as n_near, max(near_n) as best_n, min(near) filter (near_n = top) as near
+         from (select *, max(near_n) over (partition by word) as top from pairs) group by word),
+forms as (select w.word, w.n, coalesce(n_near, 0) as n_near, case when best_n >= 2 * w.n then near end as form, case when best_n >= 2 * w.n then best_n end as form_n
+          from words w left join best b using (word)),
+chains as (select word, word as root from forms union all select c.word, f.form from chains c join forms f on f.word = c.root where f.form is not null),
+ends as (select c.word, c.root from chains c join forms f on f.word = c.root where f.form is null)
+select word, form, root, n, n_near, form_n from forms join ends using (word)"""
+
+
+# ---- 12: SentencePiece -------------------------------------------------------
+@query
+def op12_piece_agenda(spark: SparkSession, table: Callable[[str], DataFrame]) -> DataFrame:
+    """Digests of every document's ids and of what they decode to."""
+    encoded = piece_agenda.encode_documents(table("documents"))
+    ids = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+# ---- 13: alignment of two vocabularies ---------------------------------------
+@query
+def op13_space_anchors(spark: SparkSession, table: Callable[[str], DataFrame]) -> DataFrame:
+    """Groups and links of every document's tokens in two vocabularies, weighed by the links of the corpus."""
+    aligned = token_alignment.aligned_documents(table("documents"))
+    digest = F.when(F.col("n_a") == 0, "").otherwise(F.sha2("groups", 256))
+    aligned = aligned.withColumns({"groups_sha256": digest, "row": F.monotonically_increasing_id()}).drop("groups")
+    weighed = token_alignment.with_pair_counts(written(aligned, "aligned"))
+    return weighed.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
