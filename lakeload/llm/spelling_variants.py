@@ -34,8 +34,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeload.llm.scratch import few, written
-from lakeload.runtime import lookup_join, new_run_dir
+from lakeload.llm.scratch import SENT_IDS, written
+from lakeload.runtime import lookup_join, new_run_dir, row_count_within
 
 LETTERS = "A-Za-zÀ-ÿ"
 RUNS, BREAK = re.compile(f"[{LETTERS}]+"), re.compile(f"[^{LETTERS}]")
@@ -157,8 +157,11 @@ def step(states: DataFrame, edges: DataFrame) -> DataFrame:
     inserted before it, or is the one after it, which is then deleted.
     """
     here, ahead = F.expr("substr(path, place + 1, 1)"), F.expr("substr(path, place + 2, 1)")
-    looking = states.withColumns({"here": here, "ahead": ahead})
-    moved = looking.join(edges, (looking["node"] == edges["node"]) & ((looking["edits"] == 0) | (looking["here"] == edges["c"]))).drop("node")
+    looking = states.withColumns({"here": here, "ahead": ahead}).withColumnRenamed("node", "from")
+    # Edges that no state can follow further are left out before the states behind them are made.
+    open_end = F.expr("here = '' or ahead = ''")
+    useful = open_end | F.expr("c = here or c = ahead or contains(follow, here) or contains(follow, ahead)")
+    moved = looking.join(edges, (F.col("from") == F.col("node")) & F.when(F.col("edits") == 0, useful).otherwise(F.col("c") == F.col("here")))
     after = moved.select("path", "size", "child", "child_n", "follow", F.expr(STEPS)).filter(F.col("next").isNotNull() & (F.col("next") <= F.col("size")))
     at_end = F.col("next") == F.col("size")
     goes_on = F.when(at_end, F.col("child_n").isNotNull()).otherwise(F.contains("follow", F.expr("substr(path, next + 1, 1)")))
@@ -186,11 +189,13 @@ def trie_neighbours(words: DataFrame) -> DataFrame | None:
     begun = paths.withColumn("place", first_place(F.col("path"), F.col("size")))
     start = begun.select("path", "size", "place", F.expr("left(path, place)").alias("node"), F.lit(0).alias("edits"), F.lit(None).cast("long").alias("node_n"))
     start = written(start, "starts")
+    sizes = {row["depth"]: row["count"] for row in edges.groupBy("depth").count().collect()}  # one row a level
     levels, states = [], None
     for depth in range(1 + LEAST_CHARS // 2, longest + 1):
         own = start.filter(F.col("place") == depth)
         here = own if states is None else own.unionByName(states.filter((F.col("edits") == 0) | (F.col("place") < F.col("size"))))
-        states = written(step(here, few(edges.filter(F.col("depth") == depth).drop("depth"))), "states")
+        own = edges.filter(F.col("depth") == depth).drop("depth")
+        states = written(step(here, F.broadcast(own) if sizes.get(depth, 0) <= SENT_IDS // 4 else own), "states")
         levels.append(arrived(states))
     found = levels[0]
     for level in levels[1:]:
@@ -267,9 +272,10 @@ def roots(forms: DataFrame) -> DataFrame:
     A form has twice its word's count at least, so there are no circles and few rounds.
     """
     links = written(forms.select("word", F.col("form").alias("root")), "roots")
+    small = row_count_within(links, SENT_IDS // 4)
     while True:
         further = links.select(F.col("word").alias("root"), F.col("root").alias("beyond"))
-        moved = written(lookup_join(links, further, "root", "left", bounded_by=links), "roots")
+        moved = written(lookup_join(links, further, "root", "left", bounded_by=small), "roots")
         if moved.filter(F.col("beyond").isNotNull()).isEmpty():
             return links
         links = moved.select("word", F.coalesce("beyond", "root").alias("root"))
