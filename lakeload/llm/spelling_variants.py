@@ -3,8 +3,8 @@
 The trie of all words is an edge table (node, character, child) spread over the
 cluster; a node is a prefix. States (word, position, node, edits) are joined with
 it level by level: a match goes on, a replaced, inserted or deleted character costs
-the one edit, and a state goes on only if its child has the character that must
-follow. States at the end of both a word and a node with one edit are neighbours.
+the one edit, and a state goes on only if its child leads to the two characters that
+must follow. States at the end of both a word and a node with one edit are neighbours.
 There are two tries, of the words and of the reversed words, and in each the first
 half of a word must match: so states start deep in the trie, where nodes have few
 children, and no state ever stands at the root. An edit is entered at the last place
@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeload.llm.scratch import SENT_IDS, written
-from lakeload.runtime import lookup_join, new_run_dir, row_count_within
+from lakeload.runtime import BROADCAST_ROWS, lookup_join, new_run_dir, row_count_within
 
 LETTERS = "A-Za-zÀ-ÿ"
 RUNS, BREAK = re.compile(f"[{LETTERS}]+"), re.compile(f"[^{LETTERS}]")
@@ -126,7 +126,8 @@ def first_place(path: Column, size: Column) -> Column:
 def edge_table(paths: DataFrame) -> str:
     """Folder of the edges by ``depth`` of their node: ``node, c, child, child_n`` (the word's n if it is one), ``follow``.
 
-    ``follow`` holds the characters that go on from the child.
+    ``follow`` holds the pairs of characters that go on from the child, each after a
+    space; a point stands behind the last character of a word.
     """
     least = 1 + LEAST_CHARS // 2
     steps = paths.withColumn("depth", F.explode(F.sequence(F.lit(least), F.col("size") - 1)))
@@ -137,7 +138,12 @@ def edge_table(paths: DataFrame) -> str:
         F.when(F.col("depth") == F.col("size") - 1, F.col("n")).alias("own"),
     )
     edges = written(edges.groupBy("depth", "node", "c").agg(F.max("own").alias("child_n")).withColumn("child", F.concat("node", "c")), "trie")
-    follow = edges.groupBy(F.col("node").alias("child")).agg(F.array_join(F.collect_list("c"), "").alias("follow"))
+    # A node has no more children than there are letters.
+    letters = edges.groupBy(F.col("node").alias("child")).agg(F.collect_list("c").alias("letters"))
+    letters = F.broadcast(letters) if row_count_within(letters) else letters
+    further = F.concat(F.coalesce("letters", F.array().cast("array<string>")), F.when(F.col("child_n").isNotNull(), F.array(F.lit("."))).otherwise(F.array().cast("array<string>")))
+    pairs = F.array_join(F.transform(further, lambda x: F.concat(F.lit(" "), "c", x)), "")
+    follow = edges.join(letters, "child", "left").groupBy(F.col("node").alias("child")).agg(F.array_join(F.collect_list(pairs), "").alias("follow"))
     whole = edges.join(follow, "child", "left").withColumn("follow", F.coalesce("follow", F.lit("")))
     path = new_run_dir(paths.sparkSession, "edges")
     whole.repartition("depth", F.xxhash64("node") % 64).write.partitionBy("depth").parquet(path)
@@ -150,6 +156,11 @@ STEPS = """inline(array(
     if(edits = 0 and c <> here and c = ahead, struct(place + 2 as next, 1 as cost), null)))"""
 
 
+def pair_after(place: str) -> Column:
+    """The two characters of a path behind a place, as ``follow`` holds them."""
+    return F.expr(f"concat(' ', rpad(substr(path, {place} + 1, 2), 2, '.'))")
+
+
 def step(states: DataFrame, edges: DataFrame) -> DataFrame:
     """One level down: every state along the edges of its node.
 
@@ -157,14 +168,13 @@ def step(states: DataFrame, edges: DataFrame) -> DataFrame:
     inserted before it, or is the one after it, which is then deleted.
     """
     here, ahead = F.expr("substr(path, place + 1, 1)"), F.expr("substr(path, place + 2, 1)")
-    looking = states.withColumns({"here": here, "ahead": ahead}).withColumnRenamed("node", "from")
+    looking = states.withColumns({"here": here, "ahead": ahead, "kept": pair_after("place"), "lost": pair_after("place + 1")}).withColumnRenamed("node", "from")
     # Edges that no state can follow further are left out before the states behind them are made.
-    open_end = F.expr("here = '' or ahead = ''")
-    useful = open_end | F.expr("c = here or c = ahead or contains(follow, here) or contains(follow, ahead)")
+    useful = F.expr("c = here or c = ahead or place + 1 >= size or contains(follow, kept) or contains(follow, lost)")
     moved = looking.join(edges, (F.col("from") == F.col("node")) & F.when(F.col("edits") == 0, useful).otherwise(F.col("c") == F.col("here")))
     after = moved.select("path", "size", "child", "child_n", "follow", F.expr(STEPS)).filter(F.col("next").isNotNull() & (F.col("next") <= F.col("size")))
     at_end = F.col("next") == F.col("size")
-    goes_on = F.when(at_end, F.col("child_n").isNotNull()).otherwise(F.contains("follow", F.expr("substr(path, next + 1, 1)")))
+    goes_on = F.when(at_end, F.col("child_n").isNotNull()).otherwise(F.contains("follow", pair_after("next")))
     alive = after.filter((F.col("cost") == 0) | goes_on)
     return alive.select("path", "size", F.col("next").cast("int").alias("place"), F.col("child").alias("node"), F.col("cost").alias("edits"), F.col("child_n").alias("node_n"))
 
@@ -195,7 +205,7 @@ def trie_neighbours(words: DataFrame) -> DataFrame | None:
         own = start.filter(F.col("place") == depth)
         here = own if states is None else own.unionByName(states.filter((F.col("edits") == 0) | (F.col("place") < F.col("size"))))
         own = edges.filter(F.col("depth") == depth).drop("depth")
-        states = written(step(here, F.broadcast(own) if sizes.get(depth, 0) <= SENT_IDS // 4 else own), "states")
+        states = written(step(here, F.broadcast(own) if sizes.get(depth, 0) <= BROADCAST_ROWS else own), "states")
         levels.append(arrived(states))
     found = levels[0]
     for level in levels[1:]:
