@@ -9,13 +9,14 @@ from pyspark.sql import functions as F
 
 from conformance.views import Inputs
 from lakeload import functions as fn
-from lakeload.operators import batching, casting, discover, feeds, landing, ledger, relocate, routing
+from lakeload.operators import batching, casting, discover, feeds, landing, ledger, relocate, routing, status_fold
 from lakeload.plans.load_pass import run_load_pass
 from lakeload.plans.store import LedgerStore
 from lakeload.runtime import new_run_dir, tune
 from lakeload.sources import catalog, csv_text, feed_bodies, manifest, payload
 from lakeload.sources import listing as source_listing
-from lakeload.streaming.discover_stream import start_discovery, start_watermark_filter
+from lakeload.streaming.discover_stream import start_discovery
+from lakeload.streaming.watermark import start_watermark_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -28,15 +29,17 @@ CAST_FIELDS = [
 ]
 
 
-def query(build: Callable[[Inputs], DataFrame]) -> Callable[[Inputs], DataFrame]:
-    """Register ``build`` under its name; instants leave as zoneless UTC timestamps."""
+def query(build: Callable[[Inputs], DataFrame] | None = None, name: str | None = None) -> Callable:
+    """Register ``build`` under its name, or another; instants leave as zoneless UTC timestamps."""
+    if build is None:
+        return lambda later: query(later, name)
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         out = build(Inputs(tune(spark), sf_dir))
         zoned = [f.name for f in out.schema.fields if f.dataType.typeName() == "timestamp"]
-        return out.withColumns({name: F.col(name).cast("timestamp_ntz") for name in zoned}) if zoned else out
+        return out.withColumns({column: F.col(column).cast("timestamp_ntz") for column in zoned}) if zoned else out
 
-    QUERIES[build.__name__] = run
+    QUERIES[name or build.__name__] = run
     return build
 
 
@@ -219,7 +222,7 @@ def stateful_watermark(t: Inputs) -> DataFrame:
     root = new_run_dir(t.spark, "watermark")
     halves = [t.v_objects.where("already_loaded"), t.v_objects.where("not already_loaded")]
     schema = listing(t).schema
-    query_args = (f"{root}/state", f"{root}/output", f"{root}/checkpoint", {"availableNow": True})
+    query_args = (f"{root}/output", f"{root}/checkpoint", {"availableNow": True})
     for half in halves:
         listed = half.select("table_id", "event_id", F.col("object_key").alias("key"), "last_modified", F.col("object_size").alias("size"))
         listed.write.mode("append").parquet(f"{root}/input")
@@ -368,6 +371,25 @@ def status_transition(t: Inputs) -> DataFrame:
     return ledger.transition(current, t.v_status_events)
 
 
+@query(name="status_fold")
+def folded_events(t: Inputs) -> DataFrame:
+    current = t.v_status_loads.select(F.col("id").alias("load_id"), "status")
+    return status_fold.fold_events(current, t.v_load_events).select("load_id", "seq", "event", "status", "next_status")
+
+
+@query
+def folded_status(t: Inputs) -> DataFrame:
+    current = t.v_status_loads.select(F.col("id").alias("load_id"), "status")
+    return status_fold.folded_status(current, status_fold.fold_events(current, t.v_load_events))
+
+
+@query
+def find_by_clause(t: Inputs) -> DataFrame:
+    """Every nation's table, looked up by its prefix; each lookup must give exactly one row."""
+    found = ledger.find_one(t.v_tables, s3_prefix="ods/T7/", is_raw=False)
+    return found.join(t.v_loads.select(F.col("table_id").alias("id"), F.col("id").alias("load_id")), "id").select("id", "name", "load_id")
+
+
 @query
 def current_status(t: Inputs) -> DataFrame:
     return ledger.current_status(t.v_status_log)
@@ -444,6 +466,17 @@ def new_load_rows(t: Inputs) -> DataFrame:
     return rows.select("id", "table_id", "status", "s3_key", "s3_modified", "s3_size", "is_raw")
 
 
+@query
+def dense_load_ids(t: Inputs) -> DataFrame:
+    """New loads numbered without gaps behind the ids of those there are."""
+    rows = discover.new_load_rows(arriving(t).drop("id"), t.v_tables, t.v_table_snapshots)
+    staged = new_run_dir(t.spark, "staged")
+    discover.with_row_places(rows, in_order=True).write.parquet(staged)
+    last = t.v_loads.agg(F.max("id").alias("id")).first()["id"]
+    numbered = discover.dense_load_ids(t.spark.read.parquet(staged), last)
+    return numbered.select("id", "table_id", "s3_key", "s3_modified")
+
+
 @query
 def load_snapshot_rows(t: Inputs) -> DataFrame:
     return discover.load_snapshot_rows(discover.new_load_rows(arriving(t), t.v_tables, t.v_table_snapshots))
@@ -460,6 +493,13 @@ def chunk_loads(t: Inputs) -> DataFrame:
     return batched(t)
 
 
+@query
+def chunk_loads_global(t: Inputs) -> DataFrame:
+    """All ready loads as one group, in small blocks so that these make a tree."""
+    ready = ledger.loads_by_status(t.v_loads, ["ready"], limit=None).select("id", "s3_size")
+    return batching.chunk_loads(ready, max_num=10, max_bytes=1_500_000, by=None, block_ids=256)
+
+
 @query
 def batch_stats(t: Inputs) -> DataFrame:
     return batching.batch_stats(batched(t))
@@ -525,6 +565,19 @@ def land_partitioned(t: Inputs) -> DataFrame:
     return landing.read_landed(t.spark, lake, ["o_orderstatus"])
 
 
+@query
+def land_empty_partition(t: Inputs) -> DataFrame:
+    """Orders landed by status and priority; delivered again, some of their partitions have no rows any more."""
+    lake, names = new_run_dir(t.spark, "lake"), ["o_orderstatus", "o_orderpriority"]
+    rows = t.orders.select("o_orderkey", "o_totalprice", *names)
+    landing.land(rows, lake, names)
+    delivered = rows.where("o_orderstatus in ('F', 'O')")
+    expected = [tuple(r) for r in delivered.select(*names).distinct().collect()]
+    again = delivered.where("o_orderstatus = 'F' or o_orderpriority < '3'").withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    landing.land(again, lake, names, expected=expected)
+    return landing.read_landed(t.spark, lake, names)
+
+
 # ---- feeds ------------------------------------------------------------------
 @query
 def valid_datasets(t: Inputs) -> DataFrame:
@@ -554,6 +607,22 @@ def upsert_datasets(t: Inputs) -> DataFrame:
     return feeds.upsert_datasets(stored, incoming)
 
 
+@query
+def upsert_datasets_ordered(t: Inputs) -> DataFrame:
+    """Bodies of several announcements each, in which identifiers occur again."""
+    stored = t.customer.where("c_custkey % 2 = 0").select(
+        F.col("c_nationkey").cast("long").alias("feed_id"),
+        F.lit("stored").alias("type"),
+        F.concat(F.lit("d"), "c_custkey").alias("identifier"),
+        F.to_date(F.lit("2020-01-01")).alias("start_date"),
+        F.to_date(F.lit("2020-01-02")).alias("end_date"),
+        F.to_timestamp_ntz(F.lit("2020-01-03 00:00:00")).alias("last_updated_at"),
+    )
+    bodies = t.v_twin_bodies.select((F.col("arrival") % 7).alias("feed_id"), "arrival", "body")
+    incoming = feeds.dataset_rows(feeds.valid_datasets(feed_bodies.feed_results(bodies)))
+    return feeds.upsert_datasets(stored, incoming)
+
+
 @query
 def feed_watermark(t: Inputs) -> DataFrame:
     known = t.v_feeds.select("id", "relative_url", "last_updated_at")

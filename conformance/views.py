@@ -129,6 +129,21 @@ VIEWS = {
                case o_custkey % 6 when 0 then 'select' when 1 then 'batch' when 2 then 'finish' when 3 then 'fail'
                     when 4 then 'dispatch' else 'moved' end as event
         from {orders}""",
+    # up to seven events a load, and one load with those of every fiftieth order
+    "v_load_events": """
+        select case when l_orderkey % 50 = 0 then 1 else l_orderkey end as load_id, l_shipdate as at, l_orderkey * 8 + l_linenumber as seq,
+               case (l_partkey + l_linenumber) % 7 when 0 then 'select' when 1 then 'batch' when 2 then 'finish' when 3 then 'fail'
+                    when 4 then 'dispatch' when 5 then 'moved' else 'lost' end as event
+        from {lineitem}""",
+    # three announcements a body, the first and the last of one dataset
+    "v_twin_bodies": """
+        select c_custkey as arrival,
+               concat('{{"success":true,"results":[', one, ',', two, ',', three, ']}}') as body
+        from (select c_custkey,
+                     concat('{{"id":"first","dataset_id":"d', cast(c_custkey % 600 as varchar(20)), '","url":"https://h.example.com/a","start_date":"2022-05-17","end_date":"2022-05-17","last_updated":"2022-05-18T12:12:24.000001"}}') as one,
+                     concat('{{"id":"second","dataset_id":"e', cast(c_custkey % 400 as varchar(20)), '","url":"https://h.example.com/b","start_date":"2022-05-18","end_date":"2022-05-18","last_updated":"2022-05-19T12:12:24.', lpad(cast(c_custkey % 1000000 as varchar(20)), 6, '0'), '"}}') as two,
+                     concat('{{"id":"third","dataset_id":"d', cast(c_custkey % 600 as varchar(20)), '","url":"https://h.example.com/c","start_date":"2022-05-19","end_date":"2022-05-20","last_updated":"2022-05-20T12:12:24.', lpad(cast(c_custkey % 1000000 as varchar(20)), 6, '0'), '"}}') as three
+              from {customer}) t""",
     "v_status_log": """
         select user_id as load_id, event_type as status, ts as at, event_id as seq from {events}""",
 }

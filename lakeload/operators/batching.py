@@ -2,16 +2,19 @@
 
 Whether a load starts a batch depends on everything before it, so the rule is no
 window function, and a hot group must not be walked by one task. It is cut into
-blocks of neighbouring ids instead:
+blocks of neighbouring ids instead, and a block is a function of the batch that is
+open before it:
 
 1. every block works out, for each row at which a batch may first be cut in it,
    how many batches follow and what the last one holds at the block's end (a cut
    must come within the first ``max_num`` rows, so there are few such rows);
-2. these summaries, one small row per block, are chained per group, which gives
-   every block the batch that is open where it begins;
+2. two blocks in a row make a function of the same form, so the blocks of a group
+   are joined in a tree: ``FANOUT`` neighbours a task, level by level upwards;
+   then every level, downwards, gives its nodes the batch that is open before them;
 3. every block numbers its rows from there.
 
-Ids are unique, so a block has at most ``BLOCK_IDS`` rows whatever its group's size.
+Ids are unique, so a block has at most ``BLOCK_IDS`` rows whatever its group's size,
+and no task sees more than a block or about ``FANOUT`` summaries.
 """
 
 from __future__ import annotations
@@ -22,8 +25,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from lakeload.runtime import new_run_dir
+
 BLOCK_IDS = 65_536
 
+#: Neighbouring blocks (or nodes of the tree above them) that one task joins.
+FANOUT = 64
+
 
 def next_starts(sizes: np.ndarray, max_num: int, max_bytes: int) -> np.ndarray:
     """For a batch starting at each row, the row at which the next one starts."""
@@ -42,6 +50,48 @@ def joined_rows(head: list[int], rows: int, count: int, held: int, max_num: int,
     return taken
 
 
+#: The batch that is open somewhere: its number, loads and bytes.
+Open = tuple[int, int, int]
+NOTHING_OPEN: Open = (-1, 0, 0)
+
+
+def after_block(block: dict, before: Open, max_num: int, max_bytes: int) -> Open:
+    """The batch open behind a block, given the one open before it."""
+    number, count, held = before
+    taken = joined_rows(block["head"], block["rows"], count, held, max_num, max_bytes)
+    if taken == block["rows"]:
+        return number, count + taken, held + block["total"]
+    return number + block["batches"][taken], block["open_count"][taken], block["open_bytes"][taken]
+
+
+def joined_blocks(a: dict, b: dict, max_num: int, max_bytes: int) -> dict:
+    """Two blocks in a row as one: for each row of a first cut, what ``b`` makes of what ``a`` leaves open."""
+    rows = a["rows"] + b["rows"]
+    starts = [
+        after_block(b, (a["batches"][t], a["open_count"][t], a["open_bytes"][t]), max_num, max_bytes)
+        if t < a["rows"]
+        else tuple(b[name][t - a["rows"]] for name in ("batches", "open_count", "open_bytes"))
+        for t in range(min(max_num, rows))
+    ]
+    batches, counts, held = (list(x) for x in zip(*starts))
+    head = (a["head"] + b["head"])[:max_num]
+    return {"rows": rows, "total": a["total"] + b["total"], "head": head, "batches": batches, "open_count": counts, "open_bytes": held}
+
+
+def tree_levels(first: int, last: int) -> int:
+    """How often blocks must be joined until all from ``first`` to ``last`` have one parent."""
+    levels = 1
+    while int(first / FANOUT**levels) != int(last / FANOUT**levels):
+        levels += 1
+    return levels
+
+
+def _written(df: DataFrame, label: str) -> DataFrame:
+    path = new_run_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _sizes(table: pa.Table, size: str) -> np.ndarray:
     return table.column(size).fill_null(0).to_numpy().astype(np.int64)
 
@@ -53,17 +103,19 @@ def chunk_loads(
     by: str | None = "table_id",
     id_column: str = "id",
     size_column: str = "s3_size",
+    block_ids: int | None = None,
 ) -> DataFrame:
     """Add ``batch_no`` (from 0 per group; one group when ``by`` is None).
 
     A batch ends when it holds ``max_num`` loads or when the next load would take
     it over ``max_bytes``; a load above ``max_bytes`` is alone. No batch is empty.
+    ``block_ids`` changes how long blocks are, not the result.
     """
     if max_num < 1:
         raise ValueError("max_num must be positive")
     group = by or "__all"
     source = loads if by else loads.withColumn(group, F.lit(0))
-    blocked = source.withColumn("__block", F.expr(f"`{id_column}` div {BLOCK_IDS}"))
+    blocked = source.withColumn("__block", F.expr(f"`{id_column}` div {block_ids or BLOCK_IDS}"))
     group_type = source.schema[group].dataType.simpleString()
 
     def summarise(table: pa.Table) -> pa.Table:
@@ -91,17 +143,23 @@ def chunk_loads(
             }
         )
 
-    def chain(table: pa.Table) -> pa.Table:
+    def joined(table: pa.Table) -> pa.Table:
+        """The nodes below one parent -> the parent."""
+        nodes = table.sort_by("__block").to_pylist()
+        whole = nodes[0]
+        for node in nodes[1:]:
+            whole = joined_blocks(whole, node, max_num, max_bytes)
+        row = {group: nodes[0][group], "__block": nodes[0]["__parent"]} | {name: whole[name] for name in ("rows", "total", "head", "batches", "open_count", "open_bytes")}
+        types = {f.name: f.type for f in table.schema}
+        return pa.table({name: pa.array([value], types[name]) for name, value in row.items()})
+
+    def opened(table: pa.Table, state: Open) -> pa.Table:
+        """The nodes below one parent, and the batch open before it -> the batch open before each of them."""
         ordered = table.sort_by("__block")
-        entries, number, count, held = [], -1, 0, 0
-        for b in ordered.to_pylist():
-            entries.append((b["__block"], number, count, held))
-            taken = joined_rows(b["head"], b["rows"], count, held, max_num, max_bytes)
-            if taken == b["rows"]:
-                count, held = count + taken, held + b["total"]
-            else:
-                number += b["batches"][taken]
-                count, held = b["open_count"][taken], b["open_bytes"][taken]
+        entries = []
+        for node in ordered.to_pylist():
+            entries.append((node["__block"], *state))
+            state = after_block(node, state, max_num, max_bytes)
         blocks, numbers, counts, bytes_held = zip(*entries)
         return pa.table(
             {
@@ -113,6 +171,12 @@ def chunk_loads(
             }
         )
 
+    def entered_first(table: pa.Table) -> pa.Table:
+        return opened(table, NOTHING_OPEN)
+
+    def entered(table: pa.Table, entry: pa.Table) -> pa.Table:
+        return opened(table, tuple(entry.column(c)[0].as_py() for c in ("open_number", "open_count", "open_bytes")))
+
     def number_rows(table: pa.Table, entry: pa.Table) -> pa.Table:
         ordered = table.sort_by(id_column)
         sizes = _sizes(ordered, size_column)
@@ -135,8 +199,19 @@ def chunk_loads(
     )
     entry_type = f"`{group}` {group_type}, __block bigint, open_number bigint, open_count bigint, open_bytes bigint"
     needed = blocked.select(group, "__block", id_column, size_column)
-    summaries = needed.groupBy(group, "__block").applyInArrow(summarise, summary_type)
-    entries = summaries.groupBy(group).applyInArrow(chain, entry_type)
+    nodes = [needed.groupBy(group, "__block").applyInArrow(summarise, summary_type)]
+    ends = needed.agg(F.min("__block").alias("first"), F.max("__block").alias("last")).first()
+    levels = 1 if ends["first"] is None else tree_levels(ends["first"], ends["last"])
+    for level in range(levels):
+        with_parent = nodes[level].withColumn("__parent", F.expr(f"__block div {FANOUT}"))
+        if level < levels - 1:
+            nodes[level] = _written(with_parent, "blocks")  # read again on the way down
+            nodes.append(nodes[level].groupBy(group, "__parent").applyInArrow(joined, summary_type))
+        else:
+            nodes[level] = with_parent
+    entries = nodes[-1].groupBy(group).applyInArrow(entered_first, entry_type)
+    for level in reversed(nodes[:-1]):
+        entries = level.groupBy(group, "__parent").cogroup(entries.groupBy(group, "__block")).applyInArrow(entered, entry_type)
     out_schema = StructType([*source.schema.fields, StructField("batch_no", LongType())])
     numbered = (
         blocked.groupBy(group, "__block").cogroup(entries.groupBy(group, "__block")).applyInArrow(number_rows, out_schema)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeload.functions.checks import is_data_object
@@ -153,12 +153,28 @@ def load_snapshot_rows(load_rows: DataFrame) -> DataFrame:
     return load_rows.where("is_snapshot_table").select(F.col("id").alias("load_id"), "snapshot")
 
 
-def with_load_ids(load_rows: DataFrame, after: int) -> DataFrame:
-    """Number new loads above ``after``, rising in key order within each partition.
+def with_row_places(load_rows: DataFrame, in_order: bool = False) -> DataFrame:
+    """Rows with ``__place``: the task that writes them, and their place in it, rising in key order.
 
-    Ids are unique but leave gaps, and a second evaluation may number the rows
-    differently: write the result once and go on from what was written. No
-    shuffle is added and no task sees more than its partition.
+    A second evaluation may place rows differently: write the result once, and give
+    :func:`dense_load_ids` what was written. The default adds no shuffle; with
+    ``in_order`` the tasks hold ranges of keys, so the ids rise with the keys of all.
     """
-    ordered = load_rows.sortWithinPartitions("table_id", "s3_key", "s3_modified")
-    return ordered.withColumn("id", F.monotonically_increasing_id() + F.lit(after + 1))
+    order = ["table_id", "s3_key", "s3_modified"]
+    rows = load_rows.repartitionByRange(*order) if in_order else load_rows
+    return rows.sortWithinPartitions(*order).withColumn("__place", F.monotonically_increasing_id())
+
+
+def dense_load_ids(placed: DataFrame, after: int) -> DataFrame:
+    """Number written rows ``after + 1, after + 2, …`` without gaps, in the order of ``__place``.
+
+    The rows of each writing task are counted, the counts summed up in their order,
+    and every row adds its place to the sum before its task. Only the counts, a row
+    for each task, pass one window.
+    """
+    task, place = F.shiftright("__place", 33), F.col("__place").bitwiseAND((1 << 33) - 1)
+    counts = placed.groupBy(task.alias("__task")).agg(F.count("*").alias("__rows"))
+    ahead = F.coalesce(F.sum("__rows").over(Window.orderBy("__task").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = counts.select("__task", ahead.alias("__ahead"))
+    numbered = placed.withColumn("__task", task).join(F.broadcast(offsets), "__task")
+    return numbered.withColumn("id", F.lit(after + 1).cast("long") + F.col("__ahead") + place).drop("__task", "__ahead", "__place")

@@ -54,13 +54,15 @@ def upsert_datasets(stored: DataFrame, incoming: DataFrame, arrival: str = "arri
     """The dataset table after a batch: new identifiers are added, known ones get only a new ``last_updated_at``.
 
     An identifier that occurs several times in the batch keeps the first
-    occurrence's other columns and the last one's ``last_updated_at``. The batch
-    is reduced to one row per identifier before the join.
+    occurrence's other columns and the last one's ``last_updated_at``. Occurrences
+    are ordered by arrival, then by their ``position`` inside a body if there is such
+    a column. The batch is reduced to one row per identifier before the join.
     """
     others = ["feed_id", "type", "start_date", "end_date"]
+    order = F.struct(arrival, *[c for c in ("position",) if c in incoming.columns])
     batch = incoming.groupBy("identifier").agg(
-        F.min_by(F.struct(*others), F.col(arrival)).alias("__first"),
-        F.max_by("last_updated_at", F.col(arrival)).alias("__last"),
+        F.min_by(F.struct(*others), order).alias("__first"),
+        F.max_by("last_updated_at", order).alias("__last"),
     )
     # Columns that only the ledger knows (ids, deletion, times of its rows) stay as they are.
     merged = stored.withColumn("__stored", F.lit(True)).join(batch, "identifier", "full_outer")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -19,9 +19,14 @@ def land(
     partition_by: Sequence[str] = (),
     rebalance: bool = False,
     max_records_per_file: int | None = None,
+    expected: Sequence[Sequence[str | None]] | None = None,
 ) -> None:
     """Write Parquet, replacing exactly the partitions that occur in ``df``.
 
+    ``expected`` names the partitions that ``df`` is the whole content of, as values
+    in the order of ``partition_by``: those that have no rows any more are emptied
+    afterwards. It is as long as the list of loads of one write.
+
     Without partition columns the whole destination is replaced. The default
     adds no shuffle: a gzipped file is read by one task and belongs to one
     partition, so the scan tasks write the final files. ``rebalance`` evens out
@@ -39,6 +44,27 @@ def land(
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(destination)
+    if expected:
+        empty_partitions(df.sparkSession, destination, partition_by, without_rows(df, partition_by, expected))
+
+
+def without_rows(df: DataFrame, partition_by: Sequence[str], expected: Sequence[Sequence[str | None]]) -> list[tuple]:
+    """Those of the expected partitions that no row of ``df`` belongs to; only the partition columns are read."""
+    spark = df.sparkSession
+    wanted = spark.createDataFrame([tuple(values) for values in expected], ", ".join(f"`__{name}` string" for name in partition_by)).distinct()
+    held = df.select(*[F.col(f"`{name}`").cast("string").alias(name) for name in partition_by]).distinct()
+    same = [F.col(f"`__{name}`").eqNullSafe(F.col(f"`{name}`")) for name in partition_by]
+    return [tuple(row) for row in wanted.join(held, same, "left_anti").collect()]
+
+
+def empty_partitions(spark: SparkSession, destination: str, partition_by: Sequence[str], partitions: Sequence[Sequence[str | None]]) -> None:
+    """Delete the folders of the given partitions; one that is not there is passed over."""
+    java = spark._jvm
+    escape = java.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    for values in partitions:
+        named = [f"{escape(name)}={'__HIVE_DEFAULT_PARTITION__' if value in (None, '') else escape(value)}" for name, value in zip(partition_by, values, strict=True)]
+        path = java.org.apache.hadoop.fs.Path("/".join([destination.rstrip("/"), *named]))
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def read_landed(df_or_spark, destination: str, partition_by: Sequence[str] = ()) -> DataFrame:

@@ -76,12 +76,17 @@ def find(ledger: DataFrame, **clauses: object) -> DataFrame:
 
 
 def find_one(ledger: DataFrame, **clauses: object) -> DataFrame:
-    """Like :func:`find`, but it is an error when there is no row or more than one."""
+    """Like :func:`find`, but running it is an error when there is no row or more than one.
+
+    The plan counts the rows beside finding them; nothing runs before the result does.
+    """
     rows = find(ledger, **clauses)
-    found = rows.limit(2).count()
-    if found != 1:
-        raise LookupError(f"expected one row for {clauses}, found {'none' if found == 0 else 'more'}")
-    return rows
+    found = rows.agg(F.count("*").alias("__found"))
+    said = F.concat(F.lit(f"expected one row for {clauses}, found "), F.col("__found").cast("string"))
+    checked = found.select(F.when(F.col("__found") == 1, True).otherwise(F.raise_error(said).cast("boolean")).alias("__one"))
+    # The count leads the join, which keeps its one row also where nothing was found.
+    first = rows.limit(2).withColumn("__hit", F.lit(True))
+    return checked.join(F.broadcast(first), F.col("__hit"), "left").where("__one").select(*ledger.columns)
 
 
 def active_tables(tables: DataFrame) -> DataFrame:

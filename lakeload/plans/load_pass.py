@@ -67,11 +67,10 @@ def take_in(objects: DataFrame, store: LedgerStore, layout: routing.Layout, pass
     """Discover and record: new loads, their snapshots, and the tables' snapshots. Returns the new loads."""
     before = (pass_id, 0)
     rows = discovered(objects, store, layout, pass_id, limits)
-    numbered = discover.with_load_ids(rows, store.last_load_id(before))
-    # Ids are given while writing: write once, then use what was written.
+    # Rows get their places while they are written: write once, then number what was written.
     staged = f"{store.root}/staged/pass={pass_id}"
-    numbered.write.mode("overwrite").parquet(staged)
-    found = store.spark.read.parquet(staged)
+    discover.with_row_places(rows).write.mode("overwrite").parquet(staged)
+    found = discover.dense_load_ids(store.spark.read.parquet(staged), store.last_load_id(before))
     if found.isEmpty():
         return found
     now = F.current_timestamp()
@@ -179,9 +178,12 @@ def land_table(spark: SparkSession, loads: list, columns: list[str], fields: lis
     if not columns or not fields:
         return [load["id"] for load in loads], []
 
+    def newest(chosen: list) -> list:
+        # A rewritten object can have several loads: its file is read once, for the newest of them.
+        return list({_path_key(c["source_path"]): c for c in sorted(chosen, key=lambda c: c["id"])}.values())
+
     def scan(chosen: list) -> DataFrame:
-        # A rewritten object can have several loads: its file is read once, for the first of them.
-        chosen = list({_path_key(c["source_path"]): c for c in reversed(chosen)}.values())
+        chosen = newest(chosen)
         paths = [c["source_path"] for c in chosen]
         rows = csv_text.scan_csv_strings(spark, paths, columns, header, file_column="__file", corrupt_column="__corrupt")
         names = [p["name"] for p in chosen[0]["partition_columns"]]
@@ -200,6 +202,9 @@ def land_table(spark: SparkSession, loads: list, columns: list[str], fields: lis
         uneven = F.raise_error(F.concat(F.lit("wrong number of fields: "), "__corrupt")).cast("string")
         rows = scan(chosen).withColumn(names[0], F.when(F.col("__corrupt").isNotNull(), uneven).otherwise(F.col(f"`{names[0]}`")))
         landing.land(casting.cast_to_schema(rows, fields, keep=names), destination, names)
+        # A file without rows leaves its partition empty, whatever an earlier delivery put there.
+        expected = [[p["value"] for p in c["partition_columns"]] for c in newest(chosen)]
+        landing.empty_partitions(spark, destination, names, landing.without_rows(scan(chosen).select(*names), names, expected))
 
     def works(action: Callable[[list], object], chosen: list) -> bool:
         try:

@@ -5,10 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from lakeload.operators import discover
 from lakeload.operators.routing import Layout
 from lakeload.plans.load_pass import Limits, take_in
 from lakeload.plans.store import LedgerStore
@@ -49,38 +47,3 @@ def start_discovery(
         .trigger(**(trigger or {"processingTime": "5 seconds"}))
         .start()
     )
-
-
-def start_watermark_filter(
-    objects: DataFrame,
-    state_root: str,
-    output: str,
-    checkpoint: str,
-    trigger: dict[str, object] | None = None,
-) -> StreamingQuery:
-    """Pass on objects (``table_id, key, last_modified, …``) newer than their table's watermark.
-
-    The watermark is kept per table and survives restarts; what is not newer is
-    dropped for good. The state after batch *n* is a small table of its own, made
-    from the state before and the batch's grouped maximum: a hot table is reduced
-    on the map side and no task ever holds a table's objects together. A batch
-    that is run again reads the state before it and replaces its own output.
-    """
-
-    def filter_batch(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        empty = spark.createDataFrame([], "table_id bigint, s3_modified timestamp, batch bigint")
-        seen = empty if batch_id == 0 else spark.read.parquet(f"{state_root}/batch={batch_id - 1}")
-        seen = seen.select("table_id", F.col("s3_modified").cast("timestamp"))
-        discover.new_objects(batch, seen, per_prefix=None).write.mode("overwrite").parquet(f"{output}/batch={batch_id}")
-        passed = spark.read.parquet(f"{output}/batch={batch_id}")
-        newest = passed.select("table_id", F.date_trunc("second", "last_modified").alias("s3_modified"))
-        after = seen.unionByName(newest).groupBy("table_id").agg(F.max("s3_modified").alias("s3_modified"))
-        after.write.mode("overwrite").parquet(f"{state_root}/batch={batch_id}")
-
-    return (
-        objects.writeStream.foreachBatch(filter_batch)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"processingTime": "5 seconds"}))
-        .start()
-    )

@@ -1,13 +1,14 @@
 """Operators on small tables with known answers."""
 
 import datetime as dt
+import json
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from lakeload import functions as fn
-from lakeload.operators import batching, casting, discover, feeds, landing, ledger, relocate, routing
+from lakeload.operators import batching, casting, discover, feeds, landing, ledger, relocate, routing, status_fold
 from lakeload.runtime import lookup_join
 from lakeload.sources import catalog, feed_bodies, manifest, payload
 
@@ -80,6 +81,16 @@ def test_landing_replaces_only_the_partitions_written(spark, tmp_path):
     assert write([("c", "3")], "s1", "0012") == [("b", "2", "s2", "0013"), ("c", "3", "s1", "0012")]
 
 
+def test_landing_empties_expected_partitions_without_rows(spark, tmp_path):
+    lake, names = str(tmp_path / "lake"), ["day", "part"]
+    rows = [(1, "a b", "x=1"), (2, "c/d", "y"), (3, "kept", "z"), (4, None, "n")]
+    df = spark.createDataFrame(rows, "v int, day string, part string")
+    landing.land(df, lake, names)
+    again = df.where("v = 1").withColumn("v", F.lit(9))
+    landing.land(again, lake, names, expected=[("a b", "x=1"), ("c/d", "y"), (None, "n"), ("never", "there")])
+    assert sorted(map(tuple, landing.read_landed(spark, lake, names).collect())) == [(3, "kept", "z"), (9, "a b", "x=1")]
+
+
 def test_rebalanced_landing_writes_the_same_rows(spark, tmp_path):
     df = spark.range(0, 1000, 1, 8).select("id", F.when(F.col("id") % 10 < 7, "hot").otherwise("cold").alias("identifier"))
     landing.land(df, f"{tmp_path}/t", ["identifier"], rebalance=True, max_records_per_file=300)
@@ -163,6 +174,37 @@ def test_batches_over_many_blocks_equal_one_walk(spark, monkeypatch, block):
         assert batches(spark, sizes, max_num, max_bytes, ids) == brute_force(sizes, ids, max_num, max_bytes)
 
 
+def test_a_group_of_many_blocks_is_joined_in_a_tree(spark):
+    rng = random.Random(5)
+    ids = sorted(rng.sample(range(1, 40_000), 3000))
+    sizes = [rng.choice([0, 1, 5, 40, 90, 120]) for _ in ids]
+    df = spark.createDataFrame(list(zip(ids, sizes)), "id bigint, s3_size bigint")
+    found = {}
+    for row in batching.chunk_loads(df, 7, 300, by=None, block_ids=5).collect():
+        found.setdefault(row["batch_no"], []).append(row["id"])
+    assert [sorted(found[n]) for n in sorted(found)] == brute_force(sizes, ids, 7, 300)
+    assert batching.tree_levels(0, 63) == 1 and batching.tree_levels(0, 64) == 2 and batching.tree_levels(-1, 64**3) == 4
+    assert batching.chunk_loads(df.limit(0), 7, 300, by=None).count() == 0
+
+
+def test_blocks_compose_like_functions():
+    rng = random.Random(6)
+
+    def block(sizes):
+        starts = []
+        for first in range(min(4, len(sizes))):
+            cut = brute_force(sizes[first:], range(len(sizes) - first), 4, 100)
+            starts.append((len(cut), len(cut[-1]), sum(sizes[first:][i] for i in cut[-1])))
+        batches, counts, held = (list(x) for x in zip(*starts))
+        return {"rows": len(sizes), "total": sum(sizes), "head": sizes[:4], "batches": batches, "open_count": counts, "open_bytes": held}
+
+    for _ in range(200):
+        a, b, c = ([rng.choice([0, 10, 40, 90, 120]) for _ in range(rng.randint(1, 6))] for _ in range(3))
+        left = batching.joined_blocks(batching.joined_blocks(block(a), block(b), 4, 100), block(c), 4, 100)
+        right = batching.joined_blocks(block(a), batching.joined_blocks(block(b), block(c), 4, 100), 4, 100)
+        assert left == right == block(a + b + c)
+
+
 # ---- ledger -----------------------------------------------------------------
 def loads_df(spark, rows):
     return spark.createDataFrame(
@@ -214,8 +256,11 @@ def test_find_one_wants_exactly_one(spark):
     tables = tables_df(spark, [(1, "a", "p/", False, True), (2, "b", "q/", None, None)])
     assert values(ledger.find_one(tables, name="a"), "id") == [1]
     assert values(ledger.find(tables, is_raw=None), "id") == [2]
-    with pytest.raises(LookupError):
-        ledger.find_one(tables, name="c")
+    assert ledger.find_one(tables, name="a").columns == tables.columns
+    for clauses in ({"name": "c"}, {"deleted_at": None}):  # none, and two; the plan alone is no error
+        found = ledger.find_one(tables, **clauses)
+        with pytest.raises(Exception, match="expected one row"):
+            found.collect()
 
 
 def test_status_walk(spark):
@@ -230,6 +275,36 @@ def test_status_walk(spark):
     assert values(ledger.rejected(moved), "load_id") == [2]
 
 
+def walked(status, events):
+    out = []
+    for at_, seq, event in sorted(events):
+        following = ledger.TRANSITIONS.get((status, event))
+        out.append((seq, event, status, following))
+        status = following or status
+    return out, status
+
+
+def test_many_events_fold_like_a_walk(spark):
+    rng = random.Random(3)
+    names = [*sorted(status_fold.EVENT_MAPS), "unheard of", None]
+    # one load has most of the events, one no status, one no events
+    events = [(rng.choice([1, 1, 1, 2, 3, 4]), rng.choice(names[:-1]), i // 3, i) for i in range(6000)]
+    df = spark.createDataFrame(events, "load_id bigint, event string, at bigint, seq bigint").repartition(5)
+    current = spark.createDataFrame([(1, "ready"), (2, "archiving"), (3, "errored_unknown"), (5, "ready")], "load_id bigint, status string")
+    folded = status_fold.fold_events(current, df.withColumn("at", F.timestamp_seconds("at")))
+    got = {}
+    for row in folded.collect():
+        got.setdefault(row["load_id"], []).append((row["seq"], row["event"], row["status"], row["next_status"]))
+    ends = {}
+    for load, status in ((1, "ready"), (2, "archiving"), (3, "errored_unknown"), (4, None)):
+        want, ends[load] = walked(status, [(a, s, e) for i, e, a, s in events if i == load])
+        assert sorted(got[load]) == want
+    final = {r["load_id"]: r for r in status_fold.folded_status(current, folded).collect()}
+    assert {i: final[i]["status"] for i in (1, 2, 3)} == {i: ends[i] for i in (1, 2, 3)}
+    assert (final[5]["status"], final[5]["applied"], final[5]["rejected"]) == ("ready", 0, 0)
+    assert status_fold.fold_events(current, df.limit(0).withColumn("at", F.timestamp_seconds("at"))).count() == 0
+
+
 def test_stuck_loads(spark):
     rows = [(i, 1, s, "k", 0, 1) for i, s in enumerate(["archiving", "archived_unknown", "erroring", "errored_unknown", "ready"])]
     found = ledger.stuck_loads(loads_df(spark, rows))
@@ -289,6 +364,21 @@ def test_status_of_new_loads(spark):
     ]
 
 
+def test_load_ids_are_dense_and_rise(spark, tmp_path):
+    rows = spark.range(1000).select((F.col("id") % 3).alias("table_id"), F.concat(F.lit("k"), "id").alias("s3_key"), F.timestamp_seconds(F.col("id") % 7).alias("s3_modified"))
+    for in_order in (False, True):
+        path = str(tmp_path / str(in_order))
+        discover.with_row_places(rows.repartition(6), in_order).write.parquet(path)
+        numbered = discover.dense_load_ids(spark.read.parquet(path), 41)
+        found = numbered.orderBy("id").collect()
+        assert [r["id"] for r in found] == list(range(42, 1042)) and numbered.columns == ["table_id", "s3_key", "s3_modified", "id"]
+        keys = [(r["table_id"], r["s3_key"]) for r in found]
+        assert len(set(keys)) == 1000 and (not in_order or keys == sorted(keys))
+    empty = str(tmp_path / "empty")
+    discover.with_row_places(rows.limit(0)).write.parquet(empty)
+    assert discover.dense_load_ids(spark.read.parquet(empty), 41).count() == 0
+
+
 def test_snapshot_fold_equals_the_ordered_walk(spark):
     rng = random.Random(3)
     stored = {1: at(-50), 2: None}
@@ -424,6 +514,18 @@ def test_upsert_keeps_the_stored_dates(spark):
     assert sorted(map(tuple, out.collect())) == [(1, "s", "s_1", day, day, at(1)), (1, "s", "s_2", day, day, at(3))]
 
 
+def test_upsert_orders_the_announcements_of_a_body(spark):
+    def announced(identifier, kind, second):
+        return {"id": kind, "dataset_id": identifier, "url": "https://h/x", "start_date": "2022-05-17", "end_date": "2022-05-17", "last_updated": f"2022-05-18T12:12:{second}Z"}
+
+    bodies = [(1, 0, [announced("a", "first", "30"), announced("b", "other", "31"), announced("a", "last", "10")]), (1, 1, [announced("b", "late", "09")])]
+    df = spark.createDataFrame([(f, n, json.dumps({"success": True, "results": r})) for f, n, r in bodies], "feed_id bigint, arrival int, body string")
+    incoming = feeds.dataset_rows(feeds.valid_datasets(feed_bodies.feed_results(df.repartition(3))))
+    stored = spark.createDataFrame([], "feed_id bigint, type string, identifier string, start_date date, end_date date, last_updated_at timestamp_ntz")
+    found = {r["identifier"]: (r["type"], r["last_updated_at"].second) for r in feeds.upsert_datasets(stored, incoming).collect()}
+    assert found == {"a": ("first", 10), "b": ("other", 9)}
+
+
 def test_feed_watermark_and_requests(spark):
     feed = spark.createDataFrame(
         [(1, "/datasetpublicusersapi/a", dt.datetime(2022, 5, 22, 20, 49, 50, 123456)), (2, "/datasetcontrolleduserapi/b", None)],

@@ -224,6 +224,29 @@ def test_rewritten_object_is_landed_once(zone):
     assert set(zone.statuses().values()) == {"ready_for_archiving"}
 
 
+def test_a_file_delivered_again_without_rows_empties_its_partition(zone):
+    zone.put("datasets/set/a.csv.gz", ["1,2021-01-01,x"], START)
+    zone.put("datasets/set/b.csv.gz", ["2,2021-01-01,y"], START)
+    zone.run()
+    zone.put("datasets/set/a.csv.gz", [], START + 60)
+    zone.run()
+    landed = read_landed(zone.spark, f"{zone.layout.lake}datasets/set", ["identifier"])
+    assert [(r["n"], r["identifier"]) for r in landed.collect()] == [(2, "b.csv.gz")]
+    assert zone.statuses()[("datasets/set/a.csv.gz", START + 60)] == "ready_for_archiving"
+
+
+def test_the_newest_load_of_a_rewritten_snapshot_file_is_landed(zone):
+    zone.put("ods/S/LOAD1.csv.gz", ["1,2021-01-01,old"], START)
+    zone.run()
+    # the load falls back, and its file is rewritten before the next pass
+    load = zone.store.loads().where("status = 'ready_for_archiving'")
+    zone.store.log(load, "ready_for_ingesting", zone.store.next_pass(), 9, "id")
+    zone.put("ods/S/LOAD1.csv.gz", ["2,2021-01-01,new"], START + 60)
+    zone.run()
+    snapshots = {row[2] for row in zone.lake("raw/ods/S/")} if os.path.exists(f"{zone.layout.lake}raw/ods/S") else {row[2] for row in zone.lake("ods/S/")}
+    assert "20211220T113420Z" in snapshots
+
+
 def test_double_slashes_in_the_root(zone):
     zone.put("datasets/set/1.csv.gz", ["5,2022-01-05,f"], START)
     zone.layout = Layout(f"file:{zone.root}//incoming/", *(f"{zone.root}/{n}/" for n in ("lake", "archive", "errors")))
