@@ -88,6 +88,7 @@ class PieceVocabulary:
         self.byte_ids = {int(p.piece[1:-1], 16): i for i, p in enumerate(model.pieces) if p.type == kind.BYTE}
         self.byte_of = {i: b for b, i in self.byte_ids.items()}
         self.shown = [p.piece.replace(SPACE_MARK, " ") if p.type == kind.NORMAL else model.trainer_spec.unk_surface if p.type == kind.UNKNOWN else "" for p in model.pieces]
+        self.spaced = {i for piece, i in self.ids.items() if piece.startswith(SPACE_MARK)}
         # A byte below 128 is a character of its own; the others only make sense in runs.
         self.alone = [chr(self.byte_of[i]) if self.byte_of.get(i, 128) < 128 else None if i in self.byte_of else text for i, text in enumerate(self.shown)]
         # Characters that occur in pieces are symbols too, also where they are no piece.
@@ -260,7 +261,7 @@ class PieceVocabulary:
         except TypeError:  # bytes that are no characters by themselves
             text = "".join(self.byte_runs(ids))
         first = next((i for i in ids if self.shown[i] or i in self.byte_of), None)
-        return text[1:] if self.prefix and first is not None and self.shown[first].startswith(" ") else text
+        return text[1:] if self.prefix and first in self.spaced else text
 
     def byte_runs(self, ids: list[int]) -> Iterator[str]:
         run = bytearray()

@@ -238,7 +238,7 @@ def long_neighbours(words: DataFrame, limit: int) -> DataFrame:
     schema = "own binary, size long, place long, without binary"
     hashes = written(long.select("word").mapInArrow(hashed_without, schema), "hashes")
     own = hashes.filter("place = -1").select("own", "size")
-    cut = hashes.filter((F.col("place") >= 0) & (F.col("size") > limit)).drop("without").withColumn("without", hashes["without"])
+    cut = hashes.filter((F.col("place") >= 0) & (F.col("size") > limit))
     a, b = cut.alias("a"), cut.alias("b")
     same = (F.col("a.without") == F.col("b.without")) & (F.col("a.place") == F.col("b.place")) & (F.col("a.size") == F.col("b.size")) & (F.col("a.own") != F.col("b.own"))
     replaced = a.join(b, same).select(F.col("a.own").alias("x"), F.col("b.own").alias("y"))
