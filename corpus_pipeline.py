@@ -56,7 +56,7 @@ STAGES = [
     ("packing", packed),
 ]
 
-#: Sampling, sketches, components and packing have no SQL form; tests compare each stage with brute force.
+#: Sampling, sketches, components and packing have no SQL form. Tests run every stage, but compare none with brute force yet.
 ORACLE_SQL = None
 
 

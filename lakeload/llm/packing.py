@@ -50,7 +50,7 @@ def piece_rows(capacity: int, vocabulary: str, with_ids: bool) -> Callable[[Iter
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        tokens, row = text_tokens(vocabulary), TaskContext.get().partitionId() << 40
+        tokens, row = text_tokens(vocabulary, named=True), TaskContext.get().partitionId() << 40
         end = np.asarray([END_ID], "<u4").tobytes()
         for batch in batches:
             columns: list[list] = [[] for _ in range(6 + with_ids)]

@@ -42,16 +42,22 @@ def pre_token_pattern() -> re.Pattern:
 
 
 class TextTokens:
-    """Ids as little-endian unsigned 32-bit numbers in one bytes object per text."""
+    """Ids as little-endian unsigned 32-bit numbers in one bytes object per text.
 
-    def __init__(self, path: str) -> None:
+    Names of special tokens in a text are ordinary text, or with ``named`` the ids
+    that the plain tokenizer gives for them.
+    """
+
+    def __init__(self, path: str, named: bool = False) -> None:
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
+        self.tokenizer.encode_special_tokens = not named
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
+        names = [token["content"] for token in spec.get("added_tokens") or []] if named else []
+        self.names = re.compile("|".join(map(re.escape, names))) if names else None
         cut = spec.get("pre_tokenizer") or {}
         by_pre_token = cut.get("type") == "ByteLevel" and cut.get("use_regex", True) and not cut.get("add_prefix_space") and not spec.get("normalizer")
         self.pattern = pre_token_pattern() if by_pre_token else None
@@ -63,7 +69,7 @@ class TextTokens:
         return [np.asarray(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def packed(self, text: str) -> bytes:
-        if self.pattern is None or self.beyond.search(text):
+        if self.pattern is None or self.beyond.search(text) or (self.names and self.names.search(text)):
             return self.encode([text])[0]
         parts = self.pattern.findall(text)
         missing = set(parts).difference(self.known)
@@ -79,6 +85,6 @@ class TextTokens:
 
 
 @lru_cache(maxsize=2)
-def text_tokens(path: str) -> TextTokens:
-    """One tokenizer per vocabulary file and worker."""
-    return TextTokens(path)
+def text_tokens(path: str, named: bool = False) -> TextTokens:
+    """One tokenizer per vocabulary file, treatment of names and worker."""
+    return TextTokens(path, named)

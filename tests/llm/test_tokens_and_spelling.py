@@ -9,7 +9,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from lakeload.llm import piece_agenda, spelling_variants, token_alignment
+from lakeload.llm import packing, piece_agenda, spelling_variants, token_alignment
 from lakeload.llm.queries import QUERIES
 from lakeload.llm.tokens import default_vocabulary
 
@@ -151,6 +151,21 @@ def test_piece_query_equals_the_library(spark, sf_dir, pieces):
         assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (len(ids), digest, hashlib.sha256(pieces.library.decode(ids).encode()).hexdigest())
 
 
+def test_packed_ids_are_the_plain_tokenizers(llm):
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(default_vocabulary())
+    texts = [*TRICKY, "a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|>x", "<|endoftext"]
+    rows = packing.token_pieces(llm.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    found = {}
+    for r in sorted(rows, key=lambda r: r.piece):
+        found.setdefault(r.doc_id, []).append((r.start, r.length, r.ids_crc32))
+    for i, text in enumerate(texts):
+        ids = [*plain.encode(text, add_special_tokens=False).ids, packing.END_ID]
+        assert found[i] == [(start, n, zlib.crc32(np.asarray(ids[start : start + n], "<u4").tobytes())) for start, n, _ in found[i]]
+        assert sum(n for _, n, _ in found[i]) == len(ids)
+
+
 # ---- alignment -----------------------------------------------------------------
 def plain_alignment(aligner, text):
     """Token pairs by their byte ranges, all against all that overlap."""
