@@ -197,9 +197,8 @@ long_lines as (
   select doc_id, source, text, raw_line, place, trim(raw_line, ' ' || chr(9) || chr(13) || chr(12) || chr(11)) as line,
          length(trim(raw_line, ' ' || chr(9) || chr(13) || chr(12) || chr(11))) >= 20 as counts
   from lines),
-copies as (select text, min(doc_id) as first_id, min(coalesce(source, '')) as site from documents group by text),
-texts as (select distinct l.line, c.text, c.first_id, c.site from long_lines l join copies c using (text) where l.counts),
-spread as (select line, min(first_id) as keeper from texts group by line having count(distinct site) >= 8),
+spread as (select line, min(doc_id) as keeper from long_lines where counts
+           group by line having count(distinct coalesce(source, '')) >= 8 and count(distinct text) >= 2),
 judged as (select l.doc_id, l.place, l.raw_line, s.keeper is not null and s.keeper <> l.doc_id as lost
            from long_lines l left join spread s on l.counts and s.line = l.line),
 left_over as (select doc_id, count(*) filter (lost) as n_removed_lines, coalesce(string_agg(raw_line, chr(10) order by place) filter (not lost), '') as text

@@ -77,6 +77,17 @@ def test_line_spread(llm, odd_docs, no_docs):
     assert texts[0] == f"{line}\nown 0" and texts[5] == "own 5" and texts[20] == "" and texts[22] == "copy copy copy copy copy"
 
 
+def test_every_copy_counts_with_its_own_site(llm):
+    """Two texts, each copied over four sites, share a line: eight sites. A text alone on nine sites keeps its lines."""
+    line, alone = "a line that two texts share", "a line of one text that was copied whole"
+    rows = [(10 + i, f"{line}\nfirst", f"s{i}") for i in range(4)] + [(20 + i, f"{line}\nsecond", f"s{i + 4}") for i in range(4)]
+    docs = llm.createDataFrame(rows + [(30 + i, alone, f"s{i}") for i in range(9)], "doc_id long, text string, source string")
+    lost = {r.doc_id: r.n_removed_lines for r in line_spread.without_boilerplate(docs, 8).collect()}
+    assert {i for i, n in lost.items() if n} == {11, 12, 13, 20, 21, 22, 23}
+    assert not any(r.n_removed_lines for r in line_spread.without_boilerplate(docs, 9).collect())
+    assert not any(r.n_removed_lines for r in line_spread.without_boilerplate(docs, 8, min_texts=3).collect())
+
+
 def test_fingerprints(odd_docs, no_docs):
     rows = multiset_hash.edited_fingerprints(odd_docs).collect()
     order = sorted(((r["doc_id"], r["text"] or "") for r in odd_docs.collect()), key=lambda x: (x[0] is None, -(x[0] or 0), x[1]))
