@@ -125,6 +125,69 @@ SQL = {
         cast(nullif(double_s, '') as double) as double_s,
         case when length(iso_s) = 8 then cast(strptime(iso_s, '%Y%m%d') as date) else cast(substr(iso_s, 1, 10) as date) end as iso_s,
         dirty_s from {v_strings}""",
+    "load_pass_replicated": """select
+        concat(case when d.s3_key like 'ods/%' and d.table_no % 2 = 0 then 'raw/' else '' end, regexp_replace(d.s3_key, '/[^/]*$', '')) as destination,
+        case when d.s3_key not like 'ods/%' then '' when d.delivery = 1 then '20240101T000000Z' else '20240201T000000Z' end as snapshot,
+        regexp_extract(d.s3_key, '[^/]*$') as identifier, l.n, l.day, l.text
+        from (select *, case when owner < 0 then -1 - owner else owner % 5 end as table_no from {v_deliveries}) d
+        join {v_delivered_lines} l on l.owner = d.owner where d.owner < 0 or d.owner % 13 <> 0""",
+    "load_pass_schema_gate": """select s3_key, s3_modified, case
+        when s3_key like 'ods/%' and owner >= 0 and (owner % 7 = 0 or owner % 5 = 0 or owner % 11 = 0) then 'ready_for_erroring'
+        when owner % 13 = 0 and owner in (select owner from {v_delivered_lines}) then 'ready_for_erroring'
+        else 'ready_for_archiving' end as status from {v_deliveries} where delivery = 1""",
+    "relocation_pass": r"""with named as (
+          select *, owner % 8 as fate, regexp_replace(s3_key, '\.csv\.gz$', '') as root, regexp_replace(s3_key, '/[^/]*$', '') as dir,
+                 regexp_replace(regexp_extract(s3_key, '[^/]*$'), '\.csv\.gz$', '') as stem, s3_key like 'ods/%' as ods
+          from {v_deliveries} where owner >= 0),
+        files as (select *, '.csv.gz' as suffix from named union all select *, '.dfm' as suffix from named where ods),
+        placed as (
+          select case when fate = 2 then 'errors' when fate = 3 then 'incoming' else 'archive' end as area,
+                 case when fate = 3 or not ods then root
+                      when fate = 2 then concat(dir, '/timestamp=', strftime(s3_modified, '%Y%m%dT%H%M%SZ'), '/', stem)
+                      else concat(dir, '/snapshot=', case delivery when 1 then '20240101T000000Z/' else '20240201T000000Z/' end, stem) end || suffix as key
+          from files where fate <> 4)
+        select area, key from placed
+        union all
+        select 'ledger' as area, concat(s3_key, ' ', case fate when 2 then 'errored' when 3 then 'ready' when 4 then 'archived_unknown' else 'archived' end) as key from named""",
+    "stream_advance": r"""with named as (
+          select *, owner >= 0 and owner % 13 = 0 and owner in (select owner from {v_delivered_lines}) as bad,
+                 regexp_replace(s3_key, '\.csv\.gz$', '') as root, regexp_replace(s3_key, '/[^/]*$', '') as dir,
+                 regexp_replace(regexp_extract(s3_key, '[^/]*$'), '\.csv\.gz$', '') as stem, s3_key like 'ods/%' as ods
+          from {v_deliveries} where owner >= 0 or delivery = 1),
+        files as (select *, '.csv.gz' as suffix from named union all select *, '.dfm' as suffix from named where ods)
+        select case when bad then 'errors' else 'archive' end as area, concat(case when ods then concat(dir, '/at/', stem) else root end, suffix) as key from files
+        union all
+        select 'ledger' as area, concat(s3_key, ' ', case when bad then 'errored' else 'archived' end) as key from named""",
+    "feed_sync": """with announced as (
+          select arrival, p.position, arrival % 7 as feed_id, json_extract(body, '$.results[' || p.position || ']') as r
+          from {v_twin_bodies} cross join (select unnest([0, 1, 2]) as position) p),
+        rows as (
+          select arrival % 2 as round, arrival, position, feed_id, r->>'$.id' as type, r->>'$.dataset_id' as identifier, r->>'$.start_date' as start_date,
+                 r->>'$.end_date' as end_date, r->>'$.url' as url, cast(r->>'$.last_updated' as timestamp) as last_updated_at from announced)
+        select 'dataset' as kind, arg_min(feed_id, (round, arrival, position)) as feed_id,
+               concat(identifier, ' ', arg_min(concat(type, ' ', start_date, ' ', end_date), (round, arrival, position))) as what,
+               arg_max(last_updated_at, (round, arrival, position)) as last_updated_at from rows group by identifier
+        union all
+        select 'feed', id, relative_url, greatest(last_updated_at, (select max(r.last_updated_at) from rows r where r.feed_id = f.id)) from {v_feeds} f
+        union all
+        select 'fetch', feed_id, concat(url, ' datasets/', type, '/', identifier, '.csv.gz'), null from rows""",
+    "register_all": """with batch as (select distinct name, s3_prefix, is_raw from {v_registrations}),
+        judged as (
+          select b.*, case when b.name in (select name from {v_tables}) then 'known' when b.s3_prefix in (select s3_prefix from {v_tables}) then 'taken'
+               when (select count(*) from batch o where o.name = b.name) > 1 or (select count(*) from batch o where o.s3_prefix = b.s3_prefix) > 1 then 'ambiguous' end as reason
+          from batch b),
+        fresh as (select *, (select max(id) from {v_tables}) + row_number() over (order by name) as id from judged where reason is null),
+        feeds_new as (select relative_url, (select max(id) from {v_feeds} where id % 2 = 0) + row_number() over (order by relative_url) as id
+                      from (select distinct relative_url from {v_feeds} where id % 2 = 1) f)
+        select 'table' as kind, id, concat(name, ' ', s3_prefix, ' ', cast(is_raw as varchar)) as what from {v_tables}
+        union all select 'table', id, concat(name, ' ', s3_prefix, ' ', cast(is_raw as varchar)) from fresh
+        union all select 'snapshot', table_id, concat(cast(table_id as varchar), ' ', snapshot_s3_key) from {v_table_snapshots}
+        union all select 'snapshot', (select max(table_id) from {v_table_snapshots}) + row_number() over (order by concat(s3_prefix, 'LOAD00000001.csv.gz')),
+                         concat(cast(id as varchar), ' ', s3_prefix, 'LOAD00000001.csv.gz') from fresh where s3_prefix like 'ods/%'
+        union all select 'feed', id, relative_url from {v_feeds} where id % 2 = 0
+        union all select 'feed', id, relative_url from feeds_new
+        union all select 'refused 0', null, concat(name, ' ', s3_prefix, ' ', reason) from judged where reason is not null
+        union all select 'refused 1', null, concat(name, ' ', s3_prefix, ' ', case when reason = 'ambiguous' then reason when name in (select name from {v_tables}) or reason is null then 'known' else reason end) from judged""",
     "cast_rejects": """select l_orderkey, l_linenumber, 'dirty_s' as "column", 'long' as "type", dirty_s as "value"
         from {v_strings} where not regexp_full_match(dirty_s, '[0-9]+')""",
     "truncate_second": "select event_id, date_trunc('second', ts) as second from {events}",

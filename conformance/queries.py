@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from conformance.files import deliver, gate_sidecar, sidecar
 from conformance.views import Inputs
 from lakeload import functions as fn
 from lakeload.operators import batching, casting, discover, feeds, landing, ledger, relocate, routing, status_fold
-from lakeload.plans.load_pass import run_load_pass
+from lakeload.plans.feed_sync import run_feed_sync
+from lakeload.plans.load_pass import advance, run_load_pass
+from lakeload.plans.register import run_registration
+from lakeload.plans.relocation_pass import run_relocation_pass
 from lakeload.plans.store import LedgerStore
 from lakeload.runtime import new_run_dir, tune
 from lakeload.sources import catalog, csv_text, feed_bodies, manifest, payload
@@ -217,6 +221,158 @@ def load_pass(t: Inputs) -> DataFrame:
     return landed.withColumn("l_linenumber", F.col("l_linenumber").cast("int"))
 
 
+class Deliveries:
+    """The objects of ``v_deliveries`` as files, five replicated tables and five of the dataset feed, and their registry."""
+
+    def __init__(self, t: Inputs) -> None:
+        self.t, self.root = t, new_run_dir(t.spark, "deliveries")
+        self.layout = routing.Layout(*(f"{self.root}/{part}/" for part in ("incoming", "lake", "archive", "errors")))
+        self.store = LedgerStore(t.spark, f"{self.root}/ledger")
+        replicated = t.region.select(
+            F.col("r_regionkey").cast("long").alias("id"), F.concat(F.lit("ods__t"), "r_regionkey").alias("name"),
+            F.concat(F.lit("ods/T"), "r_regionkey", F.lit("/")).alias("s3_prefix"), (F.col("r_regionkey") % 2 == 0).alias("is_raw"),
+        )
+        sets = t.region.select(
+            (F.col("r_regionkey") + 100).cast("long").alias("id"), F.concat(F.lit("set"), "r_regionkey").alias("name"),
+            F.concat(F.lit("datasets/set"), "r_regionkey", F.lit("/")).alias("s3_prefix"), F.lit(False).alias("is_raw"),
+        )
+        self.tables = replicated.unionByName(sets).withColumn("is_active", F.lit(True))
+        self.store.write("tables", self.tables, 0)
+        first = replicated.select("id", F.col("id").alias("table_id"), F.concat("s3_prefix", F.lit("LOAD00000001.csv.gz")).alias("snapshot_s3_key"))
+        self.store.write("table_snapshots", first, 0)
+        kinds = [("n", "bigint"), ("day", "date"), ("text", "string")]
+        fields = F.array(*[F.struct(F.lit(i).alias("ordinal"), F.lit(c).alias("column_name"), F.lit(k).alias("column_type")) for i, (c, k) in enumerate(kinds)])
+        names = self.tables.select(F.explode(F.array(*[F.concat(F.lit(a), "name", F.lit(b)) for a in ("", "raw_") for b in ("", "__ct")])).alias("table_name"))
+        self.registry = names.select("table_name", F.inline(fields))
+
+    def put(self, chosen: DataFrame) -> None:
+        """Write the chosen deliveries; in the objects of every 13th owner the numbers do not parse."""
+        number = F.concat(F.when(F.col("owner") % 13 == 0, "x").otherwise(""), F.col("n").cast("string"))
+        line = F.concat_ws(",", number, F.col("day").cast("string"), "text")
+        bodies = self.t.v_delivered_lines.groupBy("owner").agg(F.array_join(F.sort_array(F.collect_list(line)), "\n").alias("body"))
+        deliver(chosen.join(bodies, "owner", "left").select("s3_key", F.coalesce("body", F.lit("")).alias("body")), self.layout.incoming)
+
+    def objects(self, chosen: DataFrame) -> DataFrame:
+        return chosen.select(F.col("s3_key").alias("key"), F.col("s3_modified").cast("timestamp").alias("last_modified"), F.lit(1).cast("long").alias("size"))
+
+    def listed(self) -> DataFrame:
+        """``area, key`` of every file there is outside the lake."""
+        areas = [("incoming", self.layout.incoming), ("archive", self.layout.archive), ("errors", self.layout.errors)]
+        lists = [source_listing.list_objects(self.t.spark, root).select(F.lit(area).alias("area"), "key") for area, root in areas]
+        return lists[0].unionByName(lists[1]).unionByName(lists[2])
+
+    def statuses(self) -> DataFrame:
+        return self.store.loads().select("s3_key", "s3_modified", "status")
+
+
+@query
+def load_pass_replicated(t: Inputs) -> DataFrame:
+    """Two deliveries of replicated and dataset objects, the second with the snapshot files written again: landed, read back."""
+    d = Deliveries(t)
+    for delivery in (1, 2):
+        chosen = t.v_deliveries.where(F.col("delivery") == delivery)
+        d.put(chosen)
+        run_load_pass(t.spark, d.store, d.registry, d.layout, objects=d.objects(chosen))
+    # the destinations have partitions of two kinds, so their names are taken from the paths
+    landed = t.spark.read.option("recursiveFileLookup", True).parquet(d.layout.lake)
+    below = F.regexp_extract("_metadata.file_path", "/lake/(.*)/[^/]*$", 1)
+    rows = landed.select(below.alias("path"), "n", "day", "text")
+    return rows.select(
+        F.regexp_replace("path", "/(snapshot|identifier)=.*", "").alias("destination"),
+        F.regexp_extract("path", "/snapshot=([^/]*)", 1).alias("snapshot"),
+        F.regexp_extract("path", "/identifier=([^/]*)", 1).alias("identifier"),
+        "n",
+        "day",
+        "text",
+    )
+
+
+@query
+def load_pass_schema_gate(t: Inputs) -> DataFrame:
+    """How the loads of one delivery end when the pass compares sidecars with the catalog."""
+    d = Deliveries(t)
+    chosen = t.v_deliveries.where("delivery = 1")
+    d.put(chosen)
+    deliver(gate_sidecar(chosen), d.layout.incoming)
+    run_load_pass(t.spark, d.store, d.registry, d.layout, objects=d.objects(chosen), check_schema=True)
+    return d.statuses()
+
+
+@query
+def relocation_pass(t: Inputs) -> DataFrame:
+    """Files and statuses after moves: fresh ones, ones done or half done by an earlier run, lost files, and a repeated pass."""
+    d = Deliveries(t)
+    chosen = t.v_deliveries.where("owner >= 0").withColumns({"id": F.col("owner") + 1, "fate": F.col("owner") % 8})
+    status = F.when(F.col("fate") == 2, "ready_for_erroring").when(F.col("fate") == 3, "ready").when(F.col("fate") == 7, "archiving").otherwise("ready_for_archiving")
+    d.store.write("loads", chosen.select("id", "s3_key", "s3_modified", status.alias("status")), 0)
+    stamps = F.when(F.col("delivery") == 1, F.lit("2024-01-01")).otherwise(F.lit("2024-02-01")).cast("timestamp")
+    d.store.write("load_snapshots", chosen.select("id", F.col("id").alias("load_id"), stamps.alias("snapshot"), F.col("s3_modified").alias("inserted_at")), 0)
+    present = chosen.where("fate not in (4, 5)")
+    d.put(present)
+    deliver(sidecar(present), d.layout.incoming)
+    pairs = routing.move_pairs(routing.with_latest_snapshot(chosen, d.store.read("load_snapshots")), routing.archive_root(d.layout), d.layout)
+    done = pairs.join(chosen.where("fate in (5, 6)").select("id"), "id", "left_semi")
+    deliver(done.select(F.col("destination_key").alias("s3_key"), F.lit("").alias("body")), d.layout.archive)
+    run_relocation_pass(t.spark, d.store, d.layout)
+    run_relocation_pass(t.spark, d.store, d.layout, retry=True)
+    return d.listed().unionByName(d.statuses().select(F.lit("ledger").alias("area"), F.concat_ws(" ", "s3_key", "status").alias("key")))
+
+
+@query
+def stream_advance(t: Inputs) -> DataFrame:
+    """The discovery stream with landing and moving behind each batch, on real files; times in keys are left out."""
+    d = Deliveries(t)
+    for part in ("owner < 0 and delivery = 1", "owner >= 0"):  # a snapshot file is older than what follows it
+        d.put(t.v_deliveries.where(part))
+    deliver(sidecar(t.v_deliveries.where("owner >= 0 or delivery = 1")), d.layout.incoming)
+
+    def later(pass_id: int) -> None:
+        advance(t.spark, d.store, d.registry, d.layout, pass_id)
+        run_relocation_pass(t.spark, d.store, d.layout)
+
+    checkpoint = new_run_dir(t.spark, "stream")
+    for _ in range(2):  # the second run finds nothing new
+        start_discovery(t.spark, d.store, d.layout, checkpoint, {"availableNow": True}, settle_seconds=0, after_batch=later).awaitTermination()
+    files = d.listed().select("area", F.regexp_replace("key", "(snapshot|timestamp)=[^/]*", "at").alias("key"))
+    return files.unionByName(d.statuses().select(F.lit("ledger").alias("area"), F.concat_ws(" ", "s3_key", "status").alias("key")))
+
+
+@query
+def feed_sync(t: Inputs) -> DataFrame:
+    """Two rounds of announcements: the datasets, the feeds and what is to be fetched."""
+    store = LedgerStore(t.spark, new_run_dir(t.spark, "ledger"))
+    store.write("feeds", t.v_feeds, 0)
+    fetched = []
+    for odd in (0, 1):
+        bodies = t.v_twin_bodies.where(F.col("arrival") % 2 == odd).select((F.col("arrival") % 7).alias("feed_id"), "arrival", "body")
+        fetched.append(run_feed_sync(store, bodies))
+    datasets = store.read("datasets").select(
+        F.lit("dataset").alias("kind"), "feed_id", F.concat_ws(" ", "identifier", "type", "start_date", "end_date").alias("what"), "last_updated_at"
+    )
+    moved = store.read("feeds").select(F.lit("feed").alias("kind"), F.col("id").alias("feed_id"), F.col("relative_url").alias("what"), "last_updated_at")
+    asked = fetched[0].unionByName(fetched[1]).select(
+        F.lit("fetch").alias("kind"), "feed_id", F.concat_ws(" ", "url", "landing_key").alias("what"), F.lit(None).cast("timestamp").alias("last_updated_at")
+    )
+    return datasets.unionByName(moved).unionByName(asked)
+
+
+@query
+def register_all(t: Inputs) -> DataFrame:
+    """Tables, snapshot rows and feeds asked for twice over, with twins and clashes: what is registered, what is refused."""
+    store = LedgerStore(t.spark, new_run_dir(t.spark, "ledger"))
+    store.write("tables", t.v_tables, 0)
+    store.write("table_snapshots", t.v_table_snapshots.withColumn("id", F.col("table_id")), 0)
+    store.write("feeds", t.v_feeds.where("id % 2 = 0"), 0)
+    refused = [run_registration(store, t.v_registrations, t.v_feeds) for _ in range(2)]
+    tables = store.read("tables").select(F.lit("table").alias("kind"), "id", F.concat_ws(" ", "name", "s3_prefix", F.col("is_raw").cast("string")).alias("what"))
+    snapshots = store.read("table_snapshots").select(F.lit("snapshot").alias("kind"), "id", F.concat_ws(" ", F.col("table_id").cast("string"), "snapshot_s3_key").alias("what"))
+    known = store.read("feeds").select(F.lit("feed").alias("kind"), "id", F.col("relative_url").alias("what"))
+    out = tables.unionByName(snapshots).unionByName(known)
+    for i, rows in enumerate(refused):
+        out = out.unionByName(rows.select(F.lit(f"refused {i}").alias("kind"), F.lit(None).cast("long").alias("id"), F.concat_ws(" ", "name", "s3_prefix", "reason").alias("what")))
+    return out
+
+
 @query
 def stateful_watermark(t: Inputs) -> DataFrame:
     root = new_run_dir(t.spark, "watermark")

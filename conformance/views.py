@@ -144,6 +144,37 @@ VIEWS = {
                      concat('{{"id":"second","dataset_id":"e', cast(c_custkey % 400 as varchar(20)), '","url":"https://h.example.com/b","start_date":"2022-05-18","end_date":"2022-05-18","last_updated":"2022-05-19T12:12:24.', lpad(cast(c_custkey % 1000000 as varchar(20)), 6, '0'), '"}}') as two,
                      concat('{{"id":"third","dataset_id":"d', cast(c_custkey % 600 as varchar(20)), '","url":"https://h.example.com/c","start_date":"2022-05-19","end_date":"2022-05-20","last_updated":"2022-05-20T12:12:24.', lpad(cast(c_custkey % 1000000 as varchar(20)), 6, '0'), '"}}') as three
               from {customer}) t""",
+    # an object for every five customers, of five replicated tables and five of the dataset feed, and each snapshot file twice
+    "v_deliveries": """
+        select owner, cast(1 + owner % 2 as int) as delivery,
+               case owner % 3 when 0 then concat('datasets/set', cast(owner % 5 as varchar(10)), '/', cast(owner as varchar(20)), '.csv.gz')
+                    when 1 then concat('ods/T', cast(owner % 5 as varchar(10)), '/LOAD', lpad(cast(owner + 2 as varchar(20)), 8, '0'), '.csv.gz')
+                    else concat('ods/T', cast(owner % 5 as varchar(10)), '__ct/', lpad(cast(owner as varchar(20)), 8, '0'), '.csv.gz') end as s3_key,
+               case owner % 2 when 0 then cast('2024-01-02 00:00:00' as timestamp) else cast('2024-02-02 00:00:00' as timestamp) end as s3_modified
+        from (select distinct cast(floor(c_custkey / 5) as bigint) as owner from {customer}) o
+        union all
+        select cast(-1 - r_regionkey as bigint) as owner, d.delivery, concat('ods/T', cast(r_regionkey as varchar(10)), '/LOAD00000001.csv.gz') as s3_key,
+               case d.delivery when 1 then cast('2024-01-01 00:00:00' as timestamp) else cast('2024-02-01 00:00:00' as timestamp) end as s3_modified
+        from {region} cross join (select 1 as delivery union all select 2 as delivery) d""",
+    "v_delivered_lines": """
+        select cast(floor(o_custkey / 5) as bigint) as owner, o_orderkey as n, cast(o_orderdate as date) as day, o_orderpriority as text from {orders}
+        union all
+        select cast(-1 - r_regionkey as bigint) as owner, cast(r_regionkey as bigint) as n, date '2023-12-31' as day, r_name as text from {region}""",
+    # tables as asked for: twins, a name with two prefixes, a prefix with two names, and names that are registered
+    "v_registrations": """
+        select concat('ods__t', cast(c_custkey as varchar(20))) as name, concat('ods/T', cast(c_custkey as varchar(20)), '/') as s3_prefix, true as is_raw from {customer}
+        union all
+        select concat('ods__t', cast(c_custkey as varchar(20))) as name, concat('ods/T', cast(c_custkey as varchar(20)), '/') as s3_prefix, true as is_raw
+        from {customer} where c_custkey % 4 = 0
+        union all
+        select concat('ods__t', cast(c_custkey as varchar(20))) as name, concat('ods/OTHER', cast(c_custkey as varchar(20)), '/') as s3_prefix, true as is_raw
+        from {customer} where c_custkey % 10 = 3
+        union all
+        select concat('ods__other', cast(c_custkey as varchar(20))) as name, concat('ods/T', cast(c_custkey as varchar(20)), '/') as s3_prefix, true as is_raw
+        from {customer} where c_custkey % 10 = 7
+        union all
+        select concat('set', cast(c_custkey as varchar(20))) as name, concat('datasets/set', cast(c_custkey as varchar(20)), '/') as s3_prefix, false as is_raw
+        from {customer} where c_custkey % 6 = 0""",
     "v_status_log": """
         select user_id as load_id, event_type as status, ts as at, event_id as seq from {events}""",
 }
@@ -186,7 +217,7 @@ def with_views(select: str) -> str:
     add(select)
     plain = lambda sql: PLACEHOLDER.sub(r"\1", sql).replace("{{", "{").replace("}}", "}")
     recursive = "recursive " if "recursive" in select else ""
-    body = select.replace("with recursive", ",", 1) if recursive and order else select
+    body = select.replace("with recursive", ",", 1) if recursive and order else re.sub(r"^with ", ", ", select) if order else select
     ctes = ",\n".join(f"{name} as ({plain(VIEWS[name])})" for name in order)
     if not order:
         return plain(select)

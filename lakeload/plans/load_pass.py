@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from lakeload.functions.parsers import is_bad
 from lakeload.functions.paths import first_folder_below
-from lakeload.operators import batching, casting, discover, landing, ledger, routing
+from lakeload.operators import batching, casting, discover, landing, ledger, routing, schema_gate
 from lakeload.plans.store import LedgerStore
 from lakeload.runtime import lookup_join
 from lakeload.sources import catalog, csv_text
@@ -93,11 +93,12 @@ def run_load_pass(
     limits: Limits = Limits(),
     objects: DataFrame | None = None,
     pass_id: int | None = None,
+    check_schema: bool = False,
 ) -> int:
     """Take in new objects and land everything that is ready. Returns the pass number."""
     pass_id = store.next_pass() if pass_id is None else pass_id
     take_in(list_objects(spark, layout.incoming) if objects is None else objects, store, layout, pass_id, limits)
-    advance(spark, store, registry, layout, pass_id, header, limits)
+    advance(spark, store, registry, layout, pass_id, header, limits, check_schema)
     return pass_id
 
 
@@ -109,8 +110,13 @@ def advance(
     pass_id: int,
     header: bool = False,
     limits: Limits = Limits(),
+    check_schema: bool = False,
 ) -> None:
-    """The steps behind discovery: select ready loads, batch, route, cast and land them, record the outcome."""
+    """The steps behind discovery: select ready loads, batch, route, cast and land them, record the outcome.
+
+    With ``check_schema`` a replicated load whose sidecar is missing, or names other
+    columns than the catalog, goes to the error path before its object is opened.
+    """
     ready = ledger.ready_loads(
         store.loads((pass_id, SELECTED)), store.read("tables"), store.read("table_snapshots"), limits.per_table
     )
@@ -126,8 +132,10 @@ def advance(
     plan_path = f"{store.root}/batches/pass={pass_id}"
     latest = ledger.latest_load_snapshot(store.read("load_snapshots"))
     named = routing.route_loads(ledger.loads_with_table(batches, store.read("tables")), layout)
-    # A replicated load that no snapshot is known for fails alone.
+    # A replicated load that no snapshot is known for, or that the gate holds back, fails alone.
     lost = routing.lacking_snapshot(named, latest, layout).select("id")
+    if check_schema:
+        lost = lost.unionByName(schema_gate.mismatched(named, registry, layout)).distinct()
     lost.write.mode("overwrite").parquet(f"{store.root}/batches-lost/pass={pass_id}")
     lost = spark.read.parquet(f"{store.root}/batches-lost/pass={pass_id}")
     routable = named.join(lost, "id", "left_anti")

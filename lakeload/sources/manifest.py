@@ -22,9 +22,12 @@ def parsed_sidecars(sidecars: DataFrame, body: str = "body") -> DataFrame:
     return sidecars.withColumn("sidecar", F.from_json(F.col(body), SIDECAR, {"mode": "FAILFAST"}))
 
 
-def sidecar_columns(sidecars: DataFrame, body: str = "body") -> DataFrame:
-    """Add ``columns``: the lower-cased column names of each sidecar, in document order."""
-    parsed = F.from_json(F.col(body), COLUMN_NAMES, {"mode": "FAILFAST"})
+def sidecar_columns(sidecars: DataFrame, body: str = "body", mode: str = "FAILFAST") -> DataFrame:
+    """Add ``columns``: the lower-cased column names of each sidecar, in document order.
+
+    A body that is no JSON document fails the job, or has NULL with ``mode`` ``PERMISSIVE``.
+    """
+    parsed = F.from_json(F.col(body), COLUMN_NAMES, {"mode": mode})
     names = F.transform(parsed["dataInfo"]["columns"], lambda c: F.lower(c["name"]))
     return sidecars.withColumn("columns", names)
 
@@ -34,14 +37,14 @@ def sidecar_key(key):
     return F.concat(swap_suffix(key, DATA_SUFFIX, ""), F.lit(SIDECAR_SUFFIX))
 
 
-def load_manifest_columns(loads: DataFrame, sidecars: DataFrame) -> DataFrame:
+def load_manifest_columns(loads: DataFrame, sidecars: DataFrame, mode: str = "FAILFAST") -> DataFrame:
     """Each load with its sidecar's column names; an empty list where no sidecar landed.
 
     ``sidecars`` holds ``sidecar_key, body``, one row per key. Should one object
     have been loaded very often, adaptive execution splits its partition: no
     step after the join needs the rows of a key together.
     """
-    found = sidecar_columns(sidecars).select("sidecar_key", F.col("columns").alias("found_columns"))
+    found = sidecar_columns(sidecars, mode=mode).select("sidecar_key", F.col("columns").alias("found_columns"))
     return (
         loads.withColumn("sidecar_key", sidecar_key(F.col("s3_key")))
         .join(found, "sidecar_key", "left")
