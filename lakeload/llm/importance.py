@@ -3,14 +3,17 @@
 Two generative models over hashed n-grams (words, pairs of words, and words cut to
 four and five bytes, which know inflected forms; each kind in buckets of its own): one of
 the target, the labelled good texts; one of the raw text, all documents. The log importance
-weight of a text is the sum, over its n-grams, of the log ratio of the two. Ratios are
+weight of a text is the sum, over its n-grams, of the log ratio of the two, divided by its
+words and multiplied by ``LENGTH``: what a text of that many words like it would weigh, so
+that the weights of short and long texts compare, and with them the noise. Ratios are
 smoothed by a pseudo-count and shrunk by four standard errors of their counts, so that
 n-grams too rare to tell weigh nothing and long clean texts gather no noise. An n-gram
 counts ``CLIP`` times per text at most, so one text that repeats a phrase does not make
 the phrase suspect; the repeats beyond, if they fill a text, are a token of their own.
 
 The sample is drawn without replacement by Gumbel top-k: the k largest of log weight plus
-``temperature`` times Gumbel noise. Unless given, k is the number of documents whose weight
+``temperature`` times Gumbel noise. At temperature 1 each draw takes a text in proportion to
+its importance weight; texts near the k-th are in or out by chance. Unless given, k is the number of documents whose weight
 reaches the cut that parts good from bad labelled texts best. The noise comes from a
 hash of the row, so a lost task draws the same again.
 
@@ -55,7 +58,10 @@ AGAIN_SHARE = 20
 
 PSEUDO_COUNT = 0.5
 SHRINK_ERRORS = 4.0
-TEMPERATURE = 0.1
+TEMPERATURE = 1.0
+
+#: Words of the text that a log weight speaks of.
+LENGTH = 200
 
 #: Words and runs of other signs, of lower-cased UTF-8.
 TOKEN = re.compile(rb"[0-9a-z_\x80-\xff]+|[^\s0-9a-z_\x80-\xff]+")
@@ -63,11 +69,11 @@ TOKEN = re.compile(rb"[0-9a-z_\x80-\xff]+|[^\s0-9a-z_\x80-\xff]+")
 SCORED = "doc_id long, good boolean, log_weight double"
 
 
-def ngram_counts(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of the n-grams of a whole text, once each, and their clipped counts."""
+def ngram_counts(text: str | None) -> tuple[np.ndarray, np.ndarray, int]:
+    """Buckets of the n-grams of a whole text, once each, their clipped counts, and the number of words."""
     words = TOKEN.findall(text.encode("utf-8", "surrogatepass").lower()) if text else []
     if not words:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
+        return np.empty(0, np.int64), np.empty(0, np.int64), 0
     hashes, shift = hashed(words), U64(64 - BITS)
     kinds = [mixed(hashes), runs(hashes, 2) if len(words) > 1 else hashes[:0]]
     kinds += [mixed(hashed([w[:size] for w in words if len(w) >= size])) for size in PREFIXES]
@@ -75,7 +81,7 @@ def ngram_counts(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     found, counts = np.unique(buckets, return_counts=True)
     filling = (found >= BUCKETS) & (found < 2 * BUCKETS) & (counts > max(CLIP, len(words) // AGAIN_SHARE))
     again = int((counts[filling] - CLIP).sum())
-    return np.append(found, AGAIN), np.append(np.minimum(counts, CLIP), again)
+    return np.append(found, AGAIN), np.append(np.minimum(counts, CLIP), again), len(words)
 
 
 def counting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -83,7 +89,7 @@ def counting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     raw, target = (np.zeros(ORDERS * BUCKETS, np.int64) for _ in range(2))
     for batch in batches:
         for good, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            buckets, counts = ngram_counts(text)
+            buckets, counts, _ = ngram_counts(text)
             np.add.at(raw, buckets, counts)
             if good:
                 np.add.at(target, buckets, counts)
@@ -108,7 +114,7 @@ def weighing(shared) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordB
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ratios = shared.value
         for batch in batches:
-            weights = [float(counts.dot(ratios[buckets])) for buckets, counts in map(ngram_counts, batch.column(2).to_pylist())]
+            weights = [LENGTH * float(counts.dot(ratios[buckets])) / max(1, words) for buckets, counts, words in map(ngram_counts, batch.column(2).to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(weights, pa.float64())], names=["doc_id", "good", "log_weight"])
 
     return run

@@ -45,6 +45,25 @@ def test_importance_parts_labelled_texts(spark, sf_dir):
     assert shares[True] > 0.85 and shares[False] < 0.5
 
 
+def test_draws_follow_the_weights_and_differ_from_the_largest(spark):
+    """Texts of one kind tie in their words; whether one is drawn is chance, more likely with a larger weight."""
+    rows = [(i, " ".join(["good"] * (i % 5) + ["bad"] * (4 - i % 5) + [f"own{i}"]), "") for i in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, int(i % 5 > 2), 0) for i in range(0, 2000)], "doc_id long, quality int, toxic int")
+    drawn = importance.resample(docs, labels, k=700, temperature=40.0).collect()
+    chosen = {r.doc_id for r in drawn if r.selected}
+    largest = {r.doc_id for r in sorted(drawn, key=lambda r: -r.log_weight)[:700]}
+    assert len(chosen) == 700 and len(chosen & largest) < 690
+    weight = {kind: sum(r.log_weight for r in drawn if r.doc_id % 5 == kind) / 400 for kind in range(5)}
+    rate = {kind: sum(i % 5 == kind for i in chosen) / 400 for kind in range(5)}
+    ranked = sorted(range(5), key=weight.get)
+    assert weight[ranked[-1]] > weight[ranked[0]] and rate[ranked[-1]] > rate[ranked[0]] + 0.05
+    assert {r.doc_id for r in importance.resample(docs, labels, k=700, temperature=40.0).collect() if r.selected} == chosen
+    noiseless = importance.resample(docs, labels, k=700, temperature=0.0).collect()
+    least = min(r.log_weight for r in noiseless if r.selected)
+    assert all(r.selected or r.log_weight <= least for r in noiseless) and sum(r.selected for r in noiseless) >= 700
+
+
 def test_pipeline_runs_every_stage(spark, sf_dir):
     rows = corpus_pipeline.run(spark, sf_dir)
     assert rows.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
