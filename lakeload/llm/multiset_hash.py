@@ -7,10 +7,10 @@ or subtracts its vector without reading the rest.
 
 The vector has two parts. ``EXACT`` lanes of 64 bits are a hash of the whole
 paragraph: different multisets agree in all of them only by chance (1 in 2^512, not
-meant against an adversary). ``ALIKE`` lanes of 16 bits hold the paragraph's pairs of
+meant against an adversary). ``ALIKE`` lanes of 32 bits hold the paragraph's pairs of
 words, each counted as +1 or -1 in the lane its hash names; the cosine of two such sums
 estimates the likeness of the two multisets of word pairs, with a standard error of
-about 1 / sqrt(ALIKE).
+about 1 / sqrt(ALIKE). No text that fits a row has pairs enough to overflow a lane.
 
 Edge cases: a null text is empty, and an empty text has the fingerprint of no
 paragraph (all zero); texts with equal fingerprints are alike by 1, and nothing is alike
@@ -49,7 +49,7 @@ EDITED = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, e
 
 
 class Sum:
-    """The fingerprint as numbers: exact lanes modulo 2^64, alike lanes modulo 2^16."""
+    """The fingerprint as numbers: exact lanes modulo 2^64, alike lanes modulo 2^32."""
 
     __slots__ = ("alike", "exact")
 
@@ -64,11 +64,11 @@ class Sum:
         return Sum(self.exact - other.exact, self.alike - other.alike)
 
     def text(self) -> str:
-        return base64.b64encode(self.exact.astype("<u8").tobytes() + (self.alike & 0xFFFF).astype("<u2").tobytes()).decode()
+        return base64.b64encode(self.exact.astype("<u8").tobytes() + (self.alike & 0xFFFFFFFF).astype("<u4").tobytes()).decode()
 
     def likeness(self, other: Sum) -> float:
         """Between 0 and 1; of the alike lanes as they are stored."""
-        a, b = ((s.alike.astype(np.uint16).view(np.int16)).astype(np.float64) for s in (self, other))
+        a, b = ((s.alike & 0xFFFFFFFF).astype(np.uint32).view(np.int32).astype(np.float64) for s in (self, other))
         if np.array_equal(self.exact, other.exact) and np.array_equal(a, b):
             return 1.0
         size = float(np.sqrt(a.dot(a) * b.dot(b)))
