@@ -7,8 +7,8 @@ prefix stand together, as in a prefix tree. Candidates are the ``NEIGHBOURS``
 nearest nodes on either side of an order whose prefixes agree in one minimum at
 least. How deep they agree adapts to the region: among few alike the neighbours
 reach down to one common minimum, in a crowded region they agree in many. A
-candidate whose sketches agree in less than 0.55 of their minima is dropped: at a
-similarity of 0.8 that is five standard deviations away.
+candidate is dropped if its sketches (four bits of each minimum) agree in less than 0.64
+of their places: at a similarity of 0.8 that is five standard deviations away.
 
 Candidates are confirmed on full shingle sets, in two rounds: first the likeliest
 candidate of each node; then, of all others, those between nodes that are not yet
@@ -17,10 +17,12 @@ in one component. What is left unconfirmed could not change a component.
 Crowds. In a crowded region the nearest nodes are not all: a text with many copies
 may be the only link between them. Nodes that agree in the first ``CROWD_HASHES``
 minima of an order are a crowd, and all its pairs are looked at that are not yet in
-one component, however large it is: first the node with most links of each component
-against all others, as such a node joins most of them; then every pair that is still
-in two components. A crowd is cut into chunks and each pair of chunks is a cell of its
-own, so no task holds a crowd.
+one component, however large it is. First come rounds of hubs, the nodes with most links of
+each component: every node of the crowd proposes the one hub of another component
+that it agrees with most, a row a node, and links found join components. This alone decides nothing: then
+come all pairs whose nodes are still in two components and whose set sizes allow the
+similarity. Then a crowd is cut into chunks and each pair of chunks is a cell of its own, so no
+task holds a crowd.
 
 What is missed. Two similar texts are missed only if no order has them in one crowd.
 Orders begin with different hash functions: at similarity 0.8 that is 0.36 to the power
@@ -49,16 +51,19 @@ from lakeload.llm.words import MULTIPLIER, U64, hashed, mixed, runs, space_words
 HASHES = 128
 ORDERS = 16
 KEY_HASHES = 16
-SKETCH = 64
+SKETCH = 128
 REGION = 16
 NEIGHBOURS = 8
 CROWD_HASHES = 2
 
+#: Rounds of hubs at most; pairs they leave apart are all looked at afterwards.
+HUB_ROUNDS = 3
+
 #: Nodes of a crowd that are compared at once with as many others.
 CHUNK = 1024
 
 #: Sketch agreement below which a pair is no candidate, against a similarity of 0.8.
-SKETCH_SHARE = 0.55
+SKETCH_SHARE = 0.64
 
 #: Rows of an order looked at together.
 BLOCK_ROWS = 16_384
@@ -89,6 +94,12 @@ def minima(sets: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return out
 
 
+def sketches(cells: pa.ChunkedArray) -> np.ndarray:
+    """Sketches, a row each; as stored, a byte holds two places."""
+    packed = np.frombuffer(b"".join(cells.to_pylist()), np.uint8).reshape(-1, SKETCH // 2)
+    return np.concatenate([packed & 0xF, packed >> 4], axis=1)
+
+
 def signing(width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -105,7 +116,8 @@ def signing(width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
                 starts = np.concatenate([[0], np.cumsum(sizes[some])[:-1]]).astype(np.int64)
                 both = np.stack([np.add.reduceat(mixed(joined), starts), np.add.reduceat(mixed(joined ^ MULTIPLIER), starts)], axis=1)
                 signed = minima(joined, starts)
-                low = (signed[:, :: HASHES // SKETCH] & 0xFF).astype(np.uint8)
+                low = (signed[:, :: HASHES // SKETCH] & 0xF).astype(np.uint8)
+                low = low[:, ::2] | low[:, 1::2] << 4
                 ordered = signed.astype(">u4")
                 for at, i in enumerate(some):
                     set_hash[i], signature[i], sketch[i] = both[at].tobytes(), ordered[at].tobytes(), low[at].tobytes()
@@ -151,7 +163,7 @@ def neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def arrays(parts: list[pa.RecordBatch]) -> tuple[np.ndarray, ...]:
         table = pa.Table.from_batches(parts)
         keys = np.frombuffer(b"".join(table["key"].to_pylist()), ">u4").reshape(-1, KEY_HASHES)
-        sketch = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint8).reshape(-1, SKETCH)
+        sketch = sketches(table["sketch"])
         return table["order"].to_numpy(), keys, table["node"].to_numpy(), sketch
 
     held: list[pa.RecordBatch] = []
@@ -226,27 +238,65 @@ def crowds(nodes: DataFrame, parts: DataFrame, links: DataFrame) -> DataFrame:
     return members.join(hubs, ["crowd", "node"], "left").select("crowd", "size", "node", "part", F.coalesce("hub", F.lit(False)).alias("hub"))
 
 
-def meeting(only_hubs: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Rows sorted by cell -> pairs (a < b) of different components, with a hub if asked, whose sketches agree."""
+def alike(sketch: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Share of equal places of two rows' sketches, for each pair of rows."""
+    parts = [(sketch[x[k : k + 65_536]] == sketch[y[k : k + 65_536]]).mean(axis=1) for k in range(0, len(x), 65_536)]
+    return np.concatenate(parts) if parts else np.empty(0)
+
+
+def meeting(only_hubs: bool, percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows sorted by cell -> pairs (a < b) of different components whose sketches agree.
+
+    With ``only_hubs`` at most one for each member, the hub it agrees with most.
+    """
+
+    def arrays(cell: pa.Table) -> tuple[np.ndarray, ...]:
+        node, part, size = (cell[c].to_numpy() for c in ("node", "part", "n_shingles"))
+        return node, part, size, sketches(cell["sketch"])
+
+    def fitting(part: np.ndarray, size: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Which pairs of ``x`` and ``y`` are apart and of sizes that allow the similarity."""
+        small, large = np.minimum(size[x, None], size[y]), np.maximum(size[x, None], size[y])
+        return (part[x, None] != part[y]) & (100 * small >= percent * large)
+
+    def batch_of(x: np.ndarray, y: np.ndarray, share: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)), pa.array(share.astype(np.float32))], names=["a", "b", "share"]
+        )
+
+    def proposals(cell: pa.Table) -> Iterator[pa.RecordBatch]:
+        node, part, size, sketch = arrays(cell)
+        guest = cell["hub"].to_numpy(zero_copy_only=False)
+        hubs, own = np.flatnonzero(guest), np.flatnonzero(~guest)
+        best, best_hub = np.zeros(len(own)), np.zeros(len(own), np.int64)
+        for some in np.array_split(hubs, len(hubs) // 32 + 1):
+            if not len(some) or not len(own):
+                continue
+            at, other = np.nonzero(fitting(part, size, some, own))
+            share = np.zeros((len(some), len(own)))
+            share[at, other] = alike(sketch, some[at], own[other])
+            top = share.argmax(axis=0)
+            better = share[top, np.arange(len(own))] > best
+            best = np.maximum(best, share.max(axis=0))
+            best_hub[better] = some[top[better]]
+        near = np.flatnonzero(best >= SKETCH_SHARE)
+        yield batch_of(node[own[near]], node[best_hub[near]], best[near])
 
     def pairs(cell: pa.Table) -> Iterator[pa.RecordBatch]:
-        node, part, chunk = (cell[c].to_numpy() for c in ("node", "part", "chunk"))
-        sketch = np.frombuffer(b"".join(cell["sketch"].to_pylist()), np.uint8).reshape(-1, SKETCH)
+        node, part, size, sketch = arrays(cell)
+        chunk = cell["chunk"].to_numpy()
         across = cell["i"][0].as_py() != cell["j"][0].as_py()
-        rows = np.flatnonzero(cell["hub"].to_numpy(zero_copy_only=False)) if only_hubs else np.arange(len(node))
-        for some in np.array_split(rows, max(1, len(rows) // 32)):
-            apart = part[some, None] != part
+        every = np.arange(len(node))
+        for some in np.array_split(every, max(1, len(every) // 32)):
+            apart = fitting(part, size, some, every) & (node[some, None] < node)
             if across:
                 apart &= chunk[some, None] != chunk
-            if not only_hubs:
-                apart &= node[some, None] < node
             at, other = np.nonzero(apart)
-            for k in range(0, len(at), 65_536):
-                x, y = some[at[k : k + 65_536]], other[k : k + 65_536]
-                share = (sketch[x] == sketch[y]).mean(axis=1)
-                x, y, share = (v[share >= SKETCH_SHARE] for v in (x, y, share))
-                a, b = np.minimum(node[x], node[y]), np.maximum(node[x], node[y])
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(share.astype(np.float32))], names=["a", "b", "share"])
+            share = alike(sketch, some[at], other)
+            near = share >= SKETCH_SHARE
+            yield batch_of(node[some[at[near]]], node[other[near]], share[near])
+
+    meet = proposals if only_hubs else pairs
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -258,22 +308,32 @@ def meeting(only_hubs: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa
             for start, end in zip(cuts[:-1], cuts[1:], strict=True):
                 piece = batch.slice(start, end - start)
                 if held and any(held[0][c][0] != piece[c][0] for c in ("crowd", "i", "j")):
-                    yield from pairs(pa.Table.from_batches(held))
+                    yield from meet(pa.Table.from_batches(held))
                     held = []
                 held.append(piece)
         if held:
-            yield from pairs(pa.Table.from_batches(held))
+            yield from meet(pa.Table.from_batches(held))
 
     return run
 
 
-def met(members: DataFrame, nodes: DataFrame, only_hubs: bool) -> DataFrame:
-    """Distinct pairs of ``crowds`` between components whose sketches agree; with ``only_hubs`` those that hold a hub."""
+def met(members: DataFrame, nodes: DataFrame, only_hubs: bool, percent: int) -> DataFrame:
+    """Distinct pairs of ``crowds`` between components whose sketches agree; with ``only_hubs`` those proposed to hubs.
+
+    Hubs visit all chunks of their crowd; for all pairs every member does.
+    """
     chunks = F.ceil(F.col("size") / CHUNK)
-    dealt = members.select("*", F.pmod(F.xxhash64("node"), chunks).alias("chunk"), F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1)).alias("other"))
-    celled = dealt.select("crowd", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "chunk", "node", "part", "hub")
-    cells = celled.join(nodes.select("node", "sketch"), "node").repartition("crowd", "i", "j").sortWithinPartitions("crowd", "i", "j")
-    return cells.mapInArrow(meeting(only_hubs), "a long, b long, share float").groupBy("a", "b").agg(F.max("share").alias("share"))
+    placed = members.withColumn("chunk", F.pmod(F.xxhash64("node"), chunks))
+    visited = F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1)).alias("other")
+    columns = ["crowd", "i", "j", "chunk", "node", "part", "hub"]
+    if only_hubs:
+        own = placed.withColumns({"i": F.col("chunk"), "j": F.col("chunk"), "hub": F.lit(False)}).select(columns)
+        visits = placed.filter("hub").select("*", visited).withColumns({"i": F.col("other"), "j": F.col("other")}).select(columns)
+        celled = own.unionByName(visits)
+    else:
+        celled = placed.select("*", visited).withColumns({"i": F.least("chunk", "other"), "j": F.greatest("chunk", "other")}).select(columns)
+    cells = celled.join(nodes.select("node", "n_shingles", "sketch"), "node").repartition("crowd", "i", "j").sortWithinPartitions("crowd", "i", "j")
+    return cells.mapInArrow(meeting(only_hubs, percent), "a long, b long, share float").groupBy("a", "b").agg(F.max("share").alias("share"))
 
 
 def shingle_sets(docs: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
@@ -312,14 +372,17 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     others = written(confirmed(apart, sets, percent), "other-links")
     links, seen = links.unionByName(others), pairs.select("a", "b")
     joined = written(merged(joined, others), "forest-parts")
-    for only_hubs in (True, False):
-        members = crowds(nodes, joined, links)
-        new = written(met(members, nodes, only_hubs).join(seen, ["a", "b"], "left_anti").select("a", "b"), "crowd-pairs")
-        if new.isEmpty():
+    fruitful = True
+    for only_hubs in [True] * HUB_ROUNDS + [False]:
+        if only_hubs and not fruitful:
             continue
+        members = crowds(nodes, joined, links)
+        new = written(met(members, nodes, only_hubs, percent).join(seen, ["a", "b"], "left_anti").select("a", "b"), "crowd-pairs")
         found = written(confirmed(new, shingle_sets(docs, new, width), percent), "crowd-links")
-        links, seen = links.unionByName(found), seen.unionByName(new)
-        joined = written(merged(joined, found), "crowd-parts")
+        fruitful = not found.isEmpty()
+        if fruitful:
+            links, joined = links.unionByName(found), written(merged(joined, found), "crowd-parts")
+        seen = seen.unionByName(new)
 
     named = nodes.select("set_hash", "n_shingles", "node").join(joined, "node", "left")
     named = named.select("set_hash", "n_shingles", F.coalesce("component", "node").alias("found"))
