@@ -91,7 +91,7 @@ def snapshot_events(objects: DataFrame, table_snapshots: DataFrame, few: bool) -
         bounded_by=few,
     ).where(F.col("key") == F.col("snapshot_s3_key"))
     newest = arrivals.groupBy("table_id").agg(F.max("modified").alias("arrived"))
-    return lookup_join(snapshots, newest, "table_id", "left", bounded_by=few)
+    return lookup_join(snapshots, newest, "table_id", "left", bounded_by=few, one_each=True)
 
 
 def snapshot_fold(objects: DataFrame, table_snapshots: DataFrame) -> DataFrame:

@@ -81,7 +81,7 @@ def feed_watermark(feeds: DataFrame, datasets: DataFrame, may_go_back: bool = Fa
     newest = datasets.groupBy(F.col("feed_id").alias("id")).agg(F.max("last_updated_at").alias("__newest"))
     # greatest skips NULLs
     moved = F.coalesce("__newest", "last_updated_at") if may_go_back else F.greatest("last_updated_at", "__newest")
-    joined = lookup_join(feeds, newest, "id", "left", bounded_by=feeds)
+    joined = lookup_join(feeds, newest, "id", "left", bounded_by=feeds, one_each=True)
     return joined.withColumn("last_updated_at", moved).drop("__newest")
 
 
@@ -119,5 +119,5 @@ def dataset_landing_key(kind: Column, identifier: Column, layout: Layout = Layou
 def remap_feed_urls(feeds: DataFrame, mapping: DataFrame) -> DataFrame:
     """Feeds renamed by ``old_relative_url -> new_relative_url``; others are unchanged."""
     names = mapping.select(F.col("old_relative_url").alias("relative_url"), "new_relative_url")
-    joined = lookup_join(feeds, names, "relative_url", "left", bounded_by=mapping)
+    joined = lookup_join(feeds, names, "relative_url", "left", bounded_by=mapping, one_each=True)
     return joined.withColumn("relative_url", F.coalesce("new_relative_url", "relative_url")).drop("new_relative_url")

@@ -113,7 +113,7 @@ def tables_with_snapshot(tables: DataFrame, table_snapshots: DataFrame) -> DataF
     """Live tables with their snapshot row, if they have one; snapshot rows are not filtered."""
     snapshots = table_snapshots.select("table_id", "snapshot_s3_key", "snapshot")
     joined = lookup_join(
-        live(tables).withColumn("table_id", F.col("id")), snapshots, "table_id", "left", bounded_by=table_snapshots
+        live(tables).withColumn("table_id", F.col("id")), snapshots, "table_id", "left", bounded_by=table_snapshots, one_each=True
     )
     return joined.drop("table_id").orderBy("id")
 
@@ -148,6 +148,7 @@ def ready_loads(
         "s3_key",
         "left",
         bounded_by=few,
+        one_each=True,
     ).select("table_id", "last_snapshot_at", F.lit(True).alias("has_snapshots"))
     sources = lookup_join(
         live(tables).select(F.col("id").alias("table_id"), F.col("name").alias("table_name")),
@@ -155,6 +156,7 @@ def ready_loads(
         "table_id",
         "left",
         bounded_by=few,
+        one_each=True,
     )
     candidates = lookup_join(
         live(loads).where(F.col("status") == "ready"), sources, "table_id", "inner", bounded_by=tables

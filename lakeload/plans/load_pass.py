@@ -78,7 +78,7 @@ def take_in(objects: DataFrame, store: LedgerStore, layout: routing.Layout, pass
     snapshots = store.read("table_snapshots", before)
     arrivals = found.select("table_id", F.col("s3_key").alias("key"), F.col("s3_modified").alias("last_modified"))
     updated = discover.table_snapshot_update(arrivals, snapshots).select("table_id", "snapshot")
-    store.write("table_snapshots", lookup_join(snapshots.drop("snapshot"), updated, "table_id", "left", bounded_by=snapshots), pass_id)
+    store.write("table_snapshots", lookup_join(snapshots.drop("snapshot"), updated, "table_id", "left", bounded_by=snapshots, one_each=True), pass_id)
     # Last: once the loads are there, the pass is known to have taken them in.
     store.write("loads", found.withColumns({"inserted_at": now, "updated_at": now}), pass_id)
     return found

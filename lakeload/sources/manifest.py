@@ -42,12 +42,13 @@ def load_manifest_columns(loads: DataFrame, sidecars: DataFrame, mode: str = "FA
 
     ``sidecars`` holds ``sidecar_key, body``, one row per key. Should one object
     have been loaded very often, adaptive execution splits its partition: no
-    step after the join needs the rows of a key together.
+    step after the join needs the rows of a key together. The sidecars are never
+    broadcast: there is about one for each load, however small their files are.
     """
     found = sidecar_columns(sidecars, mode=mode).select("sidecar_key", F.col("columns").alias("found_columns"))
     return (
         loads.withColumn("sidecar_key", sidecar_key(F.col("s3_key")))
-        .join(found, "sidecar_key", "left")
+        .join(found.hint("merge"), "sidecar_key", "left")
         .withColumn("manifest_columns", F.coalesce("found_columns", F.array().cast("array<string>")))
         .drop("found_columns", "sidecar_key")
     )

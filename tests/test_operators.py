@@ -548,3 +548,17 @@ def test_feed_watermark_and_requests(spark):
     assert moved(True) == [(1, at(0)), (2, at(9))]
     with pytest.raises(Exception, match="no credential for feed"):
         feeds.feed_requests(spark.createDataFrame([(1, "/unknown", None)], feed.schema)).collect()
+
+
+def test_a_lookup_that_is_not_small_is_never_broadcast(spark):
+    big = spark.range(100).withColumn("k", F.col("id") % 10)
+    lookup = spark.range(10).select(F.col("id").alias("k"), F.col("id").alias("v"))
+    for one_each in (False, True):
+        for how in ("left", "inner"):
+            joined = lookup_join(big, lookup, "k", how, bounded_by=False, one_each=one_each)
+            assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString()
+            assert joined.where("k = v").count() == 100
+    sidecars = spark.createDataFrame([("ods/a.dfm", '{"dataInfo":{"columns":[{"name":"A"}]}}')], "sidecar_key string, body string")
+    found = manifest.load_manifest_columns(spark.createDataFrame([(1, "ods/a.csv.gz")], "id long, s3_key string"), sidecars)
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+    assert found.first()["manifest_columns"] == ["a"]
