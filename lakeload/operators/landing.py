@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakeload.sources.listing import open_root
+
 
 def with_partition_literals(df: DataFrame, partition_columns: Sequence[tuple[str, str]]) -> DataFrame:
     """Append constant partition columns in the given order."""
@@ -48,6 +52,62 @@ def land(
         empty_partitions(df.sparkSession, destination, partition_by, without_rows(df, partition_by, expected))
 
 
+def land_loads(
+    df: DataFrame, staging: str, load_column: str, partition_by: Sequence[str], destinations: Sequence[tuple[int, str]], tasks: int | None = None
+) -> None:
+    """Write the rows of many loads in one job, whatever folders they go to; each replaces its partition.
+
+    ``destinations`` has the folder of each load by the value of ``load_column``. The
+    rows are written below ``staging``, a new folder beside the lake's, with a folder
+    for each load; ``tasks`` tasks (twice the cores, unless given) then move the
+    partitions to where they belong. Nothing of the lake is touched before all is written.
+    """
+    spark = df.sparkSession
+    writer = df.write.option("compression", "zstd").partitionBy(load_column, *partition_by)
+    try:
+        writer.parquet(staging)
+        known = spark.createDataFrame(list(destinations), "id bigint, destination string")
+        dealt = known.repartition(min(len(destinations), tasks or 2 * spark.sparkContext.defaultParallelism) or 1, "id")
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for load, destination in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                    place(f"{staging}/{load_column}={load}", destination, len(partition_by))
+                yield batch
+
+        dealt.mapInArrow(run, dealt.schema).write.format("noop").mode("overwrite").save()
+    finally:
+        path = spark._jvm.org.apache.hadoop.fs.Path(staging)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def place(staged: str, destination: str, levels: int) -> None:
+    """Move the partitions ``levels`` below a staged folder to the same place below ``destination``, for what is there.
+
+    Can be run again after it failed half-way: a folder is renamed at once, and where
+    that is not possible its files are copied and the staged ones stay.
+    """
+    filesystem, base = open_root(staged)
+    target, root = open_root(destination)
+    below = [""]
+    for _ in range(levels):
+        below = [
+            f"{path}/{info.base_name}"
+            for path in below
+            for info in filesystem.get_file_info(fs.FileSelector(f"{base}{path}", allow_not_found=True))
+            if info.type == fs.FileType.Directory
+        ]
+    for path in below:
+        at = f"{root}{path}"
+        target.create_dir(at.rsplit("/", 1)[0], recursive=True)
+        if target.get_file_info(at).type == fs.FileType.Directory:
+            target.delete_dir(at)
+        if isinstance(target, fs.LocalFileSystem):
+            target.move(f"{base}{path}", at)
+        else:
+            fs.copy_files(f"{base}{path}", at, source_filesystem=filesystem, destination_filesystem=target)
+
+
 def without_rows(df: DataFrame, partition_by: Sequence[str], expected: Sequence[Sequence[str | None]]) -> list[tuple]:
     """Those of the expected partitions that no row of ``df`` belongs to; only the partition columns are read."""
     spark = df.sparkSession

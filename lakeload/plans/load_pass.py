@@ -4,16 +4,17 @@ from __future__ import annotations
 
 import os
 import re
+import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 from itertools import islice
-from operator import or_
+from operator import and_, or_
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from lakeload.functions.parsers import is_bad
@@ -143,32 +144,33 @@ def advance(
     plan = spark.read.parquet(plan_path)
     store.log(plan.select("id").unionByName(lost), "ingesting", pass_id, BATCHED, "id")
 
-    failed, waiting = land_routed(spark, plan, registry, header, limits)
+    failed, waiting = land_routed(spark, plan, registry, header, limits, f"{layout.lake}_landing")
     done = plan.join(failed.unionByName(waiting), "id", "left_anti")
     store.log(done, "ready_for_archiving", pass_id, FINISHED, "id")
     store.log(failed.select("id").unionByName(lost).unionByName(worn.select("id")), "ready_for_erroring", pass_id, FAILED, "id")
 
 
-def land_routed(spark: SparkSession, plan: DataFrame, registry: DataFrame, header: bool, limits: Limits) -> tuple[DataFrame, DataFrame]:
-    """Land every destination's loads, ``read_files`` at a time; returns the ids of loads at fault, and of loads that could not be landed now.
+def land_routed(spark: SparkSession, plan: DataFrame, registry: DataFrame, header: bool, limits: Limits, staging: str) -> tuple[DataFrame, DataFrame]:
+    """Land every table's loads, ``read_files`` at a time; returns the ids of loads at fault, and of loads that could not be landed now.
 
-    The driver holds the destinations with their schemas, and the routes of the
-    reads that run at the moment, never rows or all files of a pass.
+    The folders of a table share their reads and writes: jobs follow from the tables and
+    the number of files, not from the folders. The driver holds the tables with their
+    schemas, and the routes of the reads that run at the moment, never rows or all files
+    of a pass.
     """
-    destinations = plan.select("destination_path", "source_table_name", "destination_table_name").distinct().collect()
-    names = {row[c] for row in destinations for c in ("source_table_name", "destination_table_name")}
-    schemas = catalog.fields_of_tables(registry, sorted(names))
-    tables = {row["destination_path"]: row for row in destinations}
+    named = plan.withColumn("names", F.array_join("partition_columns.name", "/"))
+    kinds = ["source_table_name", "destination_table_name", "names"]
+    tables = named.select(*kinds).distinct().collect()
+    schemas = catalog.fields_of_tables(registry, sorted({row[c] for row in tables for c in kinds[:2]}))
 
-    def one(destination: str) -> list[Outcome]:
-        table = tables[destination]
+    def one(table: Row) -> list[Outcome]:
         columns = [f["name"] for f in schemas.get(table["source_table_name"], [])]
         fields = schemas.get(table["destination_table_name"], [])
-        own = plan.where(F.col("destination_path") == destination).select("id", "source_path", "partition_columns")
+        own = named.where(reduce(and_, [F.col(c) == table[c] for c in kinds]))
         outcomes = []
-        loads = own.toLocalIterator()
+        loads = own.select("id", "source_path", "destination_path", "partition_columns").toLocalIterator()
         while some := list(islice(loads, limits.read_files)):
-            outcomes.append(land_table(spark, some, columns, fields, destination, header))
+            outcomes.append(land_table(spark, some, columns, fields, header, f"{staging}/{uuid.uuid4().hex}"))
         return outcomes
 
     with ThreadPoolExecutor(limits.concurrent_tables) as pool:
@@ -177,74 +179,94 @@ def land_routed(spark: SparkSession, plan: DataFrame, registry: DataFrame, heade
     return spark.createDataFrame(failed, "id bigint"), spark.createDataFrame(waiting, "id bigint")
 
 
-def land_table(spark: SparkSession, loads: list, columns: list[str], fields: list[dict], destination: str, header: bool) -> Outcome:
-    """Land one table's loads. Returns the ids of those at fault, which are left out, and of those that wait.
+def land_table(spark: SparkSession, loads: list, columns: list[str], fields: list[dict], header: bool, staging: str) -> Outcome:
+    """Land loads of one table. Returns the ids of those at fault, which are left out, and of those that wait.
 
     A load is at fault if its file cannot be read, has a row with too few or too many
     fields, or a value that does not parse. Any other failure is none of the load's.
+
+    The files are read twice: to find the bad ones and the empty ones, and to write the others.
     """
     if not columns or not fields:
         return [load["id"] for load in loads], []
+    names = [p["name"] for p in loads[0]["partition_columns"]]
 
     def newest(chosen: list) -> list:
         # A rewritten object can have several loads: its file is read once, for the newest of them.
         return list({_path_key(c["source_path"]): c for c in sorted(chosen, key=lambda c: c["id"])}.values())
 
-    def scan(chosen: list) -> DataFrame:
-        chosen = newest(chosen)
-        paths = [c["source_path"] for c in chosen]
-        rows = csv_text.scan_csv_strings(spark, paths, columns, header, file_column="__file", corrupt_column="__corrupt")
-        names = [p["name"] for p in chosen[0]["partition_columns"]]
+    def routed(rows: DataFrame, chosen: list) -> DataFrame:
         # One row per file of this read; the broadcast is as long as the path list.
         keyed = [(_path_key(c["source_path"]), c["id"], *[p["value"] for p in c["partition_columns"]]) for c in chosen]
         routes = spark.createDataFrame(keyed, f"__key string, __id bigint, {', '.join(f'`{n}` string' for n in names)}")
         # The scan gives paths URI-encoded, where a plus sign stands for itself.
         decoded = F.url_decode(F.replace("__file", F.lit("+"), F.lit("%2B")))
         key = F.ltrim(F.regexp_replace(F.regexp_replace(decoded, SCHEME, ""), "/+", "/"), F.lit("/"))
-        joined = rows.withColumn("__key", key).join(F.broadcast(routes), "__key", "left")
-        unknown = F.raise_error(F.concat(F.lit("no load for the file "), "__file")).cast("string")
-        return joined.withColumns({n: F.coalesce(F.col(f"`{n}`"), unknown) for n in names})
+        return rows.withColumn("__key", key).join(F.broadcast(routes), "__key", "left")
 
-    def write(chosen: list) -> None:
-        names = [p["name"] for p in chosen[0]["partition_columns"]]
-        uneven = F.raise_error(F.concat(F.lit("wrong number of fields: "), "__corrupt")).cast("string")
-        rows = scan(chosen).withColumn(names[0], F.when(F.col("__corrupt").isNotNull(), uneven).otherwise(F.col(f"`{names[0]}`")))
-        landing.land(casting.cast_to_schema(rows, fields, keep=names), destination, names)
-        # A file without rows leaves its partition empty, whatever an earlier delivery put there.
-        expected = [[p["value"] for p in c["partition_columns"]] for c in newest(chosen)]
-        landing.empty_partitions(spark, destination, names, landing.without_rows(scan(chosen).select(*names), names, expected))
+    def scan(chosen: list) -> DataFrame:
+        paths = [c["source_path"] for c in chosen]
+        return csv_text.scan_csv_strings(spark, paths, columns, header, file_column="__file", corrupt_column="__corrupt")
 
-    def works(action: Callable[[list], object], chosen: list) -> bool:
+    def readable(chosen: list) -> bool:
         try:
-            action(chosen)
+            scan(chosen).write.format("noop").mode("overwrite").save()
         except JOB_FAILURES:
             return False
         return True
 
-    def read(chosen: list) -> None:
-        scan(chosen).write.format("noop").mode("overwrite").save()
-
-    def rejected(chosen: list) -> set[str]:
-        """Keys of the files with a bad row; a row per file comes to the driver, of one read."""
+    def unreadable(chosen: list) -> list:
+        """By halves: a file that cannot be read is found in a few reads, whatever the number of files."""
+        if readable(chosen):
+            return []
+        if len(chosen) == 1:
+            return chosen
+        half = len(chosen) // 2
+        return unreadable(chosen[:half]) + unreadable(chosen[half:])
+
+    def checked(rows: DataFrame, chosen: list) -> dict[int, bool]:
+        """Whether a file with rows has a bad one, by load; a row per file comes to the driver, of one read."""
         bad = reduce(or_, [is_bad(f"`{f['name']}`", f["type"]) for f in fields if f["type"] != "string"], F.col("__corrupt").isNotNull())
+        unknown = F.raise_error(F.concat(F.lit("no load for the file "), "__file")).cast("long")
         # the texts are read as well: Spark refuses a scan of the corrupt column alone
-        found = scan(chosen).groupBy("__key").agg(F.bool_or(F.coalesce(bad, F.lit(False))).alias("bad"), F.max(F.length(f"`{columns[0]}`"))).collect()
-        return {row["__key"] for row in found if row["bad"]}
-
-    if works(write, loads):
-        return [], []
-    unread = [] if works(read, loads) else [load for load in loads if not works(read, [load])]
-    keys = {_path_key(load["source_path"]) for load in unread}
-    rest = [load for load in loads if _path_key(load["source_path"]) not in keys]
+        found = routed(rows, chosen).groupBy(F.coalesce("__id", unknown).alias("id"))
+        summed = found.agg(F.bool_or(F.coalesce(bad, F.lit(False))).alias("bad"), F.max(F.length(f"`{columns[0]}`"))).collect()
+        return {row["id"]: row["bad"] for row in summed}
+
+    def write(rows: DataFrame, good: list, filled: set[int]) -> None:
+        own = routed(rows, good).where(F.col("__id").isNotNull())
+        uneven = F.raise_error(F.concat(F.lit("wrong number of fields: "), "__corrupt")).cast("string")
+        kept = own.withColumn(names[0], F.when(F.col("__corrupt").isNotNull(), uneven).otherwise(F.col(f"`{names[0]}`")))
+        cast = casting.cast_to_schema(kept, fields, keep=["__id", *names])
+        landing.land_loads(cast, staging, "__id", names, [(c["id"], c["destination_path"]) for c in good if c["id"] in filled])
+        # A file without rows leaves its partition empty, whatever an earlier delivery put there.
+        for c in good:
+            if c["id"] not in filled:
+                landing.empty_partitions(spark, c["destination_path"], names, [[p["value"] for p in c["partition_columns"]]])
+
+    chosen, lost = newest(loads), []
+    rows = found = None
+    try:
+        rows = scan(chosen)
+        found = checked(rows, chosen)
+    except JOB_FAILURES:
+        lost = unreadable(chosen)
+    keys = {_path_key(c["source_path"]) for c in lost}
+    chosen = [c for c in chosen if _path_key(c["source_path"]) not in keys]
+    works = True
     try:
-        keys |= rejected(rest) if rest else set()
+        if chosen and found is None:
+            rows = scan(chosen)
+            found = checked(rows, chosen)
+        good = [c for c in chosen if not found.get(c["id"])]
+        keys |= {_path_key(c["source_path"]) for c in chosen if found.get(c["id"])}
+        if good:
+            write(rows, good, set(found))
     except JOB_FAILURES:
-        pass  # the next attempt looks again
+        works = False  # the next attempt looks again
     at_fault = sorted(load["id"] for load in loads if _path_key(load["source_path"]) in keys)
-    rest = [load for load in loads if _path_key(load["source_path"]) not in keys]
-    if not rest or (keys and works(write, rest)):
-        return at_fault, []
-    return at_fault, sorted(load["id"] for load in rest)
+    rest = sorted(load["id"] for load in loads if _path_key(load["source_path"]) not in keys)
+    return at_fault, [] if works else rest
 
 
 # Filesystems give paths back with another number of slashes, or with an authority that was left out.

@@ -11,7 +11,7 @@ from lakeload.operators.landing import read_landed
 from lakeload.operators.relocate import relocate
 from lakeload.operators.routing import Layout
 from lakeload.plans.feed_sync import run_feed_sync
-from lakeload.plans.load_pass import Limits, advance, run_load_pass
+from lakeload.plans.load_pass import Limits, advance, land_routed, run_load_pass
 from lakeload.plans.relocation_pass import run_relocation_pass
 from lakeload.plans.store import LedgerStore
 from lakeload.sources.listing import list_objects, stream_objects
@@ -342,3 +342,29 @@ def test_stream_takes_late_objects_with_an_older_time(zone, tmp_path):
 def test_moves_are_dealt_over_tasks(spark, tmp_path):
     pairs = spark.range(40).selectExpr("id", "concat('a', id) source_key", "concat('b', id) destination_key").coalesce(1)
     assert relocate(pairs, str(tmp_path), str(tmp_path)).rdd.getNumPartitions() > 1
+
+
+def test_the_folders_of_a_table_share_their_jobs(zone):
+    """A table's objects in many folders: as many jobs as for one folder, and each folder's partitions stay apart."""
+
+    def jobs(group, first, folders):
+        for i in range(40):
+            zone.put(f"datasets/set/{i % folders}/{first + i}.csv.gz", ["x,2022-01-05,f" if i == 7 else f"{i},2022-01-05,f"] if i != 9 else [], START + first + i)
+        zone.spark.sparkContext.setJobGroup(group, group)
+        loads = [(first + i, f"{zone.layout.incoming}datasets/set/{i % folders}/{first + i}.csv.gz", f"{zone.layout.lake}datasets/set/{i % folders}", [("identifier", f"{first + i}.csv.gz")]) for i in range(40)]
+        kinds = "id long, source_path string, destination_path string, partition_columns array<struct<name: string, value: string>>"
+        plan = zone.spark.createDataFrame(loads, kinds).coalesce(1).withColumns({c: F.lit("set") for c in ("source_table_name", "destination_table_name")})
+        failed, waiting = land_routed(zone.spark, plan, zone.registry, False, Limits(concurrent_tables=1), f"{zone.layout.lake}_landing")
+        assert [r["id"] for r in failed.collect()] == [first + 7] and waiting.count() == 0
+
+    tracker = zone.spark.sparkContext._jsc.sc().dagScheduler()
+    counts = []
+    for first, folders in ((0, 1), (100, 1), (200, 20)):  # the first warms up
+        before = tracker.nextJobId()
+        jobs(f"folders-{first}", first, folders)
+        counts.append(tracker.nextJobId() - before)
+    assert counts[2] <= counts[1] + 2
+    landed = zone.spark.read.option("recursiveFileLookup", True).parquet(f"{zone.layout.lake}datasets/set")
+    paths = {r[0] for r in landed.select(F.regexp_extract("_metadata.file_path", "/set/(.*)/[^/]*$", 1)).collect()}
+    assert {f"{i % 20}/identifier={200 + i}.csv.gz" for i in range(40) if i not in (7, 9)} <= paths
+    assert landed.count() == 3 * 38 and os.listdir(f"{zone.layout.lake}_landing") == []
