@@ -17,8 +17,12 @@ def run_feed_sync(store: LedgerStore, bodies: DataFrame, layout: routing.Layout
     The feeds' watermarks move once the datasets are recorded.
     """
     pass_id = store.next_pass()
-    announced = feeds.dataset_rows(feeds.valid_datasets(feed_results(bodies)))
-    incoming = announced.withColumn("last_updated_at", F.col("last_updated_at").cast("timestamp"))
+    # Bodies are parsed once, and by all tasks: however small its file, a body can hold much.
+    dealt = bodies.repartition(2 * store.spark.sparkContext.defaultParallelism, "feed_id", "arrival")
+    announced = feeds.dataset_rows(feeds.valid_datasets(feed_results(dealt)))
+    staged = f"{store.root}/staged/announced/pass={pass_id}"
+    announced.withColumn("last_updated_at", F.col("last_updated_at").cast("timestamp")).write.mode("overwrite").parquet(staged)
+    incoming = store.spark.read.parquet(staged)
     store.write("datasets", feeds.upsert_datasets(store.read("datasets", (pass_id, 0)), incoming), pass_id)
     known = store.read("feeds", (pass_id, 0))
     moved = feeds.feed_watermark(ledger.live(known), incoming)

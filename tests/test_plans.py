@@ -368,3 +368,12 @@ def test_the_folders_of_a_table_share_their_jobs(zone):
     paths = {r[0] for r in landed.select(F.regexp_extract("_metadata.file_path", "/set/(.*)/[^/]*$", 1)).collect()}
     assert {f"{i % 20}/identifier={200 + i}.csv.gz" for i in range(40) if i not in (7, 9)} <= paths
     assert landed.count() == 3 * 38 and os.listdir(f"{zone.layout.lake}_landing") == []
+
+
+def test_bodies_of_a_feed_are_parsed_once_and_by_many_tasks(zone):
+    one = '{"id":"first","dataset_id":"d1","url":"https://h.example.com/a","start_date":"2022-05-17","end_date":"2022-05-17","last_updated":"2022-05-18T12:12:24.000001"}'
+    bodies = zone.spark.range(200).selectExpr("id % 3 as feed_id", "id as arrival", f"""'{{"success":true,"results":[{one}]}}' as body""").coalesce(1)
+    fetched = run_feed_sync(zone.store, bodies)
+    assert fetched.count() == 200 and zone.store.read("datasets").count() == 1
+    assert "from_json" not in fetched._jdf.queryExecution().optimizedPlan().toString()
+    assert len({r[0] for r in fetched.select(F.col("_metadata.file_path")).collect()}) > 1
