@@ -4,6 +4,10 @@ A table's objects may be most of a batch, so they are spread over ``salts`` grou
 each with a copy of the table's watermark in its state. Before the shuffle every task
 reduces its objects to one newest second per table and sends this to all copies:
 whatever a group holds, its watermark becomes that of the whole table.
+
+There may be very many tables with few objects each, and a group costs milliseconds
+whatever it holds. So a group holds a bucket of tables, and its state their watermarks;
+with the default a bucket of a million tables' stream has about four thousand.
 """
 
 from __future__ import annotations
@@ -20,8 +24,12 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 SALTS = 8
 
+#: Groups of tables with a common row of state. A checkpoint keeps the number it was made with.
+BUCKETS = 256
+
 #: Columns of an object are carried as text, which keeps every value as it is.
-PACKED = "table_id string, salt int, second long, packed array<string>"
+PACKED = "table_id string, bucket int, salt int, second long, packed array<string>"
+STATE = "tables array<string>, seconds array<long>"
 
 
 def with_news(salts: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -29,38 +37,40 @@ def with_news(salts: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         newest: dict[str, int] = {}
+        buckets: dict[str, int] = {}
         schema = None
         for batch in batches:
             schema = batch.schema
-            found = pa.Table.from_batches([batch]).group_by("table_id").aggregate([("second", "max")])
-            for table_id, second in zip(found["table_id"].to_pylist(), found["second_max"].to_pylist(), strict=True):
+            found = pa.Table.from_batches([batch]).group_by("table_id").aggregate([("second", "max"), ("bucket", "max")])
+            for table_id, second, bucket in zip(*(found[c].to_pylist() for c in ("table_id", "second_max", "bucket_max")), strict=True):
                 if table_id is not None and second is not None:
-                    newest[table_id] = max(newest.get(table_id, second), second)
+                    newest[table_id], buckets[table_id] = max(newest.get(table_id, second), second), bucket
             yield batch
         if newest:
             n = len(newest)
             for salt in range(salts):
-                columns = [list(newest), [salt] * n, list(newest.values()), [None] * n]
+                columns = [list(newest), [buckets[t] for t in newest], [salt] * n, list(newest.values()), [None] * n]
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
     return run
 
 
 def newer_objects(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Objects after the watermark that stood before this batch; then the watermark moves."""
-    before = state.get[0] if state.exists else None
-    newest = before
+    """Objects after the watermark that their table had before this batch; then the watermarks move."""
+    before = pd.Series(state.get[1], index=state.get[0], dtype="float64") if state.exists else pd.Series(dtype="float64")
+    newest = [before]
     for part in parts:
         objects = part[part["packed"].notna()]
-        if before is not None and key[0] is not None:
-            objects = objects[objects["second"] > before]
-        if len(objects):
-            yield objects[["packed"]]
-        seconds = part["second"].max()
-        if pd.notna(seconds):
-            newest = int(seconds) if newest is None else max(newest, int(seconds))
-    if newest is not None:
-        state.update((newest,))
+        known = objects["table_id"].map(before)
+        # a null table is none of the index; a null time is never newer than a watermark
+        passed = objects[known.isna() | (objects["second"] > known)]
+        if len(passed):
+            yield passed[["packed"]]
+        newest.append(part[part["table_id"].notna() & part["second"].notna()].groupby("table_id")["second"].max().astype("float64"))
+    moved = pd.concat([s for s in newest if len(s)] or [before])
+    if len(moved):
+        moved = moved.groupby(level=0).max()
+        state.update((moved.index.tolist(), [int(s) for s in moved]))
 
 
 def newer_than_watermark(objects: DataFrame, salts: int = SALTS) -> DataFrame:
@@ -77,12 +87,13 @@ def newer_than_watermark(objects: DataFrame, salts: int = SALTS) -> DataFrame:
         raise ValueError(f"columns of the listing must be plain: {odd}")
     packed = objects.select(
         F.col("table_id").cast("string").alias("table_id"),
+        F.coalesce(F.pmod(F.xxhash64(F.col("table_id").cast("string")), F.lit(BUCKETS)), F.lit(0)).cast("int").alias("bucket"),
         F.pmod(F.xxhash64("key", "last_modified"), F.lit(salts)).cast("int").alias("salt"),
         F.unix_seconds(F.col("last_modified").cast("timestamp")).alias("second"),
         F.array(*[F.col(f"`{name}`").cast("string") for name in plain]).alias("packed"),
     )
     told = packed.mapInArrow(with_news(salts), PACKED)
-    passed = told.groupBy("table_id", "salt").applyInPandasWithState(newer_objects, "packed array<string>", "second long", "append", GroupStateTimeout.NoTimeout)
+    passed = told.groupBy("bucket", "salt").applyInPandasWithState(newer_objects, "packed array<string>", STATE, "append", GroupStateTimeout.NoTimeout)
     return passed.select(*[F.col("packed")[i].cast(kind).alias(name) for i, (name, kind) in enumerate(plain.items())])
 
 

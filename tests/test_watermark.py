@@ -5,7 +5,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from lakeload.streaming.watermark import start_watermark_filter
+from lakeload.streaming.watermark import BUCKETS, start_watermark_filter
 
 SCHEMA = "table_id bigint, key string, last_modified timestamp, size bigint"
 
@@ -44,3 +44,13 @@ def test_a_hot_table_shares_one_watermark_over_all_groups(spark, tmp_path):
         for table, _, second, _ in rows:
             seen[table] = max(seen.get(table, second), second)
         assert stream.run(rows, salts=5) == sorted(want)
+
+
+def test_many_tables_share_groups_of_state(spark, tmp_path):
+    """As many groups as buckets and salts at most, whatever the number of tables; each table has its own watermark."""
+    stream = Stream(spark, tmp_path)
+    stream.run([(t, f"a{t}", float(t), 1) for t in range(3000)], salts=1)
+    found = stream.run([(t, f"b{t}", float(t + t % 2), 1) for t in range(3000)], salts=1)
+    assert found == sorted([f"a{t}" for t in range(3000)] + [f"b{t}" for t in range(1, 3000, 2)])
+    rows = spark.read.format("statestore").load(f"{tmp_path}/checkpoint")
+    assert 0 < rows.count() <= BUCKETS
