@@ -22,7 +22,10 @@ each component: every node of the crowd proposes the one hub of another componen
 that it agrees with most, a row a node, and links found join components. This alone decides nothing: then
 come all pairs whose nodes are still in two components and whose set sizes allow the
 similarity. Then a crowd is cut into chunks and each pair of chunks is a cell of its own, so no
-task holds a crowd.
+task holds a crowd. Pairs never leave their cell, as a crowd of texts that are alike but not linked has
+very many: first the cells name the nodes whose sketch agrees with another's, then they get the full
+sets of these alone, confirm the pairs and give the links that join components there, fewer than
+they have nodes. A pair that agrees in several orders is looked at in the first of them.
 
 What is missed. Two similar texts are missed only if no order has them in one crowd.
 Orders begin with different hash functions: at similarity 0.8 that is 0.36 to the power
@@ -41,7 +44,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeload.llm.components import components
@@ -62,6 +65,9 @@ HUB_ROUNDS = 3
 #: Nodes of a crowd that are compared at once with as many others.
 CHUNK = 1024
 
+#: Shingles of a chunk whose nodes come with their sets, about.
+CHUNK_SHINGLES = 1 << 20
+
 #: Sketch agreement below which a pair is no candidate, against a similarity of 0.8.
 SKETCH_SHARE = 0.64
 
@@ -222,20 +228,20 @@ def labelled(pairs: DataFrame, parts: DataFrame) -> DataFrame:
 
 
 def crowds(nodes: DataFrame, parts: DataFrame, links: DataFrame) -> DataFrame:
-    """``crowd, size, node, part, hub``: nodes of crowds that hold several components; ``hub`` has most links of its component there."""
+    """``crowd, order, size, node, part, hub``: nodes of crowds that hold several components; ``hub`` has most links of its component there."""
     step = HASHES // ORDERS * 4
     order = F.explode(F.sequence(F.lit(0), F.lit(ORDERS - 1))).alias("order")
     key = F.expr(f"substring(signature, order * {step} + 1, {CROWD_HASHES * 4})")
     degrees = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("degree"))
     placed = nodes.select("node", "signature").join(parts, "node", "left").join(degrees, "node", "left")
     placed = placed.select("node", F.coalesce("component", "node").alias("part"), F.coalesce("degree", F.lit(0)).alias("degree"), "signature", order)
-    keyed = written(placed.select(F.xxhash64("order", key).alias("crowd"), "node", "part", "degree"), "crowds")
+    keyed = written(placed.select(F.xxhash64("order", key).alias("crowd"), "order", "node", "part", "degree"), "crowds")
     several = keyed.groupBy("crowd").agg(F.count("*").alias("size"), F.min("part").alias("low"), F.max("part").alias("high")).filter("low <> high")
     several = few(written(several.select("crowd", "size"), "crowds-apart"))
     members = written(keyed.join(several, "crowd"), "crowd-members")
     most = F.max(F.struct("degree", "node")).alias("most")
     hubs = members.filter("degree > 0").groupBy("crowd", "part").agg(most).select("crowd", F.col("most.node").alias("node"), F.lit(True).alias("hub"))
-    return members.join(hubs, ["crowd", "node"], "left").select("crowd", "size", "node", "part", F.coalesce("hub", F.lit(False)).alias("hub"))
+    return members.join(hubs, ["crowd", "node"], "left").select("crowd", "order", "size", "node", "part", F.coalesce("hub", F.lit(False)).alias("hub"))
 
 
 def alike(sketch: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -244,101 +250,153 @@ def alike(sketch: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.concatenate(parts) if parts else np.empty(0)
 
 
-def meeting(only_hubs: bool, percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Rows sorted by cell -> pairs (a < b) of different components whose sketches agree.
+def fitting(part: np.ndarray, size: np.ndarray, x: np.ndarray, y: np.ndarray, percent: int) -> np.ndarray:
+    """Which pairs of ``x`` and ``y`` are apart and of sizes that allow the similarity."""
+    small, large = np.minimum(size[x, None], size[y]), np.maximum(size[x, None], size[y])
+    return (part[x, None] != part[y]) & (100 * small >= percent * large)
 
-    With ``only_hubs`` at most one for each member, the hub it agrees with most.
-    """
 
-    def arrays(cell: pa.Table) -> tuple[np.ndarray, ...]:
-        node, part, size = (cell[c].to_numpy() for c in ("node", "part", "n_shingles"))
-        return node, part, size, sketches(cell["sketch"])
-
-    def fitting(part: np.ndarray, size: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-        """Which pairs of ``x`` and ``y`` are apart and of sizes that allow the similarity."""
-        small, large = np.minimum(size[x, None], size[y]), np.maximum(size[x, None], size[y])
-        return (part[x, None] != part[y]) & (100 * small >= percent * large)
-
-    def batch_of(x: np.ndarray, y: np.ndarray, share: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)), pa.array(share.astype(np.float32))], names=["a", "b", "share"]
-        )
-
-    def proposals(cell: pa.Table) -> Iterator[pa.RecordBatch]:
-        node, part, size, sketch = arrays(cell)
-        guest = cell["hub"].to_numpy(zero_copy_only=False)
-        hubs, own = np.flatnonzero(guest), np.flatnonzero(~guest)
-        best, best_hub = np.zeros(len(own)), np.zeros(len(own), np.int64)
-        for some in np.array_split(hubs, len(hubs) // 32 + 1):
-            if not len(some) or not len(own):
-                continue
-            at, other = np.nonzero(fitting(part, size, some, own))
-            share = np.zeros((len(some), len(own)))
-            share[at, other] = alike(sketch, some[at], own[other])
-            top = share.argmax(axis=0)
-            better = share[top, np.arange(len(own))] > best
-            best = np.maximum(best, share.max(axis=0))
-            best_hub[better] = some[top[better]]
-        near = np.flatnonzero(best >= SKETCH_SHARE)
-        yield batch_of(node[own[near]], node[best_hub[near]], best[near])
-
-    def pairs(cell: pa.Table) -> Iterator[pa.RecordBatch]:
-        node, part, size, sketch = arrays(cell)
-        chunk = cell["chunk"].to_numpy()
-        across = cell["i"][0].as_py() != cell["j"][0].as_py()
-        every = np.arange(len(node))
-        for some in np.array_split(every, max(1, len(every) // 32)):
-            apart = fitting(part, size, some, every) & (node[some, None] < node)
-            if across:
-                apart &= chunk[some, None] != chunk
-            at, other = np.nonzero(apart)
-            share = alike(sketch, some[at], other)
-            near = share >= SKETCH_SHARE
-            yield batch_of(node[some[at[near]]], node[other[near]], share[near])
-
-    meet = proposals if only_hubs else pairs
+def proposals(cell: pa.Table, percent: int) -> Iterator[pa.RecordBatch]:
+    """For each member at most one pair (a < b), with the hub it agrees with most."""
+    node, part, size = (cell[c].to_numpy() for c in ("node", "part", "n_shingles"))
+    sketch, guest = sketches(cell["sketch"]), cell["hub"].to_numpy()
+    hubs, own = np.flatnonzero(guest), np.flatnonzero(~guest)
+    best, best_hub = np.zeros(len(own)), np.zeros(len(own), np.int64)
+    for some in np.array_split(hubs, len(hubs) // 32 + 1):
+        if not len(some) or not len(own):
+            continue
+        at, other = np.nonzero(fitting(part, size, some, own, percent))
+        share = np.zeros((len(some), len(own)))
+        share[at, other] = alike(sketch, some[at], own[other])
+        top = share.argmax(axis=0)
+        better = share[top, np.arange(len(own))] > best
+        best = np.maximum(best, share.max(axis=0))
+        best_hub[better] = some[top[better]]
+    near = np.flatnonzero(best >= SKETCH_SHARE)
+    x, y = node[own[near]], node[best_hub[near]]
+    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)), pa.array(best[near].astype(np.float32))], names=["a", "b", "share"])
+
+
+def alike_pairs(cell: pa.Table, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows of pairs of different components whose sketches agree, and that no earlier order has in one crowd."""
+    node, part, size, chunk = (cell[c].to_numpy() for c in ("node", "part", "n_shingles", "chunk"))
+    sketch, keys = sketches(cell["sketch"]), np.frombuffer(b"".join(cell["keys"].to_pylist()), np.uint64).reshape(-1, ORDERS)
+    order, across = cell["order"][0].as_py(), cell["i"][0].as_py() != cell["j"][0].as_py()
+    every = np.arange(len(node))
+    for some in np.array_split(every, max(1, len(every) // 32)):
+        apart = fitting(part, size, some, every, percent) & (node[some, None] < node)
+        if across:
+            apart &= chunk[some, None] != chunk
+        at, y = np.nonzero(apart)
+        near = alike(sketch, some[at], y) >= SKETCH_SHARE
+        x, y = some[at[near]], y[near]
+        first = ~(keys[x, :order] == keys[y, :order]).any(axis=1)
+        yield x[first], y[first]
+
+
+def meetings(cell: pa.Table, percent: int) -> Iterator[pa.RecordBatch]:
+    """The members that have a pair at all."""
+    found = np.zeros(cell.num_rows, bool)
+    for x, y in alike_pairs(cell, percent):
+        found[x] = found[y] = True
+    if found.any():
+        yield from cell.select(["crowd", "order", "node", "part", "n_shingles"]).take(pa.array(np.flatnonzero(found))).to_batches()
+
+
+def cell_links(cell: pa.Table, percent: int) -> Iterator[pa.RecordBatch]:
+    """Links (a < b), confirmed on the members' full sets, that join all components which links of the cell's pairs join."""
+    lists = cell["shingles"].combine_chunks()
+    sizes = lists.value_lengths().to_numpy().astype(np.int64)
+    starts = np.cumsum(sizes) - sizes
+    distinct, codes = np.unique(lists.flatten().to_numpy(), return_inverse=True)
+    node, root = cell["node"].to_numpy(), cell["part"].to_numpy().copy()
+    marked, found = np.zeros(len(distinct), np.int64), []
+    for xs, ys in alike_pairs(cell, percent):
+        for x in np.unique(xs).tolist():
+            others = ys[(xs == x) & (root[ys] != root[x])]
+            # so many at a time that their sets are bounded too
+            for y in np.array_split(others, sizes[others].sum() // CHUNK_SHINGLES + 1) if len(others) else ():
+                if not len(y):
+                    continue
+                own, ends = codes[starts[x] : starts[x] + sizes[x]], np.cumsum(sizes[y])
+                marked[own] = 1
+                places = np.arange(ends[-1]) + np.repeat(starts[y] - ends + sizes[y], sizes[y])
+                common = np.add.reduceat(marked[codes[places]], ends - sizes[y])
+                marked[own] = 0
+                for other in y[100 * common >= percent * (sizes[x] + sizes[y] - common)].tolist():
+                    if root[other] != root[x]:
+                        root[root == root[other]] = root[x]
+                        found.append((node[x], node[other]))
+    if found:
+        a, b = np.array(found, np.int64).T
+        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+
+def by_cell(meet: Callable[[pa.Table, int], Iterator[pa.RecordBatch]], percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows sorted by cell -> what ``meet`` gives for each cell."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         for batch in batches:
             if not batch.num_rows:
                 continue
-            cell = np.stack([batch.column(c).to_numpy() for c in ("crowd", "i", "j")], axis=1)
+            cell = np.stack([batch.column(batch.schema.get_field_index(c)).to_numpy() for c in ("crowd", "i", "j")], axis=1)
             cuts = [0, *(np.flatnonzero((cell[1:] != cell[:-1]).any(axis=1)) + 1), batch.num_rows]
             for start, end in zip(cuts[:-1], cuts[1:], strict=True):
                 piece = batch.slice(start, end - start)
                 if held and any(held[0][c][0] != piece[c][0] for c in ("crowd", "i", "j")):
-                    yield from meet(pa.Table.from_batches(held))
+                    yield from meet(pa.Table.from_batches(held), percent)
                     held = []
                 held.append(piece)
         if held:
-            yield from meet(pa.Table.from_batches(held))
+            yield from meet(pa.Table.from_batches(held), percent)
 
     return run
 
 
-def met(members: DataFrame, nodes: DataFrame, only_hubs: bool, percent: int) -> DataFrame:
-    """Distinct pairs of ``crowds`` between components whose sketches agree; with ``only_hubs`` those proposed to hubs.
+def in_cells(rows: DataFrame) -> DataFrame:
+    return rows.repartition("crowd", "i", "j").sortWithinPartitions("crowd", "i", "j")
 
-    Hubs visit all chunks of their crowd; for all pairs every member does.
-    """
+
+def proposed(members: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs of ``crowds`` between components that are proposed to hubs, which visit all chunks of their crowd."""
     chunks = F.ceil(F.col("size") / CHUNK)
     placed = members.withColumn("chunk", F.pmod(F.xxhash64("node"), chunks))
-    visited = F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1)).alias("other")
-    columns = ["crowd", "i", "j", "chunk", "node", "part", "hub"]
-    if only_hubs:
-        own = placed.withColumns({"i": F.col("chunk"), "j": F.col("chunk"), "hub": F.lit(False)}).select(columns)
-        visits = placed.filter("hub").select("*", visited).withColumns({"i": F.col("other"), "j": F.col("other")}).select(columns)
-        celled = own.unionByName(visits)
-    else:
-        celled = placed.select("*", visited).withColumns({"i": F.least("chunk", "other"), "j": F.greatest("chunk", "other")}).select(columns)
-    cells = celled.join(nodes.select("node", "n_shingles", "sketch"), "node").repartition("crowd", "i", "j").sortWithinPartitions("crowd", "i", "j")
-    return cells.mapInArrow(meeting(only_hubs, percent), "a long, b long, share float").groupBy("a", "b").agg(F.max("share").alias("share"))
-
-
-def shingle_sets(docs: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
-    """``node, shingles`` of the ends of ``pairs``."""
-    involved = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    columns = ["crowd", "i", "j", "node", "part", "hub"]
+    own = placed.withColumns({"i": F.col("chunk"), "j": F.col("chunk"), "hub": F.lit(False)}).select(columns)
+    visits = placed.filter("hub").select("*", F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1)).alias("i")).withColumn("j", F.col("i")).select(columns)
+    cells = in_cells(own.unionByName(visits).join(nodes.select("node", "n_shingles", "sketch"), "node"))
+    return cells.mapInArrow(by_cell(proposals, percent), "a long, b long, share float").groupBy("a", "b").agg(F.max("share").alias("share"))
+
+
+def visited(members: DataFrame, chunks: Column) -> DataFrame:
+    """Every member in the cells of its chunk with each chunk of its crowd."""
+    placed = members.withColumn("chunk", F.pmod(F.xxhash64("node"), chunks))
+    visits = placed.select("*", F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1)).alias("other"))
+    return in_cells(visits.withColumns({"i": F.least("chunk", "other"), "j": F.greatest("chunk", "other")}).drop("other"))
+
+
+def crowd_links(members: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links between components of ``crowds``: all pairs are looked at, and as many links kept in a cell as join its components."""
+    step = HASHES // ORDERS * 4
+    keys = F.concat(*[F.expr(f"substring(signature, {order * step + 1}, {CROWD_HASHES * 4})") for order in range(ORDERS)])
+    described = nodes.select("node", "n_shingles", "sketch", keys.alias("keys"))
+    cells = visited(members.drop("hub").join(described, "node"), F.ceil(F.col("size") / CHUNK))
+    met = cells.mapInArrow(by_cell(meetings, percent), "crowd long, order int, node long, part long, n_shingles long")
+    met = written(met.groupBy("crowd", "order", "node", "part").agg(F.max("n_shingles").alias("n_shingles")), "crowd-alike")
+    sizes = met.groupBy("crowd").agg(F.ceil(F.greatest(F.count("*") / CHUNK, F.sum("n_shingles") / CHUNK_SHINGLES)).alias("chunks"))
+    sets = shingle_sets(docs, met.select("node").distinct(), width)
+    full = met.drop("n_shingles").join(sizes, "crowd").join(described, "node").join(sets, "node")
+    found = visited(full, F.col("chunks")).mapInArrow(by_cell(cell_links, percent), "a long, b long")
+    return written(found.distinct(), "crowd-links")
+
+
+def ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+
+
+def shingle_sets(docs: DataFrame, involved: DataFrame, width: int) -> DataFrame:
+    """``node, shingles`` of the distinct nodes ``involved``."""
     texts = with_ids(docs.select("doc_id", "text"), written(involved, "involved"), "left_semi")
     return written(texts.select(F.col("doc_id").cast("long"), "text").mapInArrow(setting(width), "node long, shingles array<long>"), "shingle-sets")
 
@@ -364,7 +422,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     spark = docs.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     pairs = written(candidates(nodes, partitions), "candidates")
-    sets = shingle_sets(docs, pairs, width)
+    sets = shingle_sets(docs, ends(pairs), width)
 
     links = written(confirmed(likeliest(pairs), sets, percent), "first-links")
     joined = components(links)
@@ -372,17 +430,17 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     others = written(confirmed(apart, sets, percent), "other-links")
     links, seen = links.unionByName(others), pairs.select("a", "b")
     joined = written(merged(joined, others), "forest-parts")
-    fruitful = True
-    for only_hubs in [True] * HUB_ROUNDS + [False]:
-        if only_hubs and not fruitful:
-            continue
-        members = crowds(nodes, joined, links)
-        new = written(met(members, nodes, only_hubs, percent).join(seen, ["a", "b"], "left_anti").select("a", "b"), "crowd-pairs")
-        found = written(confirmed(new, shingle_sets(docs, new, width), percent), "crowd-links")
-        fruitful = not found.isEmpty()
-        if fruitful:
-            links, joined = links.unionByName(found), written(merged(joined, found), "crowd-parts")
+    for _ in range(HUB_ROUNDS):
+        new = proposed(crowds(nodes, joined, links), nodes, percent).join(seen, ["a", "b"], "left_anti")
+        new = written(new.select("a", "b"), "crowd-pairs")
+        found = written(confirmed(new, shingle_sets(docs, ends(new), width), percent), "hub-links")
+        if found.isEmpty():
+            break
+        links, joined = links.unionByName(found), written(merged(joined, found), "crowd-parts")
         seen = seen.unionByName(new)
+    found = crowd_links(crowds(nodes, joined, links), nodes, docs, width, percent)
+    if not found.isEmpty():
+        joined = written(merged(joined, found), "crowd-parts")
 
     named = nodes.select("set_hash", "n_shingles", "node").join(joined, "node", "left")
     named = named.select("set_hash", "n_shingles", F.coalesce("component", "node").alias("found"))

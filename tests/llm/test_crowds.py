@@ -45,3 +45,33 @@ def test_a_star_of_copies_is_one_component(llm, width, changed):
     docs = llm.createDataFrame(list(texts.items()), "doc_id long, text string")
     got = {r.doc_id: r.component_id for r in lsh_forest.near_duplicates(docs, width).collect()}
     assert got == want
+
+
+def test_a_crowd_of_texts_that_are_alike_but_not_linked_makes_no_row_a_pair(llm, monkeypatch):
+    draw = random.Random(7)
+    base = [f"w{draw.randrange(10**6)}" for _ in range(300)]
+
+    def changed(words, times):
+        copy = list(words)
+        for at in draw.sample(range(len(copy)), times):
+            copy[at] = f"x{draw.randrange(10**9)}"
+        return copy
+
+    words = {i: changed(base, 11) for i in range(400)}
+    words |= {1000 + i: changed(words[i], 3) for i in range(0, 400, 20)}
+    texts = {i: " ".join(some) for i, some in words.items()}
+    want, sizes = brute_force(texts, 2), {}
+
+    def counted(df, label, write=lsh_forest.written):
+        table = write(df, label)
+        sizes[label] = max(sizes.get(label, 0), table.count())
+        return table
+
+    monkeypatch.setattr(lsh_forest, "written", counted)
+    monkeypatch.setattr(lsh_forest, "CHUNK", 100)  # a crowd of several cells
+    docs = llm.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in lsh_forest.near_duplicates(docs, 2).collect()}
+    assert got == want
+    assert len(set(want.values())) > 300  # most are linked with nothing
+    # a crowd is met in 16 orders; the number of its pairs is far above that
+    assert max(n for label, n in sizes.items() if label.startswith("crowd")) <= 16 * len(texts), sizes
