@@ -2,18 +2,22 @@
 
 An event maps every status to the next one, or leaves it where the event does not
 apply. Maps of events in a row compose to one map, whatever status the first of them
-meets, so the events of a load need not be walked by one task: they are cut into
-ranges, every range is composed by itself, the few maps of a load are chained from
-its current status, and every range is then walked from the status that it starts at.
+meets, so the events of a load need not be walked by one task: events, and the
+current statuses before them, are sorted into ranges of a bounded size, and every
+range is walked once. Only its first load may have begun in an earlier range: there
+the walk keeps the map so far instead of a status. The few loads that cross ranges
+are chained from their status, which gives those events their statuses.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from lakeload.operators.ledger import STATUSES, TRANSITIONS
 from lakeload.runtime import new_run_dir
@@ -29,46 +33,46 @@ UNCHANGED = list(range(len(STATUSES)))
 ORDER = ["load_id", "at", "seq"]
 
 
-def composed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Events sorted by part and load -> one map for the events of a load in a part."""
-    current, mapped = None, UNCHANGED
-    for batch in batches:
-        done = []
-        for load_id, part, event in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-            if (load_id, part) != current:
-                if current:
-                    done.append((*current, mapped))
-                current, mapped = (load_id, part), UNCHANGED
-            step = EVENT_MAPS.get(event)
-            if step:
-                mapped = [step[status] for status in mapped]
-        yield maps(done)
-    if current:
-        yield maps([(*current, mapped)])
+#: Events and statuses of a range, about.
+RANGE_ROWS = 250_000
 
 
-def maps(rows: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*rows)) if rows else [[], [], []]
-    types = (pa.int64(), pa.int32(), pa.list_(pa.int32()))
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["load_id", "part", "map"])
+def walked(columns: list[str], schema: pa.Schema) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A sorted range -> its events with the status before each, and a row without event for how its last load ends.
 
-
-def walked(columns: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Events sorted by part and load, with the status that each part starts at -> the status before and after each."""
+    ``so_far`` takes the place of the status where the range's first load has none in it: the
+    map of its earlier events here.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, status = None, None
+        begun, current, part, status, mapped, place = False, None, None, None, None, 0
         for batch in batches:
-            before, after = [], []
-            for load_id, part, event, entry in zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("load_id", "part", "event", "entry")), strict=True):
-                if (load_id, part) != current:
-                    current, status = (load_id, part), entry
-                following = TRANSITIONS.get((status, event))
-                before.append(status)
-                after.append(following)
-                status = following or status
-            kept = [batch.column(batch.schema.get_field_index(c)) for c in columns]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(before, pa.string()), pa.array(after, pa.string())], [*columns, "status", "next_status"])
+            names = batch.schema.names
+            kept, found, maps = [], [], []
+            rows = zip(*(batch.column(names.index(c)).to_pylist() for c in ("load_id", "part", "kind", "event", "status")), strict=True)
+            for i, (load_id, part, kind, event, given) in enumerate(rows):
+                if not begun or load_id != current:
+                    current, status, mapped = load_id, None, None if begun else UNCHANGED
+                    begun = True
+                if not kind:
+                    status, mapped = given, None
+                    continue
+                kept.append(i)
+                found.append(status)
+                maps.append(mapped)
+                if mapped is None:
+                    status = TRANSITIONS.get((status, event), status)
+                elif event in EVENT_MAPS:
+                    step = EVENT_MAPS[event]
+                    mapped = [step[state] for state in mapped]
+            taken = batch.take(pa.array(kept, pa.int64()))
+            numbers = pa.array(range(place, place + len(kept)), pa.int64())
+            place += len(kept)
+            values = [*(taken.column(names.index(c)) for c in columns), taken.column(names.index("part")), pa.array([True] * len(kept), pa.bool_()), numbers, found, maps]
+            yield pa.RecordBatch.from_arrays([pa.array(v, f.type) if isinstance(v, list) else v.cast(f.type) for v, f in zip(values, schema, strict=True)], schema=schema)
+        if begun:
+            last = dict.fromkeys(schema.names) | {"load_id": current, "part": part, "is_event": False, "place": place, "status": status, "so_far": mapped}
+            yield pa.RecordBatch.from_pylist([last], schema=schema)
 
     return run
 
@@ -76,46 +80,58 @@ def walked(columns: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[
 def fold_events(current: DataFrame, events: DataFrame) -> DataFrame:
     """Apply all events of every load, in the order of ``at`` and ``seq``: the events with ``status`` and ``next_status``.
 
-    ``current`` holds ``load_id, status``; ``events`` ``load_id, event, at, seq``. An event
+    ``current`` holds ``load_id, status``, one row a load; ``events`` ``load_id, event, at, seq``. An event
     that does not apply has NULL for ``next_status`` and changes nothing, as has every
     event of a load without a status; :func:`ledger.accepted` and :func:`ledger.rejected`
     split them. Events that are equal in ``at`` and ``seq`` are taken in the order of
-    their names. Loads without events have no rows.
+    their names. Loads without events have no rows. ``place`` numbers the events of a load in their order.
     """
     spark = events.sparkSession
-    ranged = events.select("load_id", "event", "at", "seq").repartitionByRange(*ORDER, "event").withColumn("part", F.spark_partition_id())
+    columns = ["load_id", "event", "at", "seq"]
+    types = {f.name: f.dataType for f in events.select(*columns).schema.fields}
+    statuses = current.where("load_id is not null").select(
+        F.col("load_id").cast(types["load_id"]), *[F.lit(None).cast(types[c]).alias(c) for c in columns[1:]], F.lit(0).alias("kind"), "status"
+    )
+    both = statuses.unionByName(events.select(*columns, F.lit(1).alias("kind"), F.lit(None).cast("string").alias("status")))
+    # an explicit number, which adaptive execution keeps: a task's range does not grow with the input
+    ranges = max(2 * spark.sparkContext.defaultParallelism, math.ceil(both.count() / RANGE_ROWS))
+    order = ["load_id", "kind", *ORDER[1:], "event"]
+    ranged = both.repartitionByRange(ranges, *order).sortWithinPartitions(*order).withColumn("part", F.spark_partition_id())
+
+    kinds = ", ".join(f"`{c}` {types[c].simpleString()}" for c in columns)
+    kinds = f"{kinds}, part int, is_event boolean, place long, status string, so_far array<int>"
+    schema = to_arrow_schema(spark.createDataFrame([], kinds).schema)
     path = new_run_dir(spark, "events")
-    ranged.write.parquet(path)  # the ranges are drawn once
-    cut = spark.read.schema(ranged.schema).parquet(path)
+    ranged.mapInArrow(walked(columns, schema), kinds).write.parquet(path)  # the ranges are drawn once
+    cut = spark.read.schema(kinds).parquet(path)
 
-    def in_parts(df: DataFrame) -> DataFrame:
-        # The events of a load in a part are bounded by the part, also where a load has most of all events.
-        return df.repartition("part", "load_id").sortWithinPartitions("part", *ORDER, "event")
-
-    parts = in_parts(cut).select("load_id", "part", "event").mapInArrow(composed, "load_id long, part int, map array<int>")
-    # A load has as many maps as there are ranges at most.
-    chains = parts.groupBy("load_id").agg(F.array_sort(F.collect_list(F.struct("part", "map"))).alias("maps"))
     names = F.array(*[F.lit(status) for status in STATUSES])
-    place = F.coalesce(F.array_position(names, F.col("status")), F.lit(0)).cast("int")
-    known = chains.join(current.select("load_id", "status"), "load_id", "left").select("load_id", "maps", "status", place.alias("place"), F.greatest(place - 1, F.lit(0)).alias("first"))
-    states = F.expr("aggregate(maps, array(first), (found, m) -> array_append(found, element_at(m.map, element_at(found, -1) + 1)))")
-    entries = known.select("load_id", "status", "place", F.explode(F.arrays_zip(F.col("maps.part").alias("part"), F.slice(states, 1, F.size("maps")).alias("entry"))).alias("x"))
-    # A status that is none of the automaton's stays as it is.
-    entry = F.when(F.col("place") > 0, F.element_at(names, F.col("x.entry") + 1)).otherwise(F.col("status"))
-    entered = entries.select("load_id", F.col("x.part").alias("part"), entry.alias("entry"))
-    columns = ["load_id", "event", "at", "seq"]
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ranged.select(*columns).schema.fields)
-    joined = in_parts(cut.join(entered, ["load_id", "part"], "left"))
-    return joined.mapInArrow(walked(columns), f"{kinds}, status string, next_status string")
+    # A row a range; a load is chained from the range that holds its status. A status that is none of the automaton's stays as it is.
+    chains = cut.where("not is_event").groupBy("load_id").agg(F.array_sort(F.collect_list(F.struct("part", "status", "so_far"))).alias("ends"))
+    moved = "try_element_at(names, try_element_at(e.so_far, nullif(cast(array_position(names, found) as int), 0)) + 1)"
+    after = f"if(e.so_far is null, e.status, coalesce({moved}, found))"
+    chained = chains.withColumn("names", names).select("load_id", "ends", F.expr(f"transform(sequence(1, size(ends)), n -> aggregate(slice(ends, 1, n), cast(null as string), (found, e) -> {after}))").alias("after"))
+    entered = chained.select("load_id", F.explode(F.arrays_zip(F.col("ends.part").alias("part"), "after")).alias("x"))
+    # The next range follows the one that the load ends (a range holds its upper bound, so none between is empty): a row a range at most.
+    entries = entered.select("load_id", (F.col("x.part") + 1).alias("part"), F.col("x.after").alias("entry"))
+    joined = cut.where("is_event").join(F.broadcast(entries), ["load_id", "part"], "left")
+    state = F.expr("try_element_at(so_far, nullif(cast(array_position(__names, entry) as int), 0))") + 1
+    status = F.when(F.col("so_far").isNull(), F.col("status")).otherwise(F.coalesce(F.try_element_at("__names", state), "entry"))
+    rules = F.create_map(*[x for (before, event), following in TRANSITIONS.items() for x in (F.lit(f"{before} {event}"), F.lit(following))])
+    found = joined.withColumn("__names", names).withColumn("status", status)
+    found = found.withColumn("next_status", F.try_element_at(rules, F.concat("status", F.lit(" "), "event")))
+    return found.select(*columns, "status", "next_status", (F.col("part").cast("long") * (1 << 40) + F.col("place")).alias("place"))
 
 
 def folded_status(current: DataFrame, folded: DataFrame) -> DataFrame:
     """``load_id, status, applied, rejected`` of every load after its events."""
-    order = F.struct("at", "seq", "event")
+    # Statuses as numbers are folded without a sort; one that is none of the automaton's never changes.
+    names = F.array(*[F.lit(status) for status in STATUSES])
     last = folded.groupBy("load_id").agg(
-        F.max_by(F.coalesce("next_status", "status"), order).alias("last"),
+        F.max_by(F.array_position(names, F.coalesce("next_status", "status")), "place").alias("number"),
         F.count("next_status").alias("applied"),
         (F.count("*") - F.count("next_status")).alias("rejected"),
     )
+    last = last.select("load_id", F.try_element_at(names, F.nullif(F.col("number").cast("int"), F.lit(0))).alias("last"), "applied", "rejected")
     joined = current.select("load_id", "status").join(last, "load_id", "left")
     return joined.select("load_id", F.coalesce("last", "status").alias("status"), *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("applied", "rejected")])

@@ -562,3 +562,21 @@ def test_a_lookup_that_is_not_small_is_never_broadcast(spark):
     found = manifest.load_manifest_columns(spark.createDataFrame([(1, "ods/a.csv.gz")], "id long, s3_key string"), sidecars)
     assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
     assert found.first()["manifest_columns"] == ["a"]
+
+
+@pytest.mark.parametrize("rows", [7, 250_000])
+def test_events_of_one_load_cross_ranges(spark, monkeypatch, rows):
+    monkeypatch.setattr(status_fold, "RANGE_ROWS", rows)  # 7: far more ranges than tasks, of a few rows
+    rng = random.Random(9)
+    names = sorted(status_fold.EVENT_MAPS)
+    events = [(rng.choice([1, 1, 1, 2, 3, 4, None]), rng.choice(names), i // 3, i) for i in range(900)]
+    df = spark.createDataFrame(events, "load_id bigint, event string, at bigint, seq bigint").repartition(3).withColumn("at", F.timestamp_seconds("at"))
+    current = spark.createDataFrame([(1, "ready"), (2, "no status of ours"), (3, None), (6, "ready")], "load_id bigint, status string")
+    folded = status_fold.fold_events(current, df)
+    got = {}
+    for row in folded.collect():
+        got.setdefault(row["load_id"], []).append((row["seq"], row["event"], row["status"], row["next_status"]))
+    for load, status in ((1, "ready"), (2, "no status of ours"), (3, None), (4, None), (None, None)):
+        assert sorted(got[load]) == walked(status, [(a, s, e) for i, e, a, s in events if i == load])[0]
+    if rows == 7:  # the hot load alone is spread over many ranges
+        assert max(r["count"] for r in folded.groupBy(F.shiftright("place", 40)).count().collect()) < 50
