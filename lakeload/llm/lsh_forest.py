@@ -8,10 +8,12 @@ nearest nodes on either side of an order whose prefixes agree in one minimum at
 least. How deep they agree adapts to the region: among few alike the neighbours
 reach down to one common minimum, in a crowded region they agree in many. A
 candidate is dropped if its sketches (four bits of each minimum) agree in less than 0.64
-of their places: at a similarity of 0.8 that is five standard deviations away.
+of their places: at a similarity of 0.8 that is five standard deviations away. Of candidates
+that a crowd (below) looks at as well, a stretch of an order gives those alone that join its nodes
+in a tree, the likeliest first: fewer than it has nodes, whatever the crowd's size.
 
-Candidates are confirmed on full shingle sets, in two rounds: first the likeliest
-candidate of each node; then, of all others, those between nodes that are not yet
+Candidates are confirmed on the full shingle sets of their texts, in two rounds: first the
+likeliest candidate of each node; then, of all others, those between nodes that are not yet
 in one component. What is left unconfirmed could not change a component.
 
 Crowds. In a crowded region the nearest nodes are not all: a text with many copies
@@ -139,6 +141,29 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(signing(width), SIGNATURES)
 
 
+def spanning(a: np.ndarray, b: np.ndarray, share: np.ndarray) -> np.ndarray:
+    """Places of the pairs, the largest share first, that join the same nodes as all pairs do, without a ring."""
+    ranked = np.lexsort((b, a, -share))
+    _, ends = np.unique(np.r_[a[ranked], b[ranked]], return_inverse=True)
+    root, kept = np.arange(ends.max(initial=-1) + 1), np.zeros(len(a), bool)
+    x, y = ends.reshape(2, -1)
+    at = np.arange(len(a))
+    while len(at):
+        # the best pair of each tree leads to another one; where two lead to each other, one is the root
+        tree, first = np.unique(np.stack([root[x[at]], root[y[at]]], axis=1), return_index=True)
+        best = at[first // 2]
+        kept[best] = True
+        to = np.arange(len(root))
+        to[tree] = root[x[best]] + root[y[best]] - tree
+        both = to[to[tree]] == tree
+        to[tree[both]] = np.minimum(tree[both], to[tree[both]])
+        while (to[to] != to).any():
+            to = to[to]
+        root = to[root]
+        at = at[root[x[at]] != root[y[at]]]
+    return ranked[kept]
+
+
 def neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by order and key -> candidate pairs (a < b) with their sketch agreement."""
 
@@ -162,8 +187,12 @@ def neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             near = np.flatnonzero((reach >= depth[:-k]) | crowded | ((reach > 0) & (k == 1)))
             share = (sketch[near] == sketch[near + k]).mean(axis=1) if len(near) else np.empty(0)
             near, share = near[share >= SKETCH_SHARE], share[share >= SKETCH_SHARE]
-            found.append((np.minimum(node[near], node[near + k]), np.maximum(node[near], node[near + k]), share))
-        a, b, share = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))
+            found.append((np.minimum(node[near], node[near + k]), np.maximum(node[near], node[near + k]), share, reach[near] >= CROWD_HASHES))
+        none = np.empty(0, np.int64)
+        a, b, share, crowded = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (none, none, np.empty(0), none.astype(bool))
+        in_crowd = np.flatnonzero(crowded)
+        given = np.r_[np.flatnonzero(~crowded), in_crowd[spanning(a[in_crowd], b[in_crowd], share[in_crowd])]]
+        a, b, share = a[given], b[given], share[given]
         return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(share.astype(np.float32))], names=["a", "b", "share"])
 
     def arrays(parts: list[pa.RecordBatch]) -> tuple[np.ndarray, ...]:
@@ -204,13 +233,36 @@ def setting(width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
     return run
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose sets are similar enough. Only a node that links a crowd has many pairs; adaptive execution splits those."""
-    a, b = sets.toDF("a", "set_a"), sets.toDF("b", "set_b")
-    common = F.size(F.array_intersect("set_a", "set_b"))
-    union = F.size("set_a") + F.size("set_b") - F.col("common")
-    both = pairs.join(a, "a").join(b, "b").withColumn("common", common)
-    return both.filter(100 * F.col("common") >= percent * union).select(*pairs.columns)
+def linking(width: int, percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Pairs with their texts -> the pairs whose shingle sets share ``percent`` of their union."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            linked, last, held = [], None, None
+            # by one of their ends, so that its set is made once
+            for at in np.lexsort((a, b)).tolist():
+                text = batch.column(3)[at].as_py()
+                if last != (b[at], text):
+                    last, held = (b[at], text), shingle_set(text, width)
+                other = shingle_set(batch.column(2)[at].as_py(), width)
+                common = len(np.intersect1d(other, held, assume_unique=True))
+                if 100 * common >= percent * (len(other) + len(held) - common):
+                    linked.append(at)
+            yield pa.RecordBatch.from_arrays([pa.array(a[linked], pa.int64()), pa.array(b[linked], pa.int64())], names=["a", "b"])
+
+    return run
+
+
+def confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sets are similar enough.
+
+    Texts are less to shuffle than their sets. Only a node that links a crowd has many
+    pairs; adaptive execution splits those.
+    """
+    a, b = texts.toDF("a", "text_a"), texts.toDF("b", "text_b")
+    both = pairs.select("a", "b").join(a, "a").join(b, "b").select("a", "b", "text_a", "text_b")
+    return both.mapInArrow(linking(width, percent), "a long, b long")
 
 
 def likeliest(pairs: DataFrame) -> DataFrame:
@@ -227,17 +279,24 @@ def labelled(pairs: DataFrame, parts: DataFrame) -> DataFrame:
     return joined.select("a", "b", F.coalesce("part_a", "a").alias("part_a"), F.coalesce("part_b", "b").alias("part_b"))
 
 
-def crowds(nodes: DataFrame, parts: DataFrame, links: DataFrame) -> DataFrame:
-    """``crowd, order, size, node, part, hub``: nodes of crowds that hold several components; ``hub`` has most links of its component there."""
+def crowd_places(nodes: DataFrame) -> DataFrame:
+    """``crowd, order, size, node``: the crowds of two nodes or more."""
     step = HASHES // ORDERS * 4
     order = F.explode(F.sequence(F.lit(0), F.lit(ORDERS - 1))).alias("order")
     key = F.expr(f"substring(signature, order * {step} + 1, {CROWD_HASHES * 4})")
+    keyed = written(nodes.select("node", "signature", order).select(F.xxhash64("order", key).alias("crowd"), "order", "node"), "crowd-keys")
+    shared = few(written(keyed.groupBy("crowd").agg(F.count("*").alias("size")).filter("size > 1"), "crowd-sizes"))
+    return written(keyed.join(shared, "crowd").select("crowd", "order", "size", "node"), "crowd-places")
+
+
+def crowds(places: DataFrame, parts: DataFrame, links: DataFrame) -> DataFrame:
+    """``crowd, order, size, node, part, hub``: nodes of crowds that hold several components; ``hub`` has most links of its component there."""
     degrees = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("degree"))
-    placed = nodes.select("node", "signature").join(parts, "node", "left").join(degrees, "node", "left")
-    placed = placed.select("node", F.coalesce("component", "node").alias("part"), F.coalesce("degree", F.lit(0)).alias("degree"), "signature", order)
-    keyed = written(placed.select(F.xxhash64("order", key).alias("crowd"), "order", "node", "part", "degree"), "crowds")
-    several = keyed.groupBy("crowd").agg(F.count("*").alias("size"), F.min("part").alias("low"), F.max("part").alias("high")).filter("low <> high")
-    several = few(written(several.select("crowd", "size"), "crowds-apart"))
+    placed = places.join(parts, "node", "left").join(degrees, "node", "left")
+    placed = placed.select("crowd", "order", "size", "node", F.coalesce("component", "node").alias("part"), F.coalesce("degree", F.lit(0)).alias("degree"))
+    keyed = written(placed, "crowds")
+    several = keyed.groupBy("crowd").agg(F.min("part").alias("low"), F.max("part").alias("high")).filter("low <> high")
+    several = few(written(several.select("crowd"), "crowds-apart"))
     members = written(keyed.join(several, "crowd"), "crowd-members")
     most = F.max(F.struct("degree", "node")).alias("most")
     hubs = members.filter("degree > 0").groupBy("crowd", "part").agg(most).select("crowd", F.col("most.node").alias("node"), F.lit(True).alias("hub"))
@@ -395,10 +454,15 @@ def ends(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
 
 
+def texts_of(docs: DataFrame, involved: DataFrame) -> DataFrame:
+    """``node, text`` of the distinct nodes ``involved``."""
+    texts = with_ids(docs.select("doc_id", "text"), written(involved, "involved"), "left_semi")
+    return written(texts.select(F.col("doc_id").cast("long").alias("node"), "text"), "texts")
+
+
 def shingle_sets(docs: DataFrame, involved: DataFrame, width: int) -> DataFrame:
     """``node, shingles`` of the distinct nodes ``involved``."""
-    texts = with_ids(docs.select("doc_id", "text"), written(involved, "involved"), "left_semi")
-    return written(texts.select(F.col("doc_id").cast("long"), "text").mapInArrow(setting(width), "node long, shingles array<long>"), "shingle-sets")
+    return written(texts_of(docs, involved).mapInArrow(setting(width), "node long, shingles array<long>"), "shingle-sets")
 
 
 def merged(parts: DataFrame, links: DataFrame) -> DataFrame:
@@ -422,23 +486,24 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     spark = docs.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     pairs = written(candidates(nodes, partitions), "candidates")
-    sets = shingle_sets(docs, ends(pairs), width)
+    texts = texts_of(docs, ends(pairs))
 
-    links = written(confirmed(likeliest(pairs), sets, percent), "first-links")
+    links = written(confirmed(likeliest(pairs), texts, width, percent), "first-links")
     joined = components(links)
     apart = labelled(pairs, joined).filter(F.col("part_a") != F.col("part_b")).select("a", "b")
-    others = written(confirmed(apart, sets, percent), "other-links")
+    others = written(confirmed(apart, texts, width, percent), "other-links")
     links, seen = links.unionByName(others), pairs.select("a", "b")
     joined = written(merged(joined, others), "forest-parts")
+    places = crowd_places(nodes)
     for _ in range(HUB_ROUNDS):
-        new = proposed(crowds(nodes, joined, links), nodes, percent).join(seen, ["a", "b"], "left_anti")
+        new = proposed(crowds(places, joined, links), nodes, percent).join(seen, ["a", "b"], "left_anti")
         new = written(new.select("a", "b"), "crowd-pairs")
-        found = written(confirmed(new, shingle_sets(docs, ends(new), width), percent), "hub-links")
+        found = written(confirmed(new, texts_of(docs, ends(new)), width, percent), "hub-links")
         if found.isEmpty():
             break
         links, joined = links.unionByName(found), written(merged(joined, found), "crowd-parts")
         seen = seen.unionByName(new)
-    found = crowd_links(crowds(nodes, joined, links), nodes, docs, width, percent)
+    found = crowd_links(crowds(places, joined, links), nodes, docs, width, percent)
     if not found.isEmpty():
         joined = written(merged(joined, found), "crowd-parts")
 

@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 
 from lakeload.llm import lsh_forest
@@ -75,3 +76,30 @@ def test_a_crowd_of_texts_that_are_alike_but_not_linked_makes_no_row_a_pair(llm,
     assert len(set(want.values())) > 300  # most are linked with nothing
     # a crowd is met in 16 orders; the number of its pairs is far above that
     assert max(n for label, n in sizes.items() if label.startswith("crowd")) <= 16 * len(texts), sizes
+
+
+def test_candidates_of_a_crowd_grow_with_its_nodes(llm):
+    draw, words = random.Random(3), [f"w{i}" for i in range(300)]
+    texts = [" ".join([*words[:at], f"x{i}", *words[at + 1 :]]) for i, at in ((i, draw.randrange(300)) for i in range(600))]
+    docs = llm.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    nodes = lsh_forest.signatures(docs, 2).withColumnRenamed("doc_id", "node")
+    pairs = lsh_forest.candidates(nodes, 4).collect()
+    assert len(pairs) <= lsh_forest.ORDERS * len(texts)
+    assert {end for r in pairs for end in (r.a, r.b)} == set(range(len(texts)))
+
+
+def test_spanning_pairs_join_what_all_pairs_join():
+    draw = np.random.default_rng(5)
+    for size in (0, 1, 40, 400):
+        a, b = draw.integers(0, 60, size), draw.integers(60, 120, size)
+        kept = lsh_forest.spanning(a, b, draw.integers(82, 90, size) / 128)
+
+        def joined(some, a=a, b=b):
+            part = np.arange(120)
+            for x, y in zip(a[some], b[some], strict=True):
+                part[part == part[y]] = part[x]
+            return part
+
+        whole = joined(np.arange(size))
+        assert (joined(kept)[:, None] == joined(kept)).tolist() == (whole[:, None] == whole).tolist()
+        assert len(kept) == 120 - len(set(whole.tolist()))
