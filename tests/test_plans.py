@@ -12,6 +12,7 @@ from lakeload.operators.relocate import relocate
 from lakeload.operators.routing import Layout
 from lakeload.plans.feed_sync import run_feed_sync
 from lakeload.plans.load_pass import Limits, advance, land_routed, run_load_pass
+from conformance.files import deliver
 from lakeload.plans.relocation_pass import run_relocation_pass
 from lakeload.plans.store import LedgerStore
 from lakeload.sources.listing import list_objects, stream_objects
@@ -377,3 +378,17 @@ def test_bodies_of_a_feed_are_parsed_once_and_by_many_tasks(zone):
     assert fetched.count() == 200 and zone.store.read("datasets").count() == 1
     assert "from_json" not in fetched._jdf.queryExecution().optimizedPlan().toString()
     assert len({r[0] for r in fetched.select(F.col("_metadata.file_path")).collect()}) > 1
+
+
+def test_objects_are_written_by_all_tasks(spark, tmp_path):
+    files = spark.createDataFrame([(f"ods/T1/{i}.csv.gz", "a,b") for i in range(40)], "s3_key string, body string").coalesce(1)
+    context = spark.sparkContext
+    context.setJobGroup("deliver-test", "deliver")
+    try:
+        deliver(files, str(tmp_path))
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    tracker = context.statusTracker()
+    stages = [tracker.getStageInfo(s) for job in tracker.getJobIdsForGroup("deliver-test") for s in tracker.getJobInfo(job).stageIds]
+    assert max(stage.numTasks for stage in stages if stage) == 2 * context.defaultParallelism
+    assert len(list(tmp_path.glob("ods/T1/*.csv.gz"))) == 40
