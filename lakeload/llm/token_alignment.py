@@ -21,6 +21,7 @@ from __future__ import annotations
 from array import array
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +39,9 @@ REMEMBERED_TOKENS = 4_000_000
 #: A pair of ids as one number: the first id times this, plus the second.
 PAIR_BASE = 1 << 32
 
+#: In the key of a window the ids of the second vocabulary follow those of the first, with this bit set.
+SECOND = 1 << 30
+
 ALIGNED = "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups string, pairs array<long>, links array<long>"
 
 
@@ -59,22 +63,24 @@ class Windows:
         self.clear()
 
     def clear(self) -> None:
-        self.numbers: dict[tuple[bytes, bytes], int] = {}
+        self.numbers: dict[bytes, int] = {}
         self.texts: list[str] = []
         self.held_tokens = 0
         # By window: groups, links, and where its pairs end; by place: pair, and links of it.
         self.n_groups, self.n_links, self.pair_ends = array("q"), array("q"), array("q", [0])
         self.pairs, self.pair_links = array("q"), array("q")
 
-    def add(self, keys: list[tuple[bytes, bytes]]) -> None:
+    def add(self, keys: list[bytes]) -> None:
         """Walk new windows side by side, and number them.
 
         A pair of tokens overlaps in one stretch of bytes, so the ends of all tokens
         cut a window into one stretch for each link.
         """
-        a, b = (np.frombuffer(b"".join([key[side] for key in keys]), "<i4").astype(np.int64) for side in (0, 1))
+        ids, sizes = np.frombuffer(b"".join(keys), "<i4").astype(np.int64), np.fromiter(map(len, keys), np.int64, len(keys)) // 4
+        second = ids >= SECOND
+        a, b = ids[~second], ids[second] - SECOND
         a_ends, b_ends = np.cumsum(self.a_length[a]), np.cumsum(self.b_length[b])
-        window_ends = a_ends[np.cumsum([len(key[0]) // 4 for key in keys]) - 1]
+        window_ends = a_ends[np.cumsum(np.bincount(np.repeat(np.arange(len(keys)), sizes)[~second], minlength=len(keys))) - 1]
 
         stretches = np.union1d(a_ends, b_ends)
         pairs = a[np.searchsorted(a_ends, stretches)] * PAIR_BASE + b[np.searchsorted(b_ends, stretches)]
@@ -123,18 +129,26 @@ class Aligner:
         self.a_spaced, self.b_spaced = (np.array([x[:1] == b" " for x in some]) for some in (self.a_bytes, self.b_bytes))
         self.windows = Windows(self.a_length, self.b_length)
 
-    def window_keys(self, text: str, a_ids: bytes, b_ids: bytes) -> list[tuple[bytes, bytes]]:
-        """The windows of a text as their ids in both vocabularies; none if the tokens do not join to it."""
-        a, b = np.frombuffer(a_ids, "<i4"), np.frombuffer(b_ids, "<i4")
-        whole = f" {text}".encode()
-        if b"".join(map(self.a_bytes.__getitem__, a.tolist())) != whole or b"".join(map(self.b_bytes.__getitem__, b.tolist())) != whole:
-            return []
-        a_ends, b_ends = np.cumsum(self.a_length[a]), np.cumsum(self.b_length[b])
-        a_anchors, b_anchors = a_ends[:-1][self.a_spaced[a[1:]]], b_ends[:-1][self.b_spaced[b[1:]]]
-        shared = np.intersect1d(a_anchors, b_anchors, assume_unique=True)
-        a_cuts = [0, *(4 * np.searchsorted(a_ends, shared) + 4).tolist(), len(a_ids)]
-        b_cuts = [0, *(4 * np.searchsorted(b_ends, shared) + 4).tolist(), len(b_ids)]
-        return [(a_ids[i:k], b_ids[j:m]) for i, k, j, m in zip(a_cuts, a_cuts[1:], b_cuts, b_cuts[1:])]
+    def joined(self, text: str, a_ids: bytes, b_ids: bytes) -> bool:
+        """Whether the tokens of both vocabularies join to a space and the text."""
+        a, b, whole = np.frombuffer(a_ids, "<i4"), np.frombuffer(b_ids, "<i4"), f" {text}".encode()
+        return b"".join(map(self.a_bytes.__getitem__, a.tolist())) == whole and b"".join(map(self.b_bytes.__getitem__, b.tolist())) == whole
+
+    def window_keys(self, a: np.ndarray, b: np.ndarray, a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[list[bytes], np.ndarray]:
+        """The windows of texts one after the other, as keys, and their first tokens in the first vocabulary.
+
+        Every text begins with a space, so where one ends is an anchor.
+        """
+        a_last, b_last = (np.flatnonzero(np.r_[spaced[ids[1:]], True]) for ids, spaced in ((a, self.a_spaced), (b, self.b_spaced)))
+        at_a, at_b = (np.zeros(a_ends[-1] + 1, bool) for _ in range(2))
+        at_a[a_ends[a_last]], at_b[b_ends[b_last]] = True, True
+        a_stops, b_stops = a_last[at_b[a_ends[a_last]]] + 1, b_last[at_a[b_ends[b_last]]] + 1
+        a_starts, b_starts = np.r_[0, a_stops[:-1]], np.r_[0, b_stops[:-1]]
+        ids = np.empty(len(a) + len(b), "<i4")
+        ids[np.arange(len(a)) + np.repeat(b_starts, a_stops - a_starts)] = a
+        ids[np.arange(len(b)) + np.repeat(a_stops, b_stops - b_starts)] = b + SECOND
+        packed, stops = ids.tobytes(), (4 * (a_stops + b_stops)).tolist()
+        return [packed[i:j] for i, j in zip([0, *stops], stops)], a_starts
 
     def align(self, doc_ids: pa.Array, texts: list[str]) -> pa.RecordBatch:
         """Alignments of a few texts."""
@@ -143,15 +157,23 @@ class Aligner:
             held.clear()
         b_ids = self.b_tokens.encode(texts)
         a_ids = [self.a_tokens.packed(f" {text}") if text else b"" for text in texts]
-        keys = [self.window_keys(text, a, b) if text else [] for text, a, b in zip(texts, a_ids, b_ids)]
-        new = list(dict.fromkeys(key for some in keys for key in some if key not in held.numbers))
-        if new:
-            held.add(new)
-        numbers = [list(map(held.numbers.__getitem__, some)) for some in keys]
+        whole = [bool(text) and self.joined(text, a, b) for text, a, b in zip(texts, a_ids, b_ids)]
+        filled = np.array(whole, np.int64)
+        lengths = [np.array([len(x) // 4 for x in ids], np.int64) * filled for ids in (a_ids, b_ids)]
+        docs, windows = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        if any(whole):
+            a, b = (np.frombuffer(b"".join([x for x, some in zip(ids, whole) if some]), "<i4") for ids in (a_ids, b_ids))
+            keys, starts = self.window_keys(a, b, np.cumsum(self.a_length[a]), np.cumsum(self.b_length[b]))
+            docs = np.searchsorted(np.cumsum(lengths[0]), starts, "right")
+            windows = np.fromiter(map(held.numbers.get, keys, repeat(-1)), np.int64, len(keys))
+            missing = np.flatnonzero(windows < 0).tolist()
+            if missing:
+                new = [keys[i] for i in missing]
+                held.add(list(dict.fromkeys(new)))
+                windows[missing] = list(map(held.numbers.__getitem__, new))
         groups, links, ends, pairs, pair_links = held.arrays()
-        n_windows = np.array([len(some) for some in numbers], np.int64)
-        filled = (n_windows > 0).astype(np.int64)
-        docs, windows = np.repeat(np.arange(len(texts)), n_windows), np.array([w for some in numbers for w in some], np.int64)
+        shown = list(map(held.texts.__getitem__, windows.tolist()))
+        cuts = [0, *np.cumsum(np.bincount(docs, minlength=len(texts))).tolist()]
         # (document, window) with its number of times, then (document, pair) with its number of links
         both, times = np.unique(docs * max(len(groups), 1) + windows, return_counts=True)
         doc, window = np.divmod(both, max(len(groups), 1))
@@ -163,12 +185,11 @@ class Aligner:
         doc, pair = np.divmod(both, max(len(distinct), 1))
         offsets = np.r_[0, np.cumsum(np.bincount(doc, minlength=len(texts)))].astype("int32")
         total = [np.bincount(docs, x[windows], len(texts)).astype(np.int64) if len(docs) else filled for x in (groups, links)]
-        lengths = [np.array([len(x) // 4 for x in ids], np.int64) * filled for ids in (a_ids, b_ids)]
         return pa.RecordBatch.from_arrays(
             [
                 doc_ids,
                 *(pa.array(x) for x in (*lengths, *total)),
-                pa.array([";".join(map(held.texts.__getitem__, some)) for some in numbers], pa.string()),
+                pa.array([";".join(shown[i:j]) for i, j in zip(cuts, cuts[1:])], pa.string()),
                 *(pa.ListArray.from_arrays(pa.array(offsets), pa.array(x)) for x in (distinct[pair], counts)),
             ],
             names=[field.split(" ")[0] for field in ALIGNED.split(", ")],

@@ -12,8 +12,7 @@ import os
 import re
 import unicodedata
 from functools import lru_cache
-
-import numpy as np
+from struct import pack
 
 #: Distinct pre-tokens of one generation. A Python worker remembers two: words met again move on to the next one.
 REMEMBERED = 300_000
@@ -66,7 +65,7 @@ class TextTokens:
         self.earlier: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        return [np.asarray(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [pack(f"<{len(e)}I", *e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def packed(self, text: str) -> bytes:
         if self.pattern is None or self.beyond.search(text) or (self.names and self.names.search(text)):

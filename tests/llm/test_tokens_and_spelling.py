@@ -231,3 +231,17 @@ def test_odd_alignments(odd_docs, no_docs, aligner, llm):
     check_alignment(llm, [(r["doc_id"], r["text"]) for r in odd_docs.collect()], aligner)
     assert token_alignment.align_documents(odd_docs).count() == 9
     assert token_alignment.align_documents(no_docs).count() == 0
+
+
+def test_a_batch_is_cut_into_windows_at_once(aligner, monkeypatch):
+    """One pass for all texts of a batch, also around those whose tokens do not join to them."""
+    texts = ["one two  three", "", "a▁b", "Ünï \n x", " lead", *random_texts(7, 40)]
+    calls = []
+    cut = aligner.window_keys
+    monkeypatch.setattr(aligner, "window_keys", lambda *args: calls.append(1) or cut(*args))
+    rows = aligner.align(token_alignment.pa.array(range(len(texts)), token_alignment.pa.int64()), texts).to_pylist()
+    assert len(calls) == 1
+    for row, text in zip(rows, texts):
+        want = plain_alignment(aligner, text)
+        assert (row["n_a"], row["n_b"], row["n_groups"], row["n_links"], row["groups"]) == want[:5]
+        assert {divmod(p, token_alignment.PAIR_BASE): n for p, n in zip(row["pairs"], row["links"])} == dict(want[5])
