@@ -29,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakeload.llm.scratch import free_worker
+
 WINDOW = 10
 
 #: Words of all windows that are sent to the tasks at once: about 100 MB there.
@@ -77,6 +79,7 @@ def counting(wanted: frozenset[bytes]) -> Callable[[Iterator[pa.RecordBatch]], I
     """Occurrences of the wanted words, a row per word and task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        free_worker()
         counts = dict.fromkeys(wanted, 0)
         for batch in batches:
             for text in batch.column(0).to_pylist():
@@ -100,6 +103,7 @@ def rarest_places(windows: dict[Window, set[int]], counts: dict[bytes, int]) ->
 
 def matching(shared) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        free_worker()
         windows, places = shared.value
         for batch in batches:
             hits, items, sizes = batch.column(2).to_pylist(), batch.column(3).to_pylist(), []

@@ -37,8 +37,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeload.llm.scratch import with_ids, written
-from lakeload.llm.words import U64, hashed, mixed, runs
+from lakeload.llm.scratch import free_worker, with_ids, written
+from lakeload.llm.words import U64, hashed, mixed, runs, word_hashes
 
 #: Labelled rows that the target model is fitted on, at most.
 MAX_LABELS = 200_000
@@ -86,6 +86,7 @@ def ngram_counts(text: str | None) -> tuple[np.ndarray, np.ndarray, int]:
 
 def counting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(good, text) -> counts of each bucket that occurs, once per task."""
+    free_worker(word_hashes)
     raw, target = (np.zeros(ORDERS * BUCKETS, np.int64) for _ in range(2))
     for batch in batches:
         for good, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -112,6 +113,7 @@ def log_ratios(target: np.ndarray, raw: np.ndarray) -> np.ndarray:
 
 def weighing(shared) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        free_worker(word_hashes)
         ratios = shared.value
         for batch in batches:
             weights = [LENGTH * float(counts.dot(ratios[buckets])) / max(1, words) for buckets, counts, words in map(ngram_counts, batch.column(2).to_pylist())]

@@ -50,8 +50,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeload.llm.components import components
-from lakeload.llm.scratch import few, with_ids, written
-from lakeload.llm.words import MULTIPLIER, U64, hashed, mixed, runs, space_words
+from lakeload.llm.scratch import few, free_worker, with_ids, written
+from lakeload.llm.words import MULTIPLIER, U64, hashed, mixed, runs, space_words, word_hashes
 
 HASHES = 128
 ORDERS = 16
@@ -110,6 +110,7 @@ def sketches(cells: pa.ChunkedArray) -> np.ndarray:
 
 def signing(width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        free_worker(word_hashes)
         for batch in batches:
             sets = [shingle_set(text, width) for text in batch.column(1).to_pylist()]
             sizes = np.asarray([len(s) for s in sets], np.int64)
@@ -237,6 +238,7 @@ def linking(width: int, percent: int) -> Callable[[Iterator[pa.RecordBatch]], It
     """Pairs with their texts -> the pairs whose shingle sets share ``percent`` of their union."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        free_worker(word_hashes)
         for batch in batches:
             a, b = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             linked, last, held = [], None, None

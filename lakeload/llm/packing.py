@@ -16,14 +16,13 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeload.llm.scratch import written
+from lakeload.llm.scratch import free_worker, worker_cache, written
 from lakeload.llm.tokens import default_vocabulary, text_tokens
 
 CAPACITY = 2048
@@ -50,6 +49,7 @@ def piece_rows(capacity: int, vocabulary: str, with_ids: bool) -> Callable[[Iter
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
+        free_worker(text_tokens)
         tokens, row = text_tokens(vocabulary, named=True), TaskContext.get().partitionId() << 40
         end = np.asarray([END_ID], "<u4").tobytes()
         for batch in batches:
@@ -74,7 +74,7 @@ def token_pieces(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str | No
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, PIECES + (", ids binary" if with_ids else ""))
 
 
-@lru_cache(maxsize=2)
+@worker_cache
 def bound_functions(capacity: int) -> tuple[np.ndarray, np.ndarray]:
     """Dual feasible functions by size (rows: functions, columns: sizes 0..capacity), and what a bin holds under each.
 
@@ -136,6 +136,7 @@ def best_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray,
 
 def packed_group(capacity: int, first_id: int) -> Callable[[tuple, pa.Table], pa.Table]:
     def run(key: tuple, table: pa.Table) -> pa.Table:
+        free_worker(bound_functions)
         table = table.drop_columns(["pack_group"]).sort_by("row")
         lengths = table["length"].to_numpy()
         bins, offsets, fills = best_fit_decreasing(lengths, capacity)

@@ -11,9 +11,10 @@ import json
 import os
 import re
 import unicodedata
-from functools import lru_cache
 from struct import pack
 
+from lakeload.llm.scratch import worker_cache
+
 #: Distinct pre-tokens of one generation. A Python worker remembers two: words met again move on to the next one.
 REMEMBERED = 300_000
 
@@ -83,7 +84,7 @@ class TextTokens:
         return b"".join(map(self.known.__getitem__, parts))
 
 
-@lru_cache(maxsize=2)
+@worker_cache
 def text_tokens(path: str, named: bool = False) -> TextTokens:
     """One tokenizer per vocabulary file, treatment of names and worker."""
     return TextTokens(path, named)

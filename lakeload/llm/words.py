@@ -5,6 +5,8 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
+from lakeload.llm.scratch import worker_cache
+
 #: Distinct words a Python worker remembers before it starts anew.
 REMEMBERED_WORDS = 300_000
 
@@ -22,7 +24,9 @@ class WordHashes(dict):
         return value
 
 
-HASHES = WordHashes()
+@worker_cache
+def word_hashes() -> WordHashes:
+    return WordHashes()
 
 
 def space_words(text: str | None) -> list[bytes]:
@@ -31,7 +35,7 @@ def space_words(text: str | None) -> list[bytes]:
 
 
 def hashed(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(HASHES.__getitem__, words), U64, len(words))
+    return np.fromiter(map(word_hashes().__getitem__, words), U64, len(words))
 
 
 def mixed(values: np.ndarray) -> np.ndarray:
