@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,60 +56,138 @@ def land(
         empty_partitions(df.sparkSession, destination, partition_by, without_rows(df, partition_by, expected))
 
 
-def land_loads(
-    df: DataFrame, staging: str, load_column: str, partition_by: Sequence[str], destinations: Sequence[tuple[int, str]], tasks: int | None = None
-) -> None:
-    """Write the rows of many loads in one job, whatever folders they go to; each replaces its partition.
+def stage_loads(df: DataFrame, staging: str, load_column: str, bad_column: str) -> dict[int, tuple[bool, list[str]]]:
+    """Write the rows of many loads in one job, each load to folders of its own below ``staging``.
 
-    ``destinations`` has the folder of each load by the value of ``load_column``. The
-    rows are written below ``staging``, a new folder beside the lake's, with a folder
-    for each load; ``tasks`` tasks (twice the cores, unless given) then move the
-    partitions to where they belong. Nothing of the lake is touched before all is written.
+    Returns, for each load with rows, whether one of them has ``bad_column`` true, and its
+    folders; what was written of a load with a bad row is of no use. The other columns are
+    written. No shuffle and no sort: rows of a load that are neighbours share a file. A
+    task that is run again writes to another folder, and only what it returned counts.
     """
-    spark = df.sparkSession
-    writer = df.write.option("compression", "zstd").partitionBy(load_column, *partition_by)
-    try:
-        writer.parquet(staging)
-        known = spark.createDataFrame(list(destinations), "id bigint, destination string")
-        dealt = known.repartition(min(len(destinations), tasks or 2 * spark.sparkContext.defaultParallelism) or 1, "id")
+    kept = df.drop(load_column, bad_column)
+    spark_keys = {"org.apache.spark.version": df.sparkSession.version, "org.apache.spark.sql.parquet.row.metadata": kept.schema.json()}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        filesystem, base = open_root(staging)
+        attempt = uuid.uuid4().hex
+        found: dict[int, bool] = {}
+        piece = None
+        for batch in batches:
+            loads, bads = (batch.column(c).to_numpy(zero_copy_only=False) for c in (load_column, bad_column))
+            rows = pa.Table.from_batches([batch]).drop_columns([load_column, bad_column]).replace_schema_metadata(spark_keys)
+            starts = np.flatnonzero(np.concatenate([[True], loads[1:] != loads[:-1]])) if len(loads) else np.zeros(0, np.int64)
+            for start, end in zip(starts.tolist(), [*starts[1:].tolist(), len(loads)]):
+                load = int(loads[start])
+                if piece is not None and piece.load != load:
+                    piece.close()
+                    piece = None
+                found[load] = found.get(load, False) or bool(bads[start:end].any())
+                if not found[load]:
+                    piece = piece or StagedFile(filesystem, f"{base}/{attempt}/load={load}", load)
+                    piece.add(rows.slice(start, end - start))
+        if piece is not None:
+            piece.close()
+        folders = [f"{staging}/{attempt}/load={load}" for load in found]
+        yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(found.values(), pa.bool_()), pa.array(folders, pa.string())], names=["load", "bad", "folder"])
+
+    staged: dict[int, tuple[bool, list[str]]] = {}
+    for row in df.mapInArrow(run, "load bigint, bad boolean, folder string").collect():
+        bad, folders = staged.get(row["load"], (False, []))
+        staged[row["load"]] = (bad or row["bad"], [*folders, row["folder"]])
+    return staged
+
+
+class StagedFile:
+    """Rows of one load on their way to a new file in ``folder``, ``ROW_GROUP_BYTES`` in memory at most."""
+
+    ROW_GROUP_BYTES = 64_000_000
+
+    def __init__(self, filesystem: fs.FileSystem, folder: str, load: int) -> None:
+        self.filesystem, self.folder, self.load = filesystem, folder, load
+        self.waiting: list[pa.Table] = []
+        self.held, self.out, self.writer = 0, None, None
+
+    def add(self, rows: pa.Table) -> None:
+        self.waiting.append(rows)
+        self.held += rows.nbytes
+        if self.held > self.ROW_GROUP_BYTES:
+            self.write()
+
+    def write(self) -> None:
+        rows = pa.concat_tables(self.waiting)
+        if self.writer is None:
+            if isinstance(self.filesystem, fs.LocalFileSystem):
+                self.filesystem.create_dir(self.folder, recursive=True)
+            self.out = self.filesystem.open_output_stream(f"{self.folder}/part-{uuid.uuid4().hex}.zstd.parquet", compression=None)
+            self.writer = pq.ParquetWriter(self.out, rows.schema, compression="zstd", store_schema=False)
+        self.writer.write_table(rows, row_group_size=max(rows.num_rows, 1))
+        self.waiting, self.held = [], 0
+
+    def close(self) -> None:
+        if self.waiting:
+            self.write()
+        if self.writer is not None:
+            self.writer.close()
+            self.out.close()
+
+
+def place_loads(spark: SparkSession, partitions: Sequence[tuple[str, Sequence[str]]], tasks: int | None = None) -> None:
+    """Replace partition folders by staged ones: ``(folder, its staged folders)``; one without any is emptied.
+
+    The moves are dealt over ``tasks`` tasks (twice the cores, unless given).
+    """
+    known = spark.createDataFrame([(at, list(staged)) for at, staged in partitions], "at string, staged array<string>")
+    dealt = known.repartition(min(len(partitions), tasks or 2 * spark.sparkContext.defaultParallelism) or 1, "at")
 
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for load, destination in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                    place(f"{staging}/{load_column}={load}", destination, len(partition_by))
-                yield batch
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, staged in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                place(staged, at)
+            yield batch
 
-        dealt.mapInArrow(run, dealt.schema).write.format("noop").mode("overwrite").save()
-    finally:
-        path = spark._jvm.org.apache.hadoop.fs.Path(staging)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    dealt.mapInArrow(run, dealt.schema).write.format("noop").mode("overwrite").save()
 
 
-def place(staged: str, destination: str, levels: int) -> None:
-    """Move the partitions ``levels`` below a staged folder to the same place below ``destination``, for what is there.
+def place(staged: Sequence[str], at: str) -> None:
+    """Move staged folders of files to the folder ``at``, for what is there; without any, the folder is deleted.
 
     Can be run again after it failed half-way: a folder is renamed at once, and where
     that is not possible its files are copied and the staged ones stay.
     """
-    filesystem, base = open_root(staged)
-    target, root = open_root(destination)
-    below = [""]
-    for _ in range(levels):
-        below = [
-            f"{path}/{info.base_name}"
-            for path in below
-            for info in filesystem.get_file_info(fs.FileSelector(f"{base}{path}", allow_not_found=True))
-            if info.type == fs.FileType.Directory
-        ]
-    for path in below:
-        at = f"{root}{path}"
-        target.create_dir(at.rsplit("/", 1)[0], recursive=True)
-        if target.get_file_info(at).type == fs.FileType.Directory:
-            target.delete_dir(at)
-        if isinstance(target, fs.LocalFileSystem):
-            target.move(f"{base}{path}", at)
-        else:
-            fs.copy_files(f"{base}{path}", at, source_filesystem=filesystem, destination_filesystem=target)
+    target, path = open_root(at)
+    there = lambda folder: target.get_file_info(folder).type == fs.FileType.Directory
+
+    def emptied() -> None:
+        if there(path):
+            target.delete_dir(path)
+
+    if not staged:
+        emptied()
+    elif isinstance(target, fs.LocalFileSystem):
+        first, *others = (open_root(folder)[1] for folder in staged)
+        for other in others:
+            for info in target.get_file_info(fs.FileSelector(other, allow_not_found=True)):
+                target.move(info.path, f"{first}/{info.base_name}")
+        if there(first):
+            target.create_dir(path.rsplit("/", 1)[0], recursive=True)
+            emptied()
+            target.move(first, path)
+    else:
+        emptied()
+        for folder in staged:
+            filesystem, base = open_root(folder)
+            fs.copy_files(base, path, source_filesystem=filesystem, destination_filesystem=target)
+
+
+#: The characters that Spark writes as ``%`` and two digits in the names of partition folders.
+ESCAPED = re.compile(r"""[\x01-\x1f"#%'*/:=?\\\x7f{\[\]^]""")
+
+
+def partition_folder(destination: str, names: Sequence[str], values: Sequence[str | None]) -> str:
+    """The folder of a partition below ``destination``, named as Spark names it."""
+    escaped = lambda text: ESCAPED.sub(lambda c: f"%{ord(c[0]):02X}", text)
+    named = [f"{escaped(name)}={'__HIVE_DEFAULT_PARTITION__' if value in (None, '') else escaped(value)}" for name, value in zip(names, values, strict=True)]
+    return "/".join([destination.rstrip("/"), *named])
 
 
 def without_rows(df: DataFrame, partition_by: Sequence[str], expected: Sequence[Sequence[str | None]]) -> list[tuple]:
@@ -119,12 +201,13 @@ def without_rows(df: DataFrame, partition_by: Sequence[str], expected: Sequence[
 
 def empty_partitions(spark: SparkSession, destination: str, partition_by: Sequence[str], partitions: Sequence[Sequence[str | None]]) -> None:
     """Delete the folders of the given partitions; one that is not there is passed over."""
-    java = spark._jvm
-    escape = java.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
     for values in partitions:
-        named = [f"{escape(name)}={'__HIVE_DEFAULT_PARTITION__' if value in (None, '') else escape(value)}" for name, value in zip(partition_by, values, strict=True)]
-        path = java.org.apache.hadoop.fs.Path("/".join([destination.rstrip("/"), *named]))
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        remove_folder(spark, partition_folder(destination, partition_by, values))
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def read_landed(df_or_spark, destination: str, partition_by: Sequence[str] = ()) -> DataFrame:

@@ -5,12 +5,13 @@ from __future__ import annotations
 import os
 import re
 import uuid
-from collections.abc import Callable
+from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
-from itertools import islice
-from operator import and_, or_
+from itertools import groupby
+from operator import or_
+from threading import Semaphore
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
@@ -154,27 +155,42 @@ def land_routed(spark: SparkSession, plan: DataFrame, registry: DataFrame, heade
     """Land every table's loads, ``read_files`` at a time; returns the ids of loads at fault, and of loads that could not be landed now.
 
     The folders of a table share their reads and writes: jobs follow from the tables and
-    the number of files, not from the folders. The driver holds the tables with their
+    the number of files, not from the folders. ``concurrent_tables`` reads run at a time,
+    also of one table. The driver holds the tables with their
     schemas, and the routes of the reads that run at the moment, never rows or all files
     of a pass.
     """
-    named = plan.withColumn("names", F.array_join("partition_columns.name", "/"))
     kinds = ["source_table_name", "destination_table_name", "names"]
-    tables = named.select(*kinds).distinct().collect()
-    schemas = catalog.fields_of_tables(registry, sorted({row[c] for row in tables for c in kinds[:2]}))
-
-    def one(table: Row) -> list[Outcome]:
-        columns = [f["name"] for f in schemas.get(table["source_table_name"], [])]
-        fields = schemas.get(table["destination_table_name"], [])
-        own = named.where(reduce(and_, [F.col(c) == table[c] for c in kinds]))
-        outcomes = []
-        loads = own.select("id", "source_path", "destination_path", "partition_columns").toLocalIterator()
-        while some := list(islice(loads, limits.read_files)):
-            outcomes.append(land_table(spark, some, columns, fields, header, f"{staging}/{uuid.uuid4().hex}"))
-        return outcomes
-
+    path = F.regexp_replace("source_path", "/+", "/").alias("path")
+    needed = plan.select(
+        F.array_join("partition_columns.name", "/").alias("names"), *kinds[:2], path, "id", "source_path", "destination_path", "partition_columns"
+    )
+    tables = needed.select(*kinds[:2]).distinct().collect()
+    schemas = catalog.fields_of_tables(registry, sorted({name for row in tables for name in row if name is not None}))
+
+    def reads() -> Iterator[tuple[tuple, list[Row]]]:
+        """The plan is sorted once and streamed; loads of one path, which may replace the same partition, share a read."""
+        rows = needed.orderBy(*kinds, "path", "id").toLocalIterator(prefetchPartitions=True)
+        for kind, loads in groupby(rows, lambda row: tuple(row[c] for c in kinds)):
+            some: list[Row] = []
+            for load in loads:
+                if len(some) >= limits.read_files and load["path"] != some[-1]["path"]:
+                    yield kind, some
+                    some = []
+                some.append(load)
+            yield kind, some
+
+    def one(kind: tuple, some: list[Row]) -> Outcome:
+        columns = [f["name"] for f in schemas.get(kind[0], [])]
+        return land_table(spark, some, columns, schemas.get(kind[1], []), header, f"{staging}/{uuid.uuid4().hex}")
+
+    free, running = Semaphore(limits.concurrent_tables), []
     with ThreadPoolExecutor(limits.concurrent_tables) as pool:
-        outcomes = [outcome for found in pool.map(one, tables) for outcome in found]
+        for kind, some in reads():
+            free.acquire()
+            running.append(pool.submit(one, kind, some))
+            running[-1].add_done_callback(lambda _: free.release())
+    outcomes = [done.result() for done in running]
     failed, waiting = ([(i,) for outcome in outcomes for i in outcome[kind]] for kind in (0, 1))
     return spark.createDataFrame(failed, "id bigint"), spark.createDataFrame(waiting, "id bigint")
 
@@ -185,11 +201,12 @@ def land_table(spark: SparkSession, loads: list, columns: list[str], fields: lis
     A load is at fault if its file cannot be read, has a row with too few or too many
     fields, or a value that does not parse. Any other failure is none of the load's.
 
-    The files are read twice: to find the bad ones and the empty ones, and to write the others.
+    The files are read once: their rows are cast and staged, and by the same job the bad
+    files and the empty ones are found. Only when all is staged, the good ones are moved to
+    the lake. Should the job fail, the files that cannot be read are looked for.
     """
     if not columns or not fields:
         return [load["id"] for load in loads], []
-    names = [p["name"] for p in loads[0]["partition_columns"]]
 
     def newest(chosen: list) -> list:
         # A rewritten object can have several loads: its file is read once, for the newest of them.
@@ -197,12 +214,14 @@ def land_table(spark: SparkSession, loads: list, columns: list[str], fields: lis
 
     def routed(rows: DataFrame, chosen: list) -> DataFrame:
         # One row per file of this read; the broadcast is as long as the path list.
-        keyed = [(_path_key(c["source_path"]), c["id"], *[p["value"] for p in c["partition_columns"]]) for c in chosen]
-        routes = spark.createDataFrame(keyed, f"__key string, __id bigint, {', '.join(f'`{n}` string' for n in names)}")
+        routes = spark.createDataFrame([(_path_key(c["source_path"]), c["id"]) for c in chosen], "__key string, __id bigint")
         # The scan gives paths URI-encoded, where a plus sign stands for itself.
         decoded = F.url_decode(F.replace("__file", F.lit("+"), F.lit("%2B")))
         key = F.ltrim(F.regexp_replace(F.regexp_replace(decoded, SCHEME, ""), "/+", "/"), F.lit("/"))
-        return rows.withColumn("__key", key).join(F.broadcast(routes), "__key", "left")
+        bad = reduce(or_, [is_bad(f"`{f['name']}`", f["type"]) for f in fields if f["type"] != "string"], F.col("__corrupt").isNotNull())
+        unknown = F.raise_error(F.concat(F.lit("no load for the file "), "__file")).cast("long")
+        known = rows.withColumn("__key", key).join(F.broadcast(routes), "__key", "left")
+        return known.withColumns({"__id": F.coalesce("__id", unknown), "__bad": F.coalesce(bad, F.lit(False))})
 
     def scan(chosen: list) -> DataFrame:
         paths = [c["source_path"] for c in chosen]
@@ -224,46 +243,43 @@ def land_table(spark: SparkSession, loads: list, columns: list[str], fields: lis
         half = len(chosen) // 2
         return unreadable(chosen[:half]) + unreadable(chosen[half:])
 
-    def checked(rows: DataFrame, chosen: list) -> dict[int, bool]:
-        """Whether a file with rows has a bad one, by load; a row per file comes to the driver, of one read."""
-        bad = reduce(or_, [is_bad(f"`{f['name']}`", f["type"]) for f in fields if f["type"] != "string"], F.col("__corrupt").isNotNull())
-        unknown = F.raise_error(F.concat(F.lit("no load for the file "), "__file")).cast("long")
+    def staged(chosen: list) -> dict[int, tuple[bool, list[str]]]:
+        """Whether a file with rows has a bad one, and where they are, by load; a row per file comes to the driver, of one read."""
+        cast = casting.cast_to_schema(routed(scan(chosen), chosen), fields, mode="lenient", keep=["__id", "__bad"])
+        return landing.stage_loads(cast, staging, "__id", "__bad")
+
+    def judged(chosen: list) -> dict[int, tuple[bool, list[str]]]:
+        """Which files have a bad row, where nothing can be written."""
         # the texts are read as well: Spark refuses a scan of the corrupt column alone
-        found = routed(rows, chosen).groupBy(F.coalesce("__id", unknown).alias("id"))
-        summed = found.agg(F.bool_or(F.coalesce(bad, F.lit(False))).alias("bad"), F.max(F.length(f"`{columns[0]}`"))).collect()
-        return {row["id"]: row["bad"] for row in summed}
-
-    def write(rows: DataFrame, good: list, filled: set[int]) -> None:
-        own = routed(rows, good).where(F.col("__id").isNotNull())
-        uneven = F.raise_error(F.concat(F.lit("wrong number of fields: "), "__corrupt")).cast("string")
-        kept = own.withColumn(names[0], F.when(F.col("__corrupt").isNotNull(), uneven).otherwise(F.col(f"`{names[0]}`")))
-        cast = casting.cast_to_schema(kept, fields, keep=["__id", *names])
-        landing.land_loads(cast, staging, "__id", names, [(c["id"], c["destination_path"]) for c in good if c["id"] in filled])
+        summed = routed(scan(chosen), chosen).groupBy("__id").agg(F.bool_or("__bad").alias("bad"), F.max(F.length(f"`{columns[0]}`"))).collect()
+        return {row["__id"]: (row["bad"], []) for row in summed}
+
+    def write(good: list, found: dict[int, tuple[bool, list[str]]]) -> None:
         # A file without rows leaves its partition empty, whatever an earlier delivery put there.
-        for c in good:
-            if c["id"] not in filled:
-                landing.empty_partitions(spark, c["destination_path"], names, [[p["value"] for p in c["partition_columns"]]])
+        at = lambda c: landing.partition_folder(c["destination_path"], *zip(*((p["name"], p["value"]) for p in c["partition_columns"])))
+        landing.place_loads(spark, [(at(c), found.get(c["id"], (False, []))[1]) for c in good])
 
-    chosen, lost = newest(loads), []
-    rows = found = None
-    try:
-        rows = scan(chosen)
-        found = checked(rows, chosen)
-    except JOB_FAILURES:
-        lost = unreadable(chosen)
-    keys = {_path_key(c["source_path"]) for c in lost}
-    chosen = [c for c in chosen if _path_key(c["source_path"]) not in keys]
-    works = True
+    chosen, keys, found, works = newest(loads), set(), None, True
     try:
-        if chosen and found is None:
-            rows = scan(chosen)
-            found = checked(rows, chosen)
-        good = [c for c in chosen if not found.get(c["id"])]
-        keys |= {_path_key(c["source_path"]) for c in chosen if found.get(c["id"])}
-        if good:
-            write(rows, good, set(found))
+        try:
+            found = staged(chosen)
+        except JOB_FAILURES:
+            keys = {_path_key(c["source_path"]) for c in unreadable(chosen)}
+            chosen = [c for c in chosen if _path_key(c["source_path"]) not in keys]
+        if found is None and chosen:
+            try:
+                found = staged(chosen)
+            except JOB_FAILURES:
+                works = False  # the next attempt looks again
+                found = judged(chosen)
+        bad = {c["id"] for c in chosen if found.get(c["id"], (False,))[0]}
+        keys |= {_path_key(c["source_path"]) for c in chosen if c["id"] in bad}
+        if works and (good := [c for c in chosen if c["id"] not in bad]):
+            write(good, found)
     except JOB_FAILURES:
-        works = False  # the next attempt looks again
+        works = False
+    finally:
+        landing.remove_folder(spark, staging)
     at_fault = sorted(load["id"] for load in loads if _path_key(load["source_path"]) in keys)
     rest = sorted(load["id"] for load in loads if _path_key(load["source_path"]) not in keys)
     return at_fault, [] if works else rest

@@ -1,8 +1,11 @@
 """Operators on small tables with known answers."""
 
 import datetime as dt
+import glob
 import json
+import os
 import random
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
@@ -104,6 +107,38 @@ def test_landing_without_partitions_replaces_everything(spark, tmp_path):
     assert values(spark.read.parquet(path), "name") == ["b"]
 
 
+def test_staged_loads_replace_their_partitions(spark, tmp_path):
+    staging, lake = f"{tmp_path}/staging", f"{tmp_path}/lake"
+    at = lambda load: landing.partition_folder(lake, ["part"], [load])
+    os.makedirs(at("4"))
+    os.makedirs(at("1"))
+    open(f"{at('1')}/old.parquet", "w").close()
+    # loads 1 and 2 come mixed and in several tasks, 3 has a bad row, 4 has none
+    rows = spark.range(0, 900, 1, 3).selectExpr(
+        "if(id % 10 = 0, 3, 1 + id % 2) __id", "id = 450 __bad", "id n", "if(id % 7 = 0, null, concat('t', id)) `a text`", "date'0999-01-01' day", "timestamp_micros(id * 1000001) at"
+    )
+    staged = landing.stage_loads(rows, staging, "__id", "__bad")
+    assert {load: bad for load, (bad, _) in staged.items()} == {1: False, 2: False, 3: True}
+    assert len(staged[1][1]) == 3
+    # what a lost attempt of a task left behind does not count
+    os.makedirs(f"{staging}/lost/load=1")
+    shutil.copy(glob.glob(f"{staged[1][1][0]}/*.parquet")[0], f"{staging}/lost/load=1")
+    for _ in range(2):  # the second time nothing is left to move
+        landing.place_loads(spark, [(at("1"), staged[1][1]), (at("2"), staged[2][1]), (at("4"), [])])
+        back = landing.read_landed(spark, lake, ["part"])
+        assert back.drop("part").dtypes == rows.drop("__id", "__bad").dtypes
+        expected = rows.where("__id < 3").selectExpr("n", "`a text`", "day", "at", "string(__id) part")
+        assert sorted(map(str, back.collect())) == sorted(map(str, expected.collect()))
+        assert sorted(os.listdir(lake)) == ["part=1", "part=2"]
+
+
+def test_partition_folders_are_named_as_spark_names_them(spark):
+    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    text = "".join(map(chr, range(1, 128))) + "äé€"
+    assert landing.partition_folder("lake/", [text], [text]) == f"lake/{escape(text)}={escape(text)}"
+    assert landing.partition_folder("lake", ["a", "b"], [None, ""]) == "lake/a=__HIVE_DEFAULT_PARTITION__/b=__HIVE_DEFAULT_PARTITION__"
+
+
 # ---- keys, checks -----------------------------------------------------------
 def test_path_functions(spark):
     df = spark.createDataFrame([("a/b/c.csv.gz",), ("c.csv.gz",), ("a/b__ct/",), ("a/c.csv",)], "k string")

@@ -2,6 +2,7 @@
 
 import gzip
 import os
+import threading
 import time
 
 import pytest
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from lakeload.operators.landing import read_landed
 from lakeload.operators.relocate import relocate
 from lakeload.operators.routing import Layout
+from lakeload.plans import load_pass
 from lakeload.plans.feed_sync import run_feed_sync
 from lakeload.plans.load_pass import Limits, advance, land_routed, run_load_pass
 from conformance.files import deliver
@@ -392,3 +394,46 @@ def test_objects_are_written_by_all_tasks(spark, tmp_path):
     stages = [tracker.getStageInfo(s) for job in tracker.getJobIdsForGroup("deliver-test") for s in tracker.getJobInfo(job).stageIds]
     assert max(stage.numTasks for stage in stages if stage) == 2 * context.defaultParallelism
     assert len(list(tmp_path.glob("ods/T1/*.csv.gz"))) == 40
+
+
+def test_paths_are_listed_by_few_tasks(spark, tmp_path):
+    """However many files a read has, listing them takes a few tasks for each core, not one for each file."""
+    paths = [f"{tmp_path}/{i}.csv" for i in range(100)]
+    for path in paths:
+        with open(path, "w") as out:
+            out.write("a\n")
+    context = spark.sparkContext
+    context.setJobGroup("listing-test", "listing")
+    try:
+        assert spark.read.schema("t string").csv(paths).count() == 100
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    tracker = context.statusTracker()
+    stages = [tracker.getStageInfo(s) for job in tracker.getJobIdsForGroup("listing-test") for s in tracker.getJobInfo(job).stageIds]
+    assert max(stage.numTasks for stage in stages if stage) <= 4 * context.defaultParallelism
+
+
+def test_reads_of_one_table_run_side_by_side_and_loads_of_a_path_share_one(zone, monkeypatch):
+    kinds = "id long, source_path string, destination_path string, partition_columns array<struct<name: string, value: string>>"
+    loads = [(i, f"{zone.layout.incoming}datasets/set/{i % 9}.csv.gz", f"{zone.layout.lake}datasets/set", [("identifier", f"{i % 9}.csv.gz")]) for i in range(12)]
+    plan = zone.spark.createDataFrame(loads, kinds).withColumns({c: F.lit("set") for c in ("source_table_name", "destination_table_name")})
+    together, seen = threading.Barrier(2), []
+
+    def landed(spark, some, columns, fields, header, staging):
+        together.wait(60)
+        seen.append([c["source_path"] for c in some])
+        return [], [c["id"] for c in some]
+
+    monkeypatch.setattr(load_pass, "land_table", landed)
+    failed, waiting = land_routed(zone.spark, plan, zone.registry, False, Limits(read_files=5, concurrent_tables=2), f"{zone.layout.lake}_landing")
+    assert failed.count() == 0 and sorted(r["id"] for r in waiting.collect()) == list(range(12))
+    assert len(seen) == 2 and not set(seen[0]) & set(seen[1])
+
+
+def test_a_staging_folder_that_cannot_be_written_condemns_no_load(zone):
+    zone.put("datasets/set/1.csv.gz", ["5,2022-01-05,f"], START)
+    zone.put("datasets/set/2.csv.gz", ["x,2022-01-05,f"], START)
+    os.makedirs(zone.layout.lake)
+    open(f"{zone.layout.lake}_landing", "w").close()
+    zone.run()
+    assert {key[-8]: status for (key, _), status in zone.statuses().items()} == {"1": "ingesting", "2": "ready_for_erroring"}
